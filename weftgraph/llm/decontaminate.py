@@ -1,4 +1,179 @@
-"""To come."""
+"""Benchmark decontamination by a prefix-filtered set join.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+An item's windows (eight consecutive words; a shorter item is one window) are
+token sets that must be contained whole. Words are ordered by their rarity over
+all documents; full containment makes the rarest word of a window its necessary
+prefix. Documents are probed with these prefix words only; a probe that leaves
+the document at either end fails the length and positional bounds, and what
+remains is verified word by word over a window of the item's own size.
+
+The benchmark is indexed in blocks of bounded size, each of which meets all
+documents, so nothing that is broadcast grows beyond the bound.
+"""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..plans.lineage import materialize
+from .common import extended, table, text_bytes
+
+WINDOW = 8
+BLOCK_BYTES = 4 << 20
+CONTAMINATED_ITEMS = 2
+
+#: Lower-cases A-Z and turns every other ASCII character that is no digit and no letter into a space.
+_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+
+Windows = dict[tuple[bytes, ...], tuple[str, ...]]
+
+
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(_WORDS).split()
+
+
+def item_windows(words: list[bytes], window: int = WINDOW) -> Iterator[tuple[bytes, ...]]:
+    """All windows of an item; the whole item if it is shorter; none if it has no words."""
+    if words:
+        for i in range(max(1, len(words) - window + 1)):
+            yield tuple(words[i : i + window])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch], vocabulary: frozenset[bytes]) -> Iterator[pa.RecordBatch]:
+    counts: Counter = Counter()
+    for batch in batches:
+        for text in text_bytes(batch["text"]):
+            for word, n in Counter(words_of(text)).items():
+                if word in vocabulary:
+                    counts[word] += n
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+
+def prefix_index(windows: Windows, rarity: dict[bytes, int]) -> dict[bytes, list[tuple[int, int, Windows]]]:
+    """Prefix word -> (its place in the window, window length, windows); windows with a word no document has are left out."""
+    index: dict[bytes, dict[tuple[int, int], Windows]] = defaultdict(lambda: defaultdict(dict))
+    for window, items in windows.items():
+        rarest = min(window, key=lambda w: (rarity.get(w, 0), w))
+        if rarity.get(rarest, 0):
+            index[rarest][window.index(rarest), len(window)][window] = items
+    return {word: [(place, size, dict(found)) for (place, size), found in sorted(by_shape.items())] for word, by_shape in index.items()}
+
+
+def probe(words: list[bytes], index: dict[bytes, list[tuple[int, int, Windows]]]) -> tuple[list[tuple[int, int]], set[str]]:
+    """Merged word ranges that windows cover, and the items they come from."""
+    hits: list[tuple[int, int]] = []
+    items: set[str] = set()
+    for at in [i for i, w in enumerate(words) if w in index]:
+        for place, size, windows in index[words[at]]:
+            first = at - place
+            if first >= 0 and first + size <= len(words) and (found := windows.get(tuple(words[first : first + size]))):
+                hits.append((first, first + size))
+                items.update(found)
+    return merged(hits), items
+
+
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(ranges):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(last, out[-1][1]))
+        else:
+            out.append((first, last))
+    return out
+
+
+_SPAN = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])
+_ARROW_SPAN = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+
+
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Add ``n_words``, ``hit_spans`` (word ranges [first, last)) and ``item_ids`` (sorted as strings) to every document.
+
+    Null texts have no words and hit nothing; benchmark rows without an id or
+    without words are passed over; rows repeated under one id add up. Columns of
+    ``docs`` with these names are replaced.
+    """
+    spark = docs.sparkSession
+    docs = docs.drop("n_words", "hit_spans", "item_ids")
+    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    found = docs
+    for block in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        windows: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+        for row in part:
+            for w in item_windows(words_of(row["text"].encode()), window):
+                windows[w].add(row["item_id"])
+        vocabulary = spark.sparkContext.broadcast(frozenset(w for x in windows for w in x))
+        counted = docs.select("text").mapInArrow(lambda it, v=vocabulary: _count_words(it, v.value), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        rarity = {bytes(r["word"]): r["n"] for r in counted.collect()}  # at most the words of one block
+        index = spark.sparkContext.broadcast(prefix_index({w: tuple(sorted(x)) for w, x in windows.items()}, rarity))
+        found = _probe_all(found, index, first=block == 0)
+        if block + 1 < blocks:
+            found = materialize(found, "overlaps")
+    return found
+
+
+def _probe_all(docs: DataFrame, index, first: bool) -> DataFrame:
+    kept = [f for f in docs.schema.fields if f.name not in ("n_words", "hit_spans", "item_ids")]
+    schema = extended(T.StructType(kept), n_words=T.LongType(), hit_spans=T.ArrayType(_SPAN), item_ids=T.ArrayType(T.StringType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, spans, names = [], [], []
+            before = repeat_none(batch.num_rows) if first else zip(batch["hit_spans"].to_pylist(), batch["item_ids"].to_pylist())
+            for text, (old_spans, old_items) in zip(text_bytes(batch["text"]), before):
+                words = words_of(text)
+                hit, items = probe(words, index.value)
+                if old_spans:
+                    hit = merged(hit + [(s["first"], s["last"]) for s in old_spans])
+                counts.append(len(words))
+                spans.append([{"first": a, "last": b} for a, b in hit])
+                names.append(sorted(items.union(old_items or ())))
+            columns = [*(batch[f.name] for f in kept), pa.array(counts, pa.int64()), pa.array(spans, _ARROW_SPAN), pa.array(names, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def repeat_none(n: int) -> list[tuple[None, None]]:
+    return [(None, None)] * n
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words, hit words and items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.size("item_ids") >= CONTAMINATED_ITEMS).alias("contaminated"),
+    )
+
+
+_ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, least(len(w), 8) AS n, array_to_string(w[i : i + 7], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 6))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT dw.doc_id, dw.i, iw.n, iw.item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.g = iw.g),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+QUERIES = {"op3_decontaminate": op3_decontaminate}
+ORACLE_SQL = {"op3_decontaminate": _ORACLE}

@@ -105,7 +105,7 @@ class Ring:
         """The segments of each fingerprint (rows of 64-bit words) as small integers."""
         each = 64 // self.width
         shifts = np.arange(64 - self.width, -1, -self.width, dtype=np.uint64)
-        return ((words[:, :, None] >> shifts) & np.uint64((1 << self.width) - 1)).reshape(len(words), -1) if each > 1 else words
+        return ((words[:, :, None] >> shifts) & np.uint64((1 << self.width) - 1)).reshape(len(words), self.segments)
 
     def keys(self, words: np.ndarray) -> np.ndarray:
         """A key for each start of a chain: the start and the leading segments."""
@@ -119,16 +119,18 @@ class Ring:
         return out
 
     def linked(self, left: np.ndarray, right: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """Which pairs of rows are within the distance: budgets of growing chains first, the full check last."""
-        alive = np.arange(len(left))
-        if self.segments <= 16:
-            counts = np.bitwise_count(self.parts(left) ^ self.parts(right))
-            total = np.zeros(len(left), dtype=np.int64)
-            place = start.copy()
-            for l in range(1, self.segments + 1):
-                total[alive] += counts[alive, place[alive]]
-                place = (place + 1) % self.segments
-                alive = alive[total[alive] <= self.budgets[l]]
+        """Which pairs of rows are within the distance.
+
+        At 64 bits the budgets of growing chains prune first; the longest chain is
+        the whole ring, so its budget is the full check. Wider rings have the full check alone.
+        """
+        if self.bits == 64:
+            turn = (start * self.width).astype(np.uint64)
+            apart = (left ^ right)[:, 0]
+            apart = apart << turn | apart >> (np.uint64(64) - turn) % np.uint64(64)
+            alive = np.arange(len(apart))
+            for l in range(self.lead + 1, self.segments + 1):
+                alive = alive[np.bitwise_count(apart[alive] >> np.uint64(64 - l * self.width)) <= self.budgets[l]]
             return alive
         distance = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
         return np.flatnonzero(distance <= self.differing)
