@@ -1,4 +1,201 @@
-"""To come."""
+"""PII surrogates, by DataFrame and SQL functions only.
 
-QUERIES: dict = {}
+Detected entities receive keyed replacements of their own kind: digits stay
+digits and letters stay letters of their script, e-mail addresses, numbers,
+addresses and tokens keep their format, card numbers keep a valid check digit,
+names keep their title's gender. What is replaced is an *atom*, the entity
+without its formatting (a phone number's digits, an address in lower case, one
+word of a name), so one person or number has one surrogate wherever and however
+it is written. A surrogate that two atoms share, or that is itself an atom of
+the input, is drawn again until all are distinct.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.lineage import materialize
+from .common import table
+
+KEY = "surrogate-key-1"
+MOST_ATTEMPTS = 64
+
+MALE_TITLES = "Mr|Herr|Herrn|Monsieur|Señor|Sr|Signor|Господин"
+FEMALE_TITLES = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Signora|Госпожа"
+OPEN_TITLES = "Dr|Prof|Dra|Доктор"
+
+EMAIL = r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}"
+TOKEN = r"""(?<=(?i:token|secret|password|passwd|apikey|api_key|api-key|access_key)["']{0,1}\s{0,2}[:=]\s{0,2}["']{0,1})[\p{L}\p{N}+/_-]{12,512}|(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"""
+IP = r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\p{N}|\.\p{N})"
+PHONE = r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\p{N})|(?<![\p{L}\p{N}])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\p{N})|(?<![\p{L}\p{N}.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\p{N}-])"
+SSN = r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
+IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{4} \d{4} \d{4})(?![\p{L}\p{N}])"
+NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OPEN_TITLES})\.?\s\p{{Lu}}[\p{{L}}'’-]{{1,40}}(?:\s\p{{Lu}}[\p{{L}}'’-]{{1,40}}){{0,2}}"
+KINDS = {"email": EMAIL, "token": TOKEN, "ip": IP, "phone": PHONE, "iban": IBAN, "ssn": SSN, "card": CARD, "name": NAME}
+ENTITY = "|".join(KINDS.values())
+#: An entity has an at-sign, a digit, or a title.
+HINT = rf"[@0-9]|(?:{MALE_TITLES}|{FEMALE_TITLES}|{OPEN_TITLES})|[:=]"
+
+LATIN, ACCENTED, CYRILLIC, GREEK = "abcdefghijklmnopqrstuvwxyz", "àáâäçèéêëíîïñóôöùúûü", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+GIVEN = {
+    ("m", "l"): "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jakob Karl Leo Martin Nils Oscar Paul Robert Simon Thomas Victor",
+    ("f", "l"): "Anna Berta Clara Diana Emma Flora Greta Helena Irene Julia Karin Laura Maria Nora Olivia Paula Rosa Sara Teresa Vera",
+    ("m", "c"): "Антон Борис Виктор Глеб Денис Егор Захар Игорь Кирилл Лев Максим Никита Олег Павел Роман Семён",
+    ("f", "c"): "Анна Вера Галина Дарья Елена Жанна Зоя Ирина Ксения Лидия Мария Нина Ольга Полина Раиса Софья",
+}
+SYLLABLES = {"l": "bal ber bor dan der dor fal fen gar gel hal hen kal kel lan len mar mel nor pal per ral ren sal ser tan ter val ven wal", "c": "бал бер бор дан дер дор гар гел кал кел лан лен мар мел нор пал пер рал рен сал сер тан тер вал вен"}
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _array(words: str) -> str:
+    return f"split({_sql(words)}, ' ')"
+
+
+def entities(text: Column) -> Column:
+    """All entities of a text, from left to right, without overlaps."""
+    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
+def kind_of(entity: Column) -> Column:
+    """The first kind whose pattern the whole entity has; a token that only its surroundings show is what is left."""
+    out = F.lit("token")
+    for kind, pattern in reversed(KINDS.items()):
+        if kind != "token":
+            out = F.when(entity.rlike(f"^(?:{pattern})$"), F.lit(kind)).otherwise(out)
+    return out
+
+
+def atoms_of(kind: Column, entity: Column) -> Column:
+    """The atoms of an entity: structs of kind and value."""
+    digits = F.regexp_replace(entity, r"\D", "")
+    words = F.slice(F.split(entity, r"\s"), 2, 3)
+    gender = F.when(entity.rlike(f"^(?:{FEMALE_TITLES})\\b"), "f").otherwise("m")
+    script = F.when(entity.rlike(r"\p{IsCyrillic}$"), "c").otherwise("l")
+    last = F.size(words) - 1
+    name = F.transform(words, lambda w, i: F.struct(F.when(i == last, F.concat(F.lit("family_"), script)).otherwise(F.concat(F.lit("given_"), gender, script)).alias("kind"), w.alias("value")))
+    one = F.when(kind.isin("phone", "ssn", "card"), digits).when(kind == "iban", F.replace(entity, F.lit(" "), F.lit(""))).when(kind == "email", F.lower(entity)).otherwise(entity)
+    return F.when(kind == "name", name).otherwise(F.array(F.struct(kind.alias("kind"), one.alias("value"))))
+
+
+def _byte(stream: str, at: str) -> str:
+    return f"cast(conv(substring({stream}, 1 + 2 * ({at} % 63), 2), 16, 10) as int)"
+
+
+def _drawn(value: str, stream: str, keep: str = "0") -> str:
+    """``value`` with each letter and digit drawn anew from its own class, after the first ``keep`` characters."""
+    char, k = f"substring({value}, i + 1, 1)", _byte(stream, "i")
+    cases = [("[0-9]", "0123456789"), ("[a-z]", LATIN), ("[A-Z]", LATIN.upper())]
+    cases += [(f"[{low}]", low) for low in (ACCENTED, CYRILLIC, GREEK)] + [(f"[{low.upper()}]", low.upper()) for low in (ACCENTED, CYRILLIC, GREEK)]
+    when = " ".join(f"when {char} rlike '{of}' then substring('{among}', 1 + {k} % {len(among)}, 1)" for of, among in cases)
+    return f"array_join(transform(sequence(0, length({value}) - 1), i -> case when i < {keep} then {char} {when} else {char} end), '')"
+
+
+def _hex(value: str, stream: str) -> str:
+    char, k = f"substring({value}, i + 1, 1)", _byte(stream, "i")
+    return f"array_join(transform(sequence(0, length({value}) - 1), i -> substring('0123456789abcdef', 1 + {k} % 16, 1)), '')"
+
+
+def _luhn(digits: str) -> str:
+    """The Luhn sum of a string of digits."""
+    d = f"cast(substring({digits}, length({digits}) - i, 1) as int)"
+    return f"aggregate(sequence(0, length({digits}) - 1), 0, (s, i) -> s + case when i % 2 = 1 then 2 * {d} - case when {d} > 4 then 9 else 0 end else {d} end)"
+
+
+def with_surrogate(atoms: DataFrame, key: str = KEY) -> DataFrame:
+    """Add ``surrogate`` to rows of (kind, value, attempt)."""
+    keyed = F.concat_ws("|", F.lit(key), "kind", "value", F.col("attempt").cast("string"))
+    domain = F.concat_ws("|", F.lit(key), F.lit("domain"), F.substring_index("value", "@", -1))
+    df = atoms.withColumn("h", F.sha2(keyed, 512)).withColumn("hd", F.sha2(domain, 512))
+    df = df.withColumn("drawn", F.expr(f"case when kind in ('card', 'phone') then {_drawn('value', 'h', '1')} when kind = 'iban' then {_drawn('value', 'h', '2')} else {_drawn('value', 'h')} end"))
+    body = "concat(substring(drawn, 1, length(drawn) - 1), '0')"
+    card = f"case when {_luhn('value')} % 10 = 0 then concat(substring(drawn, 1, length(drawn) - 1), cast((10 - {_luhn(body)} % 10) % 10 as string)) else drawn end"
+    local, host = "substring_index(value, '@', 1)", "substring_index(value, '@', -1)"
+    inner = f"substring({host}, 1, length({host}) - length(substring_index({host}, '.', -1)))"
+    email = f"concat({_drawn(local, 'h')}, '@', {_drawn(inner, 'hd')}, substring_index({host}, '.', -1))"
+    octets = ", ".join(["1 + " + _byte("h", "0") + " % 223", *(f"{_byte('h', str(k))} % 255" for k in (1, 2, 3))])
+    token = f"case when value rlike '^[0-9a-f]+$' then {_hex('value', 'h')} when value rlike '^[0-9A-F]+$' then upper({_hex('value', 'h')}) else drawn end"
+    given = " ".join(f"when kind = 'given_{g}{s}' then element_at({_array(names)}, 1 + {_byte('h', '0')} % {len(names.split())})" for (g, s), names in GIVEN.items())
+    syllable = {s: lambda k, s=s: f"element_at({_array(SYLLABLES[s])}, 1 + {_byte('h', str(k))} % {len(SYLLABLES[s].split())})" for s in SYLLABLES}
+    family = " ".join(f"when kind = 'family_{s}' then initcap({f(1)} || {f(2)} || {f(3)} || {' || '.join(f'case when attempt >= {k} then {f(3 + k)} else {chr(39) * 2} end' for k in range(1, 4))})" for s, f in syllable.items())
+    # A given name is one of a short list while it is free, then gets syllables too.
+    longer = " ".join(f"when kind = 'given_{g}{s}' and attempt >= 4 then concat(element_at({_array(GIVEN[g, s])}, 1 + {_byte('h', '0')} % 16), '-', initcap({syllable[s](1)} || {syllable[s](2)} || {syllable[s](3)}))" for g, s in GIVEN)
+    chosen = f"case when kind = 'card' then {card} when kind = 'email' then {email} when kind = 'ip' then concat_ws('.', {octets}) when kind = 'token' then {token} {longer} {given} {family} else drawn end"
+    return df.withColumn("surrogate", F.expr(chosen)).drop("h", "hd", "drawn")
+
+
+def assign_surrogates(atoms: DataFrame, key: str = KEY) -> DataFrame:
+    """``(kind, value, surrogate)`` for distinct rows of (kind, value).
+
+    Within a kind no two values share a surrogate and no surrogate is a value.
+    Of values that draw the same surrogate the smallest keeps it; the others, and
+    those that draw an existing value, draw again. The values left shrink by
+    orders of magnitude each time.
+    """
+    atoms = materialize(atoms.select("kind", "value").distinct(), "atoms")
+    taken = None
+    waiting = atoms
+    for attempt in range(MOST_ATTEMPTS):
+        drawn = materialize(with_surrogate(waiting.select("kind", "value", F.lit(attempt).alias("attempt")), key), "drawn")
+        real = atoms.select("kind", F.col("value").alias("surrogate"))
+        free = drawn.join(real, ["kind", "surrogate"], "left_anti")
+        if taken is not None:
+            free = free.join(taken.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
+        won = materialize(free.groupBy("kind", "surrogate").agg(F.min("value").alias("value")).select("kind", "value", "surrogate"), "won")
+        taken = won if taken is None else taken.unionByName(won)
+        waiting = materialize(drawn.select("kind", "value").join(won.select("kind", "value"), ["kind", "value"], "left_anti"), "waiting")
+        if waiting.limit(1).count() == 0:
+            return taken
+    raise RuntimeError(f"surrogates still collide after {MOST_ATTEMPTS} draws")
+
+
+def _put(kind: Column, entity: Column, drawn: Column) -> Column:
+    """The surrogate in the entity's own format. ``drawn``: the surrogates of its atoms."""
+    first = F.element_at(drawn, 1)
+    blanks = F.split(entity, r"[0-9A-Z]", -1)
+    filled = F.array_join(F.zip_with(blanks, F.split(first, "(?!^)"), lambda gap, c: F.concat(gap, F.coalesce(c, F.lit("")))), "")
+    title = F.regexp_extract(entity, r"^\S+\s", 0)
+    cased = F.when((F.upper(entity) == entity) & (F.lower(entity) != entity), F.upper(first)).otherwise(first)
+    return F.when(kind.isin("phone", "ssn", "card", "iban"), filled).when(kind == "name", F.concat(title, F.array_join(drawn, " "))).when(kind == "email", cased).otherwise(first)
+
+
+def replace_pii(docs: DataFrame, text_column: str = "text", key: str = KEY) -> DataFrame:
+    """The rows of ``docs`` with entities replaced; ``pii_kinds`` lists what was replaced, in order.
+
+    Rows without entities, null and empty texts among them, stay as they are
+    with an empty list, and are not shuffled. Repeated rows stay repeated. A
+    column named ``pii_kinds`` is replaced.
+    """
+    docs = docs.drop("pii_kinds")
+    columns = docs.columns
+    text = F.col(text_column)
+    found = F.coalesce(F.size(entities(text)) > 0, F.lit(False))
+    clean = docs.where(~found).withColumn("pii_kinds", F.array().cast("array<string>"))
+    held = materialize(docs.where(found).withColumn("_row", F.monotonically_increasing_id()).withColumn("_found", entities(text)), "pii-docs")
+    each = held.select("_row", F.posexplode("_found").alias("_at", "_entity")).withColumn("_kind", kind_of(F.col("_entity")))
+    parts = materialize(each.select("_row", "_at", "_entity", "_kind", F.posexplode(atoms_of(F.col("_kind"), F.col("_entity"))).alias("_part", "_atom")).select("_row", "_at", "_entity", "_kind", "_part", F.col("_atom.kind").alias("kind"), F.col("_atom.value").alias("value")), "pii-atoms")
+    surrogates = materialize(assign_surrogates(parts, key), "surrogates")
+    drawn = parts.join(surrogates, ["kind", "value"])
+    in_order = F.array_sort(F.collect_list(F.struct("_part", "surrogate")))
+    by_entity = drawn.groupBy("_row", "_at", "_entity", "_kind").agg(F.transform(in_order, lambda x: x["surrogate"]).alias("_drawn"))
+    put = by_entity.select("_row", F.struct("_at", _put(F.col("_kind"), F.col("_entity"), F.col("_drawn")).alias("put"), "_kind").alias("_put"))
+    by_row = put.groupBy("_row").agg(F.array_sort(F.collect_list("_put")).alias("_puts"))
+    gaps = F.split(text, ENTITY, -1)
+    joined = F.array_join(F.zip_with(gaps, F.col("_puts.put"), lambda gap, p: F.concat(gap, F.coalesce(p, F.lit("")))), "")
+    replaced = held.join(by_row, "_row").withColumn(text_column, joined).withColumn("pii_kinds", F.col("_puts._kind"))
+    names = [f"`{c}`" for c in [*columns, "pii_kinds"]]
+    return clean.select(*names).unionByName(replaced.select(*names))
+
+
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its entities replaced, and the number of entities."""
+    found = replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_entities"), F.array_join("pii_kinds", ",").alias("kinds"))
+
+
+QUERIES = {"op5_pii_surrogates": op5_pii_surrogates}
 ORACLE_SQL: dict[str, str] = {}
