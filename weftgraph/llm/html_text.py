@@ -1,4 +1,387 @@
-"""To come."""
+"""Main text of web pages by a tree-structured graphical model over the DOM.
 
-QUERIES: dict = {}
+Every block element is a binary variable (content or not). Its features give a
+local potential, and each parent-child edge a coupling potential. Sum-product
+messages go upward from the leaves and downward from the root; a block's text is
+kept if the marginal of its element favours content. The weights are fitted by
+gradient ascent on the likelihood of labelled pages, with the same messages.
+"""
+
+from __future__ import annotations
+
+import html as references
+import math
+import random
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import extended, table
+
+BLOCKS = frozenset(
+    "html head body article section main aside nav header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
+    "blockquote pre figure figcaption form fieldset legend address details summary dialog menu hr center hgroup search label".split()
+)
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose content is never shown as text of the page.
+SKIPPED = frozenset("script style title noscript template iframe textarea select button svg math object video audio canvas datalist".split())
+#: A start tag (key) ends open elements of these kinds.
+CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}, "body": {"head"}}
+SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "body": set()}
+NO_P = BLOCKS - {"html", "head", "body", "label"}
+
+_TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|$))", re.S)
+_ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop|type)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?", re.I)
+_WORD = re.compile(r"[a-z]+")
+_END = {tag: re.compile(rf"</{tag}\b[^>]*+>?", re.I) for tag in SKIPPED}
+
+
+class Page:
+    """Block elements in document order (a parent before its children) and blocks of text."""
+
+    def __init__(self, html: str):
+        self.parent: list[int] = [-1]
+        self.features: list[list[str]] = [["root"]]
+        self.words: list[int] = [0]
+        self.linked: list[int] = [0]
+        self.blocks: list[tuple[int, str]] = []
+        self._parse(html)
+
+    def _parse(self, html: str) -> None:
+        stack: list[tuple[str, int]] = [("", 0)]  # inline elements carry their block's number
+        text: list[str] = []
+        in_links = 0
+        at = 0
+
+        def flush() -> None:
+            if text:
+                plain = " ".join(references.unescape("".join(text)).split())
+                text.clear()
+                if plain:
+                    node = stack[-1][1]
+                    self.blocks.append((node, plain))
+                    n = plain.count(" ") + 1
+                    self.words[node] += n
+                    self.linked[node] += n if in_links else 0
+
+        def close(depth: int) -> None:
+            nonlocal in_links
+            flush()
+            in_links -= sum(tag == "a" for tag, _ in stack[depth:])
+            del stack[depth:]
+
+        while match := _TAG.search(html, at):
+            if match.start() > at:
+                text.append(html[at : match.start()])
+            at = match.end()
+            end, tag, attributes = match.group(1, 2, 3) if match.group(2) else match.group(4, 5, 6)
+            if not tag:
+                continue
+            tag = tag.lower()
+            if tag == "br":
+                text.append(" ")
+            elif end:
+                block = tag in BLOCKS
+                for depth in range(len(stack) - 1, 0, -1):
+                    if stack[depth][0] == tag:
+                        if block:
+                            close(depth)
+                        else:
+                            if tag == "a":
+                                if in_links == 1:
+                                    self._count_link(stack[-1][1], text)
+                                in_links -= 1
+                            del stack[depth]
+                        break
+                    if not block and stack[depth][0] in BLOCKS:
+                        break
+                else:
+                    if block:
+                        flush()
+            elif tag in SKIPPED:
+                if not attributes.endswith("/") or tag in ("script", "style"):
+                    found = _END[tag].search(html, at)
+                    at = found.end() if found else len(html)
+                if tag not in ("button", "svg", "math", "canvas"):
+                    text.append(" ") if text else None
+            elif tag in BLOCKS:
+                flush()
+                if tag in NO_P:
+                    for depth in range(len(stack) - 1, 0, -1):
+                        if stack[depth][0] == "p":
+                            close(depth)
+                            break
+                        if stack[depth][0] in BLOCKS:
+                            break
+                if closed := CLOSES.get(tag):
+                    for depth in range(len(stack) - 1, 0, -1):
+                        if stack[depth][0] in closed:
+                            close(depth)
+                        elif stack[depth][0] in SCOPES[tag]:
+                            break
+                self._open(tag, attributes, stack)
+            elif tag not in VOID and not attributes.endswith("/"):
+                stack.append((tag, stack[-1][1]))
+                if tag == "a":
+                    if not in_links:
+                        self._before = sum(len(t.split()) for t in text)
+                    in_links += 1
+        if at < len(html):
+            text.append(html[at:])
+        flush()
+
+    _before = 0
+
+    def _count_link(self, node: int, text: list[str]) -> None:
+        self.linked[node] += max(0, sum(len(t.split()) for t in text) - self._before)
+
+    def _open(self, tag: str, attributes: str, stack: list[tuple[str, int]]) -> None:
+        found = [f"tag {tag}"]
+        if attributes:
+            for name, a, b, c in _ATTRIBUTE.findall(attributes):
+                name, value = name.lower(), (a or b or c).lower()
+                if name in ("class", "id", "role", "itemprop"):
+                    found += [f"word {w}" for w in _WORD.findall(value)]
+                elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+                    found.append("hidden")
+        self.parent.append(stack[-1][1])
+        self.features.append(found)
+        self.words.append(0)
+        self.linked.append(0)
+        if tag != "hr":
+            stack.append((tag, len(self.parent) - 1))
+
+    def finish(self) -> None:
+        """Features that need the whole page: length of own text, share of links below."""
+        words, linked = self.words[:], self.linked[:]
+        for i in range(len(words) - 1, 0, -1):
+            words[self.parent[i]] += words[i]
+            linked[self.parent[i]] += linked[i]
+        for i, found in enumerate(self.features):
+            found.append(f"own {min(4, self.words[i].bit_length() // 2)}")
+            found.append(f"links {4 * linked[i] // words[i] if words[i] else 'none'}")
+
+
+def marginals(page: Page, unary: dict[str, float], edge: tuple[float, float, float, float]) -> tuple[list[float], list[tuple[float, float, float, float]]]:
+    """P(content) of each element, and of each edge the joint of (parent, child) as 00, 01, 10, 11."""
+    n = len(page.parent)
+    e00, e01, e10, e11 = map(math.exp, edge)
+    local1 = [math.exp(max(-30.0, min(30.0, sum(unary.get(f, 0.0) for f in found)))) for found in page.features]
+    up0, up1 = [1.0] * n, local1[:]  # local potential and what came from below
+    to0, to1 = [1.0] * n, [1.0] * n  # message to the parent
+    parent = page.parent
+    for i in range(n - 1, 0, -1):
+        a, b = up0[i], up1[i]
+        s = a + b
+        a, b = a / s, b / s
+        up0[i], up1[i] = a, b
+        to0[i], to1[i] = e00 * a + e01 * b, e10 * a + e11 * b
+        p = parent[i]
+        up0[p] *= to0[i]
+        up1[p] *= to1[i]
+        if up0[p] + up1[p] < 1e-200:
+            up0[p] *= 1e200
+            up1[p] *= 1e200
+    content = [0.0] * n
+    joint = [(0.0, 0.0, 0.0, 0.0)] * n
+    total = up0[0] + up1[0]
+    belief0, belief1 = [0.0] * n, [0.0] * n
+    belief0[0], belief1[0] = up0[0] / total, up1[0] / total
+    content[0] = belief1[0]
+    for i in range(1, n):
+        p = parent[i]
+        out0, out1 = belief0[p] / to0[i] if to0[i] else 0.0, belief1[p] / to1[i] if to1[i] else 0.0
+        j00, j01, j10, j11 = out0 * e00 * up0[i], out0 * e01 * up1[i], out1 * e10 * up0[i], out1 * e11 * up1[i]
+        z = j00 + j01 + j10 + j11 or 1.0
+        joint[i] = (j00 / z, j01 / z, j10 / z, j11 / z)
+        belief0[i], belief1[i] = (j00 + j10) / z, (j01 + j11) / z
+        content[i] = belief1[i]
+    return content, joint
+
+
+def main_text(html: str | None, model: tuple[dict[str, float], tuple]) -> str:
+    """The main text: kept blocks in page order, two line ends between them."""
+    if not html:
+        return ""
+    page = Page(html)
+    page.finish()
+    content, _ = marginals(page, *model)
+    return "\n\n".join(text for node, text in page.blocks if content[node] > 0.5)
+
+
+# ---- labelled pages -------------------------------------------------------
+
+#: Class and id words by which site templates name parts that are no main text.
+OUTSIDE = (
+    "nav menu navbar navigation breadcrumb breadcrumbs toc header masthead topbar banner footer foot colophon copyright legal sidebar aside side rail widget "
+    "ad ads advert advertisement sponsor sponsored promo promotion promoted cookie cookies consent notice alert gdpr popup modal overlay subscribe newsletter signup login search "
+    "comment comments respond reply discussion disqus share sharing social related recommended recommendation more pagination pager skip tags meta"
+).split()
+INSIDE = "content main article post entry story body text page story-body article-body entry-content post-content mw-content-text".split()
+
+
+def _words(r: random.Random, low: int, high: int) -> str:
+    return " ".join("".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randint(2, 9))) for _ in range(r.randint(low, high)))
+
+
+def labelled_page(seed: int) -> tuple[str, set[str]]:
+    """A page and the blocks that are its main text, drawn from common site layouts."""
+    r = random.Random(seed)
+    kept: set[str] = set()
+
+    def text(low: int, high: int, keep: bool) -> str:
+        t = _words(r, low, high)
+        if keep:
+            kept.add(t)
+        return t
+
+    def links(n: int) -> str:
+        return "<ul>" + "".join(f'<li><a href="/{k}">{text(1, 4, False)}</a></li>' for k in range(n)) + "</ul>"
+
+    def outside(word: str, tag: str = "div") -> str:
+        kind = r.choice(("class", "class", "id"))
+        inner = r.choice((lambda: links(r.randint(2, 7)), lambda: f"<p>{text(3, 40, False)}</p>", lambda: text(2, 30, False), lambda: f"<p>{text(3, 60, False)}</p><p>{text(3, 60, False)}</p>", lambda: f"<h3>{text(1, 4, False)}</h3>{links(3)}"))()
+        return f'<{tag} {kind}="{word}">{inner}</{tag}>'
+
+    def paragraph() -> str:
+        kind = r.random()
+        if kind < 0.08:
+            return "<ul>" + "".join(f"<li>{text(3, 30, True)}</li>" for _ in range(r.randint(2, 5))) + "</ul>"
+        if kind < 0.16:
+            return f"<h2>{text(1, 8, True)}</h2>"
+        if kind < 0.22:
+            return f"<blockquote><p>{text(5, 50, True)}</p></blockquote>"
+        if kind < 0.26:
+            return f"<pre>{text(3, 30, True)}</pre>"
+        if kind < 0.3:
+            return f"<table><tr><td>{text(1, 5, True)}</td><td>{text(1, 5, True)}</td></tr></table>"
+        if kind < 0.36:
+            return f"<div>{text(8, 60, True)}</div>"
+        if kind < 0.4:
+            return f'<p><a href="/x">{text(1, 6, True)}</a></p>'
+        return f"<p>{text(1, 6, True) if r.random() < 0.15 else text(8, 110, True)}</p>"
+
+    def form() -> str:
+        return f"<form><label>{text(1, 3, False)}</label><input><p>{text(2, 12, False)}</p></form>"
+
+    parts = [f"<h1>{text(2, 12, True)}</h1>"] + [paragraph() for _ in range(r.randint(1, 9))]
+    if r.random() < 0.3:
+        parts[0] = f"<header>{parts[0]}</header>"
+    for _ in range(r.randint(0, 2)):
+        parts.insert(r.randint(1, len(parts)), outside(r.choice(OUTSIDE), r.choice(("div", "aside", "section", "p", "nav") if r.random() < 0.5 else ("div",))))
+    if r.random() < 0.2:
+        parts.insert(r.randint(1, len(parts)), form())
+    if r.random() < 0.3:
+        parts.append('<section class="comments">' + "".join(f'<div class="comment"><p>{text(4, 70, False)}</p></div>' for _ in range(r.randint(1, 4))) + "</section>")
+    if r.random() < 0.1:
+        parts.append(f"<footer><p>{text(2, 20, False)}</p></footer>")
+    body = "".join(parts)
+    body = r.choice(
+        (
+            f"<article>{body}</article>",
+            f"<article>{body}</article>",
+            f"<main><article>{body}</article></main>",
+            f'<div class="{r.choice(INSIDE)}">{body}</div>',
+            f'<main>{body}</main>',
+            f'<div id="{r.choice(INSIDE)}"><div class="{r.choice(INSIDE)}">{body}</div></div>',
+            f'<div class="wrapper"><section>{body}</section></div>',
+        )
+    )
+    before, after = [], []
+    if r.random() < 0.8:
+        before.append(f"<nav>{links(r.randint(2, 8))}</nav>")
+    if r.random() < 0.5:
+        before.insert(r.randint(0, len(before)), f"<header><p>{text(1, 12, False)}</p>{links(2) if r.random() < 0.5 else ''}</header>")
+    for _ in range(r.randint(0, 3)):
+        (before if r.random() < 0.5 else after).append(outside(r.choice(OUTSIDE), r.choice(("div", "div", "section", "aside"))))
+    if r.random() < 0.4:
+        after.append(f"<aside><p>{text(3, 60, False)}</p>{links(2)}</aside>")
+    if r.random() < 0.2:
+        after.append(form())
+    if r.random() < 0.85:
+        after.append(f"<footer>{text(2, 30, False)}{links(2) if r.random() < 0.3 else ''}</footer>")
+    return f"<html><head><title>{text(1, 5, False)}</title></head><body>{''.join(before)}{body}{''.join(after)}</body></html>", kept
+
+
+def train(pages: list[tuple[str, set[str]]], rounds: int = 60, rate: float = 0.5, shrink: float = 0.003) -> tuple[dict[str, float], tuple]:
+    """Fit local and edge weights to pages with known main text.
+
+    An element is content if it holds a kept block itself or below; an element
+    without text takes the label of its parent.
+    """
+    prepared = []
+    for html, kept in pages:
+        page = Page(html)
+        page.finish()
+        label = [0] * len(page.parent)
+        seen = [0] * len(page.parent)
+        for node, text in page.blocks:
+            label[node] |= text in kept
+            seen[node] = 1
+        for i in range(len(label) - 1, 0, -1):
+            label[page.parent[i]] |= label[i]
+            seen[page.parent[i]] |= seen[i]
+        for i in range(1, len(label)):
+            if not seen[i]:
+                label[i] = label[page.parent[i]]
+        prepared.append((page, label))
+    unary: dict[str, float] = {}
+    edge = [0.0, 0.0, 0.0, 0.0]
+    squares: dict[object, float] = {}
+    for _ in range(rounds):
+        gradient: dict[object, float] = {}
+        for page, label in prepared:
+            content, joint = marginals(page, unary, tuple(edge))
+            for i, found in enumerate(page.features):
+                miss = label[i] - content[i]
+                if abs(miss) > 1e-4:
+                    for f in found:
+                        gradient[f] = gradient.get(f, 0.0) + miss
+                if i:
+                    k = 2 * label[page.parent[i]] + label[i]
+                    for c in range(4):
+                        gradient[c] = gradient.get(c, 0.0) + (c == k) - joint[i][c]
+        for f, g in gradient.items():
+            g = g / len(prepared) - shrink * (edge[f] if isinstance(f, int) else unary.get(f, 0.0))
+            squares[f] = squares.get(f, 0.0) + g * g
+            step = rate * g / (math.sqrt(squares[f]) + 1e-9)
+            if isinstance(f, int):
+                edge[f] = max(-8.0, min(8.0, edge[f] + step))
+            else:
+                unary[f] = unary.get(f, 0.0) + step
+    return unary, tuple(edge)
+
+
+TRAINING_PAGES = 240
+
+
+def trained_model(pages: int = TRAINING_PAGES) -> tuple[dict[str, float], tuple]:
+    return train([labelled_page(seed) for seed in range(pages)])
+
+
+def extract(df: DataFrame, model: tuple[dict[str, float], tuple], html_column: str = "html") -> DataFrame:
+    """Add ``main_text`` to every row; null or empty html gives an empty text. A column of this name is replaced."""
+    df = df.drop("main_text")
+    held = df.sparkSession.sparkContext.broadcast(model)
+    schema = extended(df.schema, main_text=T.StringType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([main_text(x, held.value) for x in batch[html_column].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), trained_model())
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+QUERIES = {"op9_html_text": op9_html_text}
 ORACLE_SQL: dict[str, str] = {}
