@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftgraph.llm import langid, simhash
+from weftgraph.llm import decontaminate, langid, pieces, simhash, surrogates
 from weftgraph.llm.common import table
 from weftgraph.plans.lineage import materialize
 
@@ -20,7 +21,38 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one_of_each(docs)
 
 
-STAGES = [("language_id", language_id), ("simhash_dedup", simhash_dedup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold benchmark text: a whole window of eight words, or windows of two items.
+
+    A lone match of an item shorter than a window is common speech and stays.
+    """
+    columns = [f"`{c}`" for c in docs.columns if c not in ("n_words", "hit_spans", "item_ids")]
+    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    window = F.exists("hit_spans", lambda s: s["last"] - s["first"] >= decontaminate.WINDOW)
+    return found.where(~window & (F.size("item_ids") < decontaminate.CONTAMINATED_ITEMS)).select(*columns)
+
+
+def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Put surrogates in place of personal data; n_chars follows the text."""
+    found = surrogates.replace_pii(docs)
+    length = F.when(F.size("pii_kinds") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", length).drop("pii_kinds")
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode every text; ``text`` is the ids decoded again, ``piece_ids`` the ids and ``n_tokens`` their number."""
+    found = pieces.encode_decode(docs, pieces.model_path())
+    return found.withColumn("text", F.col("piece_text")).withColumn("n_tokens", F.size("piece_ids").cast("long")).drop("piece_text")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_dedup", simhash_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("pii_surrogates", pii_surrogates),
+    ("sentencepiece", sentencepiece),
+]
+#: The language model, the fingerprints and the codec are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -263,7 +263,9 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     Near-duplicates have wide fingerprints of 5-word shingles that estimate a
     similarity of 0.8 or more. Rows repeated with the same doc_id count once;
     rows without a doc_id stay only if no other row of their group has one.
+    Columns named _row or _fp are left out.
     """
+    docs = docs.drop("_row", "_fp")
     columns = docs.columns
     rowed = docs.withColumn("_row", F.monotonically_increasing_id())
     prints = materialize(add_fingerprints(rowed, shingle=STAGE_SHINGLE, words=STAGE_WORDS), "stage-prints")

@@ -168,9 +168,9 @@ def replace_pii(docs: DataFrame, text_column: str = "text", key: str = KEY) -> D
 
     Rows without entities, null and empty texts among them, stay as they are
     with an empty list, and are not shuffled. Repeated rows stay repeated. A
-    column named ``pii_kinds`` is replaced.
+    column named ``pii_kinds`` is replaced; _row, _found and _puts are left out.
     """
-    docs = docs.drop("pii_kinds")
+    docs = docs.drop("pii_kinds", "_row", "_found", "_puts")
     columns = docs.columns
     text = F.col(text_column)
     found = F.coalesce(F.size(entities(text)) > 0, F.lit(False))
