@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -23,8 +24,10 @@ from pyspark.sql import types as T
 from .common import extended, table
 
 SPACE = "▁"
-KEPT_RUNS = 250_000
+KEPT = 250_000
+TEXTS_AT_ONCE = 128
 LONGEST_KEPT = 48
+SHORT = 40
 
 
 class Codec:
@@ -46,6 +49,7 @@ class Codec:
         scores = sorted({sp.get_score(i) for i in normal}, reverse=True)
         place = {s: k for k, s in enumerate(scores)}
         self.rank = {self.pieces[i]: place[sp.get_score(i)] for i in normal if len(self.pieces[i]) > 1}
+        self.none = len(scores)
         self.bytes = [0] * 256
         for i in range(size):
             if sp.is_byte(i):
@@ -65,13 +69,15 @@ class Codec:
         other = "".join(re.escape(c) for c in joined if not c.isalpha())
         inner = f"[{letters}{other}]+" if mixed else f"(?:[{other}]*[{letters}]+|[{other}]+)"
         self.runs = re.compile(f"{SPACE}*{inner}|{SPACE}+|(?s:.)").findall if letters and other else list
-        self.young: dict[str, tuple[list[int], str]] = {}
-        self.old: dict[str, tuple[list[int], str]] = {}
+        self.spelling = [None if i in self.byte_of or i in self.silent or i == self.unknown else self.pieces[i].replace(SPACE, " ") for i in range(size)]
+        self.kept_runs, self.kept_words = Kept(), Kept()
 
     def merge(self, run: str) -> list[str]:
         """The agenda: always merge the best-scored adjacent pair, the leftmost among equals."""
-        symbols: list[str | None] = list(run)
         rank, n = self.rank, len(run)
+        if n <= SHORT:
+            return self._merge_short(list(run))
+        symbols: list[str | None] = list(run)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         shift = n.bit_length()
         mask = (1 << shift) - 1
@@ -96,6 +102,20 @@ class Codec:
                 heappush(agenda, rank[m] << shift | h)
         return [s for s in symbols if s is not None]
 
+    def _merge_short(self, symbols: list[str]) -> list[str]:
+        """The agenda of a short run is a plain list of the pairs' ranks, cheaper than a heap."""
+        ranked, none = self.rank.get, self.none
+        agenda = [ranked(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        while agenda and (best := min(agenda)) != none:
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = ranked(symbols[i] + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = ranked(symbols[i - 1] + symbols[i], none)
+        return symbols
+
     def encode_run(self, run: str) -> list[int]:
         ids = self.ids
         if run in ids and len(run) == 1:
@@ -114,6 +134,9 @@ class Codec:
         return self._spell(ids, True)
 
     def _spell(self, ids: list[int], first: bool) -> str:
+        spelled = [self.spelling[i] for i in ids]
+        if not first and None not in spelled:
+            return "".join(spelled)
         out: list[str] = []
         held = bytearray()
         for i in ids:
@@ -155,31 +178,59 @@ class Codec:
             for r, text in zip(runs, self.library.decode([mark + found[r][0] for r in runs])):
                 if text != "\x01" + found[r][1]:
                     raise AssertionError(f"the library decodes {r[:80]!r} otherwise")
-        if len(self.young) > KEPT_RUNS:  # what was not met again since the last turn goes
-            self.old, self.young = self.young, {}
-        self.young.update((r, v) for r, v in found.items() if len(r) <= LONGEST_KEPT)
+        self.kept_runs.keep(found)
         return found
 
+    def encode_runs(self, texts: list[list[str]]) -> list[tuple[list[int], str]]:
+        """Each list of runs as one sequence of ids and its spelling, the dummy prefix included."""
+        found = self.kept_runs.find({r for runs in texts for r in runs})
+        if missing := [r for r in dict.fromkeys(r for runs in texts for r in runs) if r not in found]:
+            found |= self.learn(missing)
+        return [(list(chain.from_iterable([found[r][0] for r in runs])), "".join([found[r][1] for r in runs])) for runs in texts]
+
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[list[int], str]]:
-        """Ids and decoded text of each whole text."""
-        for text in texts:
-            runs = self.split(text)
-            young, old = self.young, self.old
-            fresh: dict[str, tuple[list[int], str]] = {}
-            missing = {r for r in runs if r not in young}
-            if missing:
-                again = {r: old[r] for r in missing if r in old}
-                young.update(again)
-                if missing := [r for r in missing if r not in again]:
-                    fresh = self.learn(missing)
-            ids: list[int] = []
-            spelled: list[str] = []
-            for r in runs:
-                got = young.get(r) or fresh.get(r) or self.young.get(r) or old[r]
-                ids += got[0]
-                spelled.append(got[1])
-            decoded = "".join(spelled)
-            yield ids, decoded[1:] if decoded.startswith(" ") else decoded
+        """Ids and decoded text of each whole text.
+
+        A text in which spaces stand alone is a sequence of words that each start
+        with one; words are kept like runs. Other texts are cut into runs at once.
+        """
+        for first in range(0, len(texts), TEXTS_AT_ONCE):
+            part = texts[first : first + TEXTS_AT_ONCE]
+            words = [t.split(" ") if t and "  " not in t and SPACE not in t and t[0] != " " and t[-1] != " " else None for t in part]
+            wanted = {w for x in words if x for w in x}
+            found = self.kept_words.find(wanted)
+            if missing := list(wanted - found.keys()):
+                fresh = dict(zip(missing, self.encode_runs([self.runs(SPACE + w) for w in missing])))
+                self.kept_words.keep(fresh)
+                found |= fresh
+            for text, own in zip(part, words):
+                if own:
+                    got = [found[w] for w in own]
+                    ids, decoded = list(chain.from_iterable([g[0] for g in got])), "".join([g[1] for g in got])
+                else:
+                    ((ids, decoded),) = self.encode_runs([self.split(text)])
+                yield ids, decoded[1:] if decoded.startswith(" ") else decoded
+
+
+class Kept:
+    """A bounded store in two generations: what is not met again while the younger one fills is dropped."""
+
+    def __init__(self, size: int = KEPT):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def find(self, keys: set[str]) -> dict:
+        young, old = self.young, self.old
+        found = {k: young[k] for k in keys if k in young}
+        again = {k: old[k] for k in keys - found.keys() if k in old}
+        self.keep(again)
+        return found | again
+
+    def keep(self, entries: dict) -> None:
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+        self.young.update((k, v) for k, v in entries.items() if len(k) <= LONGEST_KEPT)
 
 
 def _utf8(raw: bytes) -> str:
