@@ -1,4 +1,300 @@
-"""To come."""
+"""Repeated byte strings by interval expansion on a Burrows-Wheeler transform.
 
-QUERIES: dict = {}
+A byte is removed if a string of ``least`` bytes that covers it also starts
+elsewhere. The corpus is cut so that equal strings meet in one task: every
+string of that length has an anchor, the rightmost smallest hash among its
+k-grams, which its own content determines. Neighbouring strings with the same
+anchor form a segment; an anchor met once has no repeats. A segment whose whole
+content is met twice is repeated from end to end. What is left, segments of one
+anchor with different contents, is indexed: a task sorts the suffixes of its
+segments, takes their Burrows-Wheeler transform and derives common-prefix
+boundaries by increasing length, breadth first: a boundary between two rows at
+length l extends backward to the rows of the preceding character at length
+l + 1. At the minimum length it stops; rows without a boundary between them then
+share that many bytes.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..plans.lineage import materialize
+from .common import extended, table, text_bytes
+
+LEAST = 200
+GRAM = 32
+INDEX_BYTES = 2 << 20
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    if len(_powers[0]) < n:
+        size = 1 << max(18, (n - 1).bit_length())
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            _powers[k] = np.multiply.accumulate(steps)
+    return _powers[0][:n], _powers[1][:n]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def segments(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, content hash, first and last string start of each segment of a text."""
+    starts = len(text) - least + 1
+    if starts < 1:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none, none
+    power, inverse = _power_tables(len(text) + 1)
+    total = np.zeros(len(text) + 1, dtype=np.uint64)
+    np.cumsum((np.frombuffer(text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    grams = _mix((total[gram:] - total[:-gram]) * inverse[: len(text) - gram + 1])
+    n, width = len(grams), least - gram + 1
+    # The high half of the hash, then the place from the right, so that the smallest key is the rightmost of the smallest.
+    keys = (grams & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(n, dtype=np.uint64))
+    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
+    padded[:n] = keys
+    rows = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(rows, axis=1).ravel()
+    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    smallest = np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts])
+    place = (np.uint64(0xFFFFFFFF) - (smallest & np.uint64(0xFFFFFFFF))).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    last = np.r_[first[1:], starts] - 1
+    anchor = place[first]
+    content = _mix((total[last + least] - total[first]) * inverse[first]) ^ _mix(((last - first) << 20 | (anchor - first)).astype(np.uint64))
+    return grams[anchor].view(np.int64), content.view(np.int64), first, last
+
+
+def suffix_order(text: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
+    """Positions of ``text`` sorted by their first ``depth`` bytes; a suffix with less room than is compared stands alone."""
+    n = len(text)
+    # Seven symbols of nine bits; the end of a part is 0, below every byte, so no other suffix sorts between equal ones.
+    wide = np.zeros(n + 7, dtype=np.uint64)
+    wide[:n] = text
+    wide += np.uint64(1)
+    key = np.zeros(n, dtype=np.uint64)
+    for k in range(7):
+        key = key << np.uint64(9) | np.where(room > k, wide[k : k + n], np.uint64(0))
+    length = 7
+    order, rank = _ranked(key, room < length)
+    while length < depth:
+        step = min(length, depth - length)
+        second = np.where(room > step, rank[np.minimum(np.arange(n) + step, n - 1)] + np.uint32(1), np.uint32(0))
+        order, rank = _ranked(rank.astype(np.uint64) << np.uint64(32) | second, room < length + step)
+        length += step
+    return order
+
+
+def _ranked(key: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key)
+    sorted_key, sorted_alone = key[order], alone[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (sorted_key[1:] != sorted_key[:-1]) | sorted_alone[1:] | sorted_alone[:-1]
+    rank = np.empty(len(key), dtype=np.uint32)
+    rank[order] = np.cumsum(new) - 1
+    return order, rank
+
+
+def common_prefix_boundaries(text: np.ndarray, room: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
+    """True where a row of the suffix order shares fewer than ``least`` bytes with the row above.
+
+    Breadth first over the transform: at length 1 rows part where their first
+    byte changes. A boundary at row q found at length l is extended backward: the
+    row that the byte before q's suffix leads to parts at length l + 1 if the row
+    above has the same byte before it. Rows whose predecessors were not
+    neighbours part once any boundary lies between those.
+    """
+    n = len(text)
+    row_of = np.empty(n, dtype=np.int64)
+    row_of[order] = np.arange(n)
+    nxt = row_of[np.minimum(order + 1, n - 1)]  # the row of the suffix one byte on
+    above = np.r_[0, nxt[:-1]]
+    byte, ends = text[order], room[order] <= 1
+    bound = np.ones(n, dtype=bool)
+    bound[1:] = byte[1:] != byte[:-1]
+    short = ~bound & (ends | np.r_[False, ends[:-1]])  # the last byte of a part: one byte is all they can share
+    whole = ~bound & ~short  # rows that may still part
+    neighbours = whole & (nxt == above + 1)
+    back = np.full(n, -1, dtype=np.int64)  # q -> the row that follows it backward
+    at = np.flatnonzero(neighbours)
+    back[nxt[at]] = at
+    apart = np.flatnonzero(whole & ~neighbours)
+    low, high = np.minimum(above[apart], nxt[apart]), np.maximum(above[apart], nxt[apart])
+    fresh = np.flatnonzero(bound)
+    count = np.empty(n, dtype=np.int32)
+    for length in range(1, least):
+        reached = back[fresh]
+        reached = reached[reached >= 0]
+        if length == 1:
+            reached = np.r_[reached, np.flatnonzero(short)]
+        reached = reached[~bound[reached]]
+        if len(apart):
+            np.cumsum(bound, out=count)
+            parted = count[high] != count[low]
+            reached = np.r_[reached, apart[parted]]
+            keep = ~parted
+            apart, low, high = apart[keep], low[keep], high[keep]
+        elif not len(reached):
+            break
+        bound[reached] = True
+        fresh = reached
+    return bound
+
+
+def repeated_starts(parts: list[bytes], weights: list[int], least: int = LEAST) -> list[np.ndarray]:
+    """For each part, which of its string starts (0 to length - least) are met twice among all parts, weights counted."""
+    sizes = np.array([len(p) for p in parts])
+    text = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    ends = np.cumsum(sizes)
+    room = np.repeat(ends, sizes) - np.arange(len(text))
+    order = suffix_order(text, room, least)
+    bound = common_prefix_boundaries(text, room, order, least)
+    group = np.cumsum(bound) - 1
+    weight = np.repeat(np.array(weights, dtype=np.int64), sizes)[order]
+    met = np.bincount(group, weights=weight * (room[order] >= least))
+    again = np.zeros(len(text), dtype=bool)
+    again[order] = met[group] >= 2
+    again &= room >= least
+    return [again[e - s : max(e - s, e - least + 1)] for e, s in zip(ends.tolist(), sizes.tolist())]
+
+
+def _index(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Spans (print, first, last) of the segments met once; rows come sorted by anchor."""
+
+    def solve(rows: list[tuple]) -> pa.RecordBatch:
+        prints, firsts, lasts = [], [], []
+        found = repeated_starts([r[4] for r in rows], [r[1] for r in rows], least)
+        for (_, n, print_, first, _), again in zip(rows, found):
+            if n == 1 and again.any():
+                edge = np.flatnonzero(np.diff(np.r_[0, again.view(np.int8), 0]))
+                for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                    prints.append(print_)
+                    firsts.append(first + a)
+                    lasts.append(first + b - 1 + least)
+        return pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())], ["print", "first", "last"])
+
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        columns = [batch[c].to_pylist() for c in ("anchor", "n", "print", "first", "content")]
+        for row in zip(*columns):
+            if size > INDEX_BYTES and row[0] != held[-1][0]:
+                yield solve(held)
+                held, size = [], 0
+            held.append(row)
+            size += len(row[4])
+    if held:
+        yield solve(held)
+
+
+def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAST) -> DataFrame:
+    """``(print, spans)``: for the MD5 of each text with repeats, byte ranges [first, last), sorted but not merged."""
+    spark = docs.sparkSession
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    rows = docs.select(text.alias("text")).where(F.octet_length("text") >= least)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["anchor", "content", "first", "last", "print"]
+        for batch in batches:
+            held: list[list] = [[], [], [], [], []]
+            size = 0
+            for t in text_bytes(batch["text"]):
+                found = segments(t, least)
+                for k in range(4):
+                    held[k].append(found[k])
+                held[4] += [hashlib.md5(t).digest()] * len(found[0])
+                size += len(found[0])
+                if size > 50_000:
+                    yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in held[:4]), pa.array(held[4], pa.binary())], names)
+                    held, size = [[], [], [], [], []], 0
+            if size:
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in held[:4]), pa.array(held[4], pa.binary())], names)
+
+    cuts = rows.mapInArrow(cut, "anchor long, content long, first long, last long, print binary")
+    # Copies of a text share its print, so they are one row with a count from here on.
+    cuts = materialize(cuts.groupBy("anchor", "content", "print", "first", "last").agg(F.count("*").alias("n")), "cuts")
+    anchors = cuts.groupBy("anchor").agg(F.sum("n").alias("met"), (F.min("content") != F.max("content")).alias("mixed")).where("met > 1")
+    met = materialize(cuts.join(materialize(anchors.select("anchor", "mixed"), "anchors"), "anchor"), "met")
+    kinds = materialize(met.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "last")).alias("one"), F.max("mixed").alias("mixed")), "kinds")
+    whole = met.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"]).select("print", "first", (F.col("last") + least).alias("last"))
+    # Anchors all of whose contents are met twice have nothing left to find.
+    open_anchors = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("fewest")).where("fewest = 1").select("anchor")
+    asked = kinds.join(materialize(open_anchors, "open-anchors"), "anchor").select(F.col("one.print").alias("print"), F.struct("anchor", F.least("n", F.lit(2)).alias("n"), F.col("one.first").alias("first"), F.col("one.last").alias("last")).alias("want"))
+    wants = materialize(asked.groupBy("print").agg(F.collect_list("want").alias("wants")), "wants")
+    prints = rows.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("print"), F.col("text").cast("binary").alias("raw"))
+    # One text for each print: copies would only repeat its segments.
+    texts = prints.join(wants, "print").dropDuplicates(["print"])
+    content = F.transform("wants", lambda w: F.struct(w["anchor"].alias("anchor"), w["n"].alias("n"), w["first"].alias("first"), F.substring(F.col("raw"), (w["first"] + 1).cast("int"), (w["last"] - w["first"] + least).cast("int")).alias("content")))
+    parts = texts.select("print", F.explode(content).alias("w")).select("w.anchor", "w.n", "print", "w.first", "w.content")
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = parts.repartition(shuffles, "anchor").sortWithinPartitions("anchor").mapInArrow(lambda it: _index(it, least), "print binary, first long, last long")
+    spans = whole.unionByName(found).distinct()
+    return spans.groupBy("print").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
+
+
+_SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
+
+
+def remove_repeats(docs: DataFrame, text_column: str = "text", least: int = LEAST) -> DataFrame:
+    """Add ``removed_spans`` (merged byte ranges [first, last)) and ``kept`` (the bytes that remain) to every row.
+
+    A null text is empty; texts shorter than ``least`` bytes keep everything;
+    repeated rows repeat each other. Columns with these names are replaced.
+    """
+    docs = docs.drop("removed_spans", "kept", "print", "spans")
+    spans = materialize(repeated_spans(docs, text_column, least), "spans")
+    raw = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
+    joined = docs.withColumn("print", F.unhex(F.md5(raw))).join(spans, "print", "left").drop("print")
+    kept_fields = [f for f in joined.schema.fields if f.name != "spans"]
+    schema = extended(T.StructType(kept_fields), removed_spans=_SPANS, kept=T.BinaryType())
+    arrow_spans = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                merged, left = [], []
+                for text, found in zip(text_bytes(batch[text_column]), batch["spans"].to_pylist()):
+                    out: list[dict] = []
+                    for s in found or ():
+                        if out and s["first"] <= out[-1]["last"]:
+                            out[-1]["last"] = max(out[-1]["last"], s["last"])
+                        else:
+                            out.append(s)
+                    merged.append(out)
+                    edges = [0, *(x for s in out for x in (s["first"], s["last"])), len(text)]
+                    left.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in kept_fields), pa.array(merged, arrow_spans), pa.array(left, pa.binary())], schema.names)
+
+    return joined.mapInArrow(cut, schema)
+
+
+def op6_suffix_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that 200-byte repeats cover."""
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]))
+    return found.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+QUERIES = {"op6_suffix_spans": op6_suffix_spans}
 ORACLE_SQL: dict[str, str] = {}
