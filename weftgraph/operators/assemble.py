@@ -48,7 +48,7 @@ def tag_ids(rows: DataFrame, translations: DataFrame, tags: str = "tags", key: s
     ``translations``: tag_id, de, en, dict_ord; the first in dictionary order wins.
     """
     exact = translations.select(F.col("tag_id").alias("tag"), F.col("tag_id").alias("exact"))
-    labels = translations.select("tag_id", "dict_ord", F.lower(F.explode(F.array("en", "de"))).alias("label")).groupBy("label").agg(F.min_by("tag_id", "dict_ord").alias("by_label"))
+    labels = translations.select("tag_id", "dict_ord", F.explode(F.array(F.lower("en"), F.lower("de"))).alias("label")).groupBy("label").agg(F.min_by("tag_id", "dict_ord").alias("by_label"))
     each = rows.select(key, F.posexplode(tags).alias("i", "tag"))
     found = each.join(exact, "tag", "left").join(labels, F.lower("tag") == F.col("label"), "left").withColumn("tag_id", F.coalesce("exact", "by_label", F.concat(F.lit("no_translation_id_"), "tag")))
     lists = found.groupBy(key).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("i", "tag_id"))), lambda x: x["tag_id"])).alias("tagIds"))

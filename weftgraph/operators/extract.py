@@ -10,12 +10,11 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema
 from ..functions.text import split_child_id
 
-RESPONSE_DDL = "STRUCT<" + schema.ELEMENT["normalized"].dataType.simpleString()[len("struct<") : -1] + ">"
-
 
 def content_hash(name: Column, html: Column, tags: Column) -> Column:
     return F.md5(F.concat_ws("\u0001", name, html, F.array_join(tags, "\u0002")))
@@ -50,7 +49,7 @@ def repair_json(text: str) -> str:
     return text + ('"' if inside else "") + "".join(reversed(closers))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _repaired(texts: pd.Series) -> pd.Series:
     def one(text: str | None) -> str | None:
         if not text:

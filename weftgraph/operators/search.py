@@ -25,10 +25,14 @@ def _score(words: list[str]) -> F.Column:
         for name in ("label", "summary"):
             total += F.when(whole_word(F.col(name), w), WEIGHTS[name]).otherwise(0)
         for name in ("mechanics", "skills", "tags"):
-            total += WEIGHTS[name] * F.size(F.filter(name, lambda x, w=w: whole_word(x, w)))
+            total += WEIGHTS[name] * _matching(F.col(name), w)
     return total
 
 
+def _matching(labels: F.Column, word: str) -> F.Column:
+    return F.size(F.filter(labels, lambda x: whole_word(x, word)))
+
+
 def rank(rows: DataFrame, words: list[str]) -> DataFrame:
     """Rows that match, with their score. Words are literals, so this is one pass without a join."""
     return rows.withColumn("score", _score(words)).where("score > 0")
@@ -60,7 +64,7 @@ def search_elements(rows: DataFrame, query: str, canonical_only: bool = True, la
 def word_matches(rows: DataFrame, words: list[str]) -> DataFrame:
     """``(word, n)``: labels of mechanics, skills and tags of all rows that hold each word, one count for each occurrence."""
     labels = F.concat("mechanics", "skills", "tags")
-    counted = rows.agg(*(F.sum(F.size(F.filter(labels, lambda x, w=w: whole_word(x, w)))).cast("long").alias(f"w{i}") for i, w in enumerate(words)))
+    counted = rows.agg(*(F.sum(_matching(labels, w)).cast("long").alias(f"w{i}") for i, w in enumerate(words)))
     pairs = ", ".join(f"struct({i} as at, w{i} as n)" for i in range(len(words)))
     by_word = counted.select(F.explode(F.expr(f"array({pairs})")).alias("p")).select("p.*")
     names = F.array(*map(F.lit, words))

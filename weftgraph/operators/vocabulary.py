@@ -103,7 +103,7 @@ def cluster_terms(terms: DataFrame, seeds: DataFrame | None = None, thesaurus: D
     frequency = names.groupBy("kind", F.lower("term").alias("term_lc")).agg(F.sum("own").alias("n"))
     names = names.withColumn("term_lc", F.lower("term")).join(frequency, ["kind", "term_lc"])
     if thesaurus is not None:
-        held = thesaurus.select("kind", F.lower(F.explode(F.array_union(F.array("canonical"), "variants"))).alias("term_lc")).distinct()
+        held = thesaurus.select("kind", F.explode(F.transform(F.array_union(F.array("canonical"), "variants"), F.lower)).alias("term_lc")).distinct()
         names = names.join(held, ["kind", "term_lc"], "left_anti")
     stats = names.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "ord", "term")).cast("long"))
     pairs = term_pairs(stats)

@@ -23,17 +23,21 @@ derivedElements ARRAY<STRUCT<name STRING, description STRING, parentIdentifier S
 relatedIdentifiers ARRAY<STRUCT<identifier STRING, confidence DOUBLE>>,
 ord BIGINT
 """
-ELEMENT = T.StructType.fromDDL(ELEMENT_DDL)
 RAW_DDL = "url STRING, identifier STRING, name STRING, sourceName STRING, languageCode STRING, tags ARRAY<STRING>, translationLinkEn STRING, translationLinkDe STRING, markdown STRING, htmlContent STRING, fetchedAt STRING, lastUpdate STRING, lastModified STRING, licenseName STRING, licenseSpdxIdentifier STRING, licenseUrl STRING, categories ARRAY<STRING>, postTags ARRAY<STRING>, linksInHtmlContent ARRAY<STRING>, card MAP<STRING, STRING>"
-RAW = T.StructType.fromDDL(RAW_DDL)
 OVERRIDE_DDL = "ord BIGINT, type STRING, elementA STRING, elementB STRING, edgeType STRING, elementId STRING, targetId STRING, requirementLabel STRING, fromElementId STRING, toElementId STRING, note STRING, contentHash STRING, contentHashes MAP<STRING, STRING>"
-OVERRIDE = T.StructType.fromDDL(OVERRIDE_DDL)
 LICENSES = ("CC-BY-SA-3.0-DE", "CC-BY-SA-4.0", "GFDL-1.2")
 
 
+def __getattr__(name: str) -> T.StructType:
+    """ELEMENT, RAW and OVERRIDE; parsed on use, since parsing needs a session and workers import this module too."""
+    if name in ("ELEMENT", "RAW", "OVERRIDE"):
+        return T.StructType.fromDDL(globals()[f"{name}_DDL"])
+    raise AttributeError(name)
+
+
 def schema_version() -> Column:
     """Part of the extraction cache key; changes with the schema."""
-    return F.xxhash64(F.lit(ELEMENT.json()))
+    return F.xxhash64(F.lit(ELEMENT_DDL))
 
 
 def _has_id(c: str) -> Column:

@@ -143,7 +143,12 @@ CARD_WIKI = Layout("cardwiki", "h1.font-comic", ".article-content", "main a[href
 BLOG = Layout("blog", "h1.entry-title", ".entry-content", "ul.lcp_catlist a", categories="footer.entry-meta a[rel='category tag']", post_tags="footer.entry-meta a[rel='tag']", license=("CC BY-SA 4.0 International", "CC-BY-SA-4.0", "https://creativecommons.org/licenses/by-sa/4.0/"))
 MEDIA_WIKI = Layout("mediawiki", "#firstHeading", "#mw-content-text", "#mw-pages a", categories="#catlinks #mw-normal-catlinks ul li a", modified="#footer li#lastmod", excluded_categories=("All",), categories_are_tags=True, license=("GNU Free Documentation License 1.2", "GFDL-1.2", "https://www.gnu.org/copyleft/fdl.html"))
 
-_PAGE = T.StructType.fromDDL("name STRING, languageCode STRING, htmlContent STRING, links ARRAY<STRING>, tags ARRAY<STRING>, categories ARRAY<STRING>, postTags ARRAY<STRING>, lastUpdate STRING, lastModifiedText STRING, translationLinkEn STRING, translationLinkDe STRING, card MAP<STRING,STRING>")
+_STRINGS = T.ArrayType(T.StringType())
+_PAGE = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("name", "languageCode", "htmlContent", "lastUpdate", "lastModifiedText", "translationLinkEn", "translationLinkDe")]
+    + [T.StructField(c, _STRINGS) for c in ("links", "tags", "categories", "postTags")]
+    + [T.StructField("card", T.MapType(T.StringType(), T.StringType()))]
+)
 
 
 def _absolute(base: str, href: str) -> str | None:
@@ -282,7 +287,7 @@ def to_markdown(html: str | None) -> str:
 def add_markdown(df: DataFrame, html: str = "htmlContent", column: str = "markdown") -> DataFrame:
     """Add the Markdown of an HTML column; equivalent to, not byte-equal with, other converters."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def convert(values):
         return values.map(to_markdown)
 

@@ -1,0 +1 @@
+"""Incremental processing of a catalogue."""
