@@ -1,0 +1,275 @@
+"""WARC, embeddings, pages, PII and the pipeline."""
+
+import gzip
+import hashlib
+import re
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import DOC, words
+from weftgraph.llm import embedding_links, html_text, surrogates, warc
+from weftgraph.plans.lineage import new_path
+
+# ---- 1 WARC
+
+PAGE = "page_id long, url string, html string"
+
+
+def archive(spark, rows, **options):
+    source, target = new_path(spark, "t-warc"), new_path(spark, "t-warc-out")
+    warc.write_archives(spark.createDataFrame(rows, PAGE), source, **options)
+    warc.deduplicate_archives(spark, source, target)
+    return warc.resolved(warc.read_archives(spark, target)), source, target
+
+
+def test_revisits(spark):
+    big, tricky = words(1, 400), "WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n" * 40
+    rows = [(1, "http://a", big), (2, "http://b", big), (3, None, "short"), (4, "http://d\r\nX: 1", "short"), (5, "u", None), (6, "u", ""), (7, "v", tricky), (8, "w", tricky), (None, "n", big), (2, "http://b", big), (9, "é", "é" * 600)]
+    found, source, _ = archive(spark, rows, records_a_file=3)
+    assert found.count() == len(rows)
+    for r in found.collect():
+        html = next(h or "" for i, _, h in rows if i == r["page_id"])
+        raw = html.encode()
+        assert r["payload_bytes"] == len(raw) and r["payload_digest"] == hashlib.sha1(raw).hexdigest()
+        same = [i for i, _, h in rows if (h or "") == html and i is not None]
+        if r["record_type"] == "revisit":
+            assert len(raw) >= 1000 and r["refers_to"] == max(same)
+        else:
+            assert r["refers_to"] is None and (len(raw) < 1000 or r["page_id"] == max(same))
+    kinds = sorted((r["page_id"] or 0, r["record_type"]) for r in found.collect())
+    assert kinds.count((2, "response")) == 1 and kinds.count((2, "revisit")) == 1 and (0, "revisit") in kinds and (7, "revisit") in kinds
+    payloads = {(r["page_id"], bytes(r["payload"]).decode()) for r in warc.read_archives(spark, source, payloads=True).collect()}
+    assert payloads == {(i, h or "") for i, _, h in rows}
+
+
+def test_archives_are_warc_files(spark):
+    _, _, target = archive(spark, [(1, "http://a", "x" * 1200), (2, "http://b", "x" * 1200)])
+    import glob
+
+    text = b"".join(gzip.open(f).read() for f in glob.glob(f"{target}/*.gz"))
+    assert text.count(b"WARC/1.1\r\n") == 2 and b"WARC-Type: revisit" in text and b"WARC-Refers-To: <urn:uuid:" in text and text.endswith(b"\r\n\r\n")
+    with pytest.raises(ValueError):
+        list(warc.parse(b"WARC/1.1\r\nContent-Length: 50\r\n\r\nabc", False))
+
+
+def test_no_pages(spark):
+    found, _, _ = archive(spark, [])
+    assert found.count() == 0
+
+
+# ---- 4 embeddings
+
+VECTOR = "vec_id long, embedding array<float>, label int"
+
+
+def brute_links(rows):
+    ids = [i for i, _, _ in rows]
+    sound = {k: np.array(v, dtype=float) for k, (_, v, _) in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
+    label = list(ids)
+    n = [0] * len(rows)
+    pairs = [(a, b) for a in sound for b in sound if a != b and len(sound[a]) == len(sound[b]) and sound[a] @ sound[b] / np.sqrt((sound[a] @ sound[a]) * (sound[b] @ sound[b])) >= 0.9]
+    for a, _ in pairs:
+        n[a] += 1
+    for _ in rows:
+        for a, b in pairs:
+            label[a] = min(label[a], label[b])
+    return {i: (c, l, i == l) for i, c, l in zip(ids, n, label)}
+
+
+def test_links(spark):
+    rng = np.random.default_rng(3)
+    rows, k = [], 0
+    for _ in range(12):
+        centre = rng.normal(size=24)
+        for _ in range(6):
+            rows.append((k, (centre + rng.normal(size=24) * rng.choice([0.05, 0.2, 0.3])).astype(np.float32).tolist(), 0))
+            k += 1
+    rows += [(k + i, rng.normal(size=24).astype(np.float32).tolist(), None) for i in range(40)]
+    k += 40
+    same = rng.normal(size=24).astype(np.float32).tolist()
+    rows += [(k + i, same, 1) for i in range(9)] + [(k + 9, [2 * x for x in same], 1), (k + 10, [-x for x in same], 1)]
+    k += 11
+    odd = [None, [], [0.0] * 24, [float("nan")] * 24, [float("inf")] + [1.0] * 23, [None] + [1.0] * 23, [1.0], [2.0]]
+    rows += [(k + i, v, 1) for i, v in enumerate(odd)]
+    df = spark.createDataFrame(rows, VECTOR).selectExpr("*", "'x' AS id", "1 AS node")
+    found = {r["id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_links.link_vectors(df).collect()}
+    expected = brute_links(rows)
+    true, got = sum(c for c, _, _ in expected.values()), sum(c for c, _, _ in found.values())
+    assert got >= 0.9 * true and all(found[i][0] <= expected[i][0] for i in expected)
+    assert found == expected  # at this size and seed all are found
+
+
+def test_calibration_by_simulation():
+    plan = embedding_links.calibrate(2000)
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, plan.directions))
+    y = 0.9 * x + np.sqrt(1 - 0.81) * rng.normal(size=x.shape)
+    met = ((np.abs(x) >= plan.tail) & (np.abs(y) >= plan.tail) & (np.sign(x) == np.sign(y)) & (np.abs(x - y) <= plan.width)).sum(axis=1)
+    assert (met >= plan.collisions).mean() >= 0.97
+
+
+def test_no_vectors(spark):
+    assert embedding_links.link_vectors(spark.createDataFrame([], VECTOR)).count() == 0
+
+
+# ---- 9 HTML
+
+
+@pytest.fixture(scope="module")
+def model():
+    return html_text.trained_model()
+
+
+def test_held_out_pages(model):
+    wrong = total = 0
+    for seed in range(5000, 5120):
+        html, kept = html_text.labelled_page(seed)
+        page = html_text.Page(html)
+        page.finish()
+        content, _ = html_text.marginals(page, *model)
+        for node, text in page.blocks:
+            total += 1
+            wrong += (content[node] > 0.5) != (text in kept)
+    assert wrong / total < 0.05
+
+
+def test_marginals_by_enumeration(model):
+    import itertools
+    import math
+
+    page = html_text.Page('<nav><a href="/">x</a></nav><article><p>some words here</p><div class="ad">y</div></article>')
+    page.finish()
+    unary, edge = model
+    content, joint = html_text.marginals(page, unary, edge)
+    n = len(page.parent)
+    weight = {}
+    for s in itertools.product((0, 1), repeat=n):
+        weight[s] = math.exp(sum(sum(unary.get(f, 0.0) for f in page.features[i]) for i in range(n) if s[i]) + sum(edge[2 * s[page.parent[i]] + s[i]] for i in range(1, n)))
+    total = sum(weight.values())
+    for i in range(n):
+        assert content[i] == pytest.approx(sum(w for s, w in weight.items() if s[i]) / total)
+    assert joint[2][3] == pytest.approx(sum(w for s, w in weight.items() if s[2] and s[page.parent[2]]) / total)
+
+
+PAGE_HTML = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body>
+<header><a href="/">Site</a></header><nav><ul><li><a href="/1">One</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
+<article><h1>A &amp; B</h1><p>First  <b>bold</b><br>line&nbsp;two &lt;x&gt; &#233; &amp</p><div class="ad">Buy now</div><p>Second paragraph with more words in it.
+<p>Third, unclosed<form><input><label>Mail</label></form></article>
+<section class="comments"><div class="comment"><p>Great post, I liked it very much indeed.</p></div></section><aside>Related</aside><footer>&copy; me</footer></body></html>"""
+
+
+def test_main_text(model):
+    assert html_text.main_text(PAGE_HTML, model) == "A & B\n\nFirst bold line two <x> é &\n\nSecond paragraph with more words in it.\n\nThird, unclosed"
+
+
+def test_extract_awkward(spark, model):
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "<"), (4, "u", "<p>" * 2000 + "deep"), (5, "u", "<div " * 500), (6, "u", PAGE_HTML), (6, "u", PAGE_HTML), (7, "u", "<article><p>" + "w " * 60_000 + "</p></article>"), (8, "u", "<!-- <p>gone</p>")]
+    found = html_text.extract(spark.createDataFrame(rows, PAGE).selectExpr("*", "1 AS main_text"), model).collect()
+    texts = {r["page_id"]: r["main_text"] for r in found}
+    assert len(found) == 9 and texts[1] == texts[2] == texts[8] == "" and texts[7] == " ".join(["w"] * 60_000)
+    assert html_text.extract(spark.createDataFrame([], PAGE), model).count() == 0
+
+
+# ---- 5 PII
+
+SECRET = {
+    "email": "ann.lee@mail3.example.com",
+    "ip": "203.0.113.77",
+    "phone": "+1 (017) 555-7713",
+    "card": "4539578763621486",
+    "token": "ab12cd34ef56ab12cd34ef56ab12cd34ef56ab12",
+    "ssn": "078-05-1120",
+}
+
+
+def test_surrogates(spark, make_docs, awkward):
+    texts = list(awkward) + [f"Hello {v}, and {v} again. {words(i, 20)}" for i, v in enumerate(SECRET.values())] + [SECRET["email"].upper() + "!!", "call +1-017-555-7713 now", "Mrs. Anna Schmidt met Mr. Karl Schmidt and Mrs. Anna Schmidt", "card 4539 5787 6362 1486 and 1234567890123456", 'token = "' + "q" * 20 + '"', "v 1.2.3.4.5, id 123456789, 10:30"]
+    found = {r["doc_id"]: r for r in surrogates.replace_pii(make_docs(texts, extra=True)).collect()}
+    assert len(found) == len(texts)
+    for i in range(len(awkward)):
+        assert found[i]["text"] == awkward[i] and list(found[i]["pii_kinds"]) == []
+    k = len(awkward)
+    put = {}
+    for i, (kind, value) in enumerate(SECRET.items()):
+        text = found[k + i]["text"]
+        assert value not in text and list(found[k + i]["pii_kinds"]) == [kind, kind]
+        one, two = re.match(r"Hello (.*), and (.*) again", text).groups()
+        assert one == two
+        put[kind] = one
+    assert re.fullmatch(r"[a-z]{3}\.[a-z]{3}@[a-z]{4}\d\.[a-z]{7}\.com", put["email"])
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", put["phone"]) and re.fullmatch(r"\d{3}-\d{2}-\d{4}", put["ssn"]) and re.fullmatch(r"[0-9a-f]{40}", put["token"])
+    digits = [int(d) for d in put["card"]][::-1]
+    assert sum(d if j % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for j, d in enumerate(digits)) % 10 == 0
+    k += len(SECRET)
+    assert found[k]["text"] == put["email"].upper() + "!!"
+    assert re.sub(r"\D", "", found[k + 1]["text"]) == re.sub(r"\D", "", put["phone"])
+    names = re.fullmatch(r"Mrs\. (\S+) (\S+) met Mr\. (\S+) (\S+) and Mrs\. (\S+) (\S+)", found[k + 2]["text"]).groups()
+    assert names[0] == names[4] and names[1] == names[3] == names[5] and "Schmidt" not in names
+    assert names[0] in surrogates.GIVEN["f", "l"].split() and names[2] in surrogates.GIVEN["m", "l"].split()
+    assert found[k + 3]["text"].split(" and ")[0].replace(" ", "") == "card" + put["card"]
+    assert "q" * 20 not in found[k + 4]["text"] and found[k + 4]["text"].startswith('token = "')
+    assert found[k + 5]["text"] == texts[-1]
+
+
+def test_surrogates_are_distinct(spark):
+    atoms = spark.range(2000).selectExpr("'ssn' AS kind", "lpad(cast(id AS string), 4, '0') AS value").where("id < 2000")
+    given = spark.createDataFrame([("given_ml", f"Name{i}") for i in range(60)], "kind string, value string")
+    found = surrogates.assign_surrogates(atoms.union(given)).collect()
+    assert len(found) == 2060
+    for kind in ("ssn", "given_ml"):
+        drawn = [r["surrogate"] for r in found if r["kind"] == kind]
+        assert len(set(drawn)) == len(drawn) and not set(drawn) & {r["value"] for r in found if r["kind"] == kind}
+
+
+def test_no_pii_without_documents(spark):
+    assert surrogates.replace_pii(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_pii_plan_is_native(spark, make_docs):
+    plan = surrogates.replace_pii(make_docs(["a@b.example.com"]))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+# ---- pipeline and registry
+
+
+def test_pipeline_stages(spark, make_docs, tmp_path):
+    import corpus_pipeline as c
+
+    item = words(90, 20)
+    spark.createDataFrame([(1, item), (2, words(91, 3))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    base = words(92, 300).split()
+    texts = [words(i, 60) for i in range(100, 112)] + [None, "", "123", " ".join(base), " ".join(base[:20] + ["new"] + base[21:]), words(93, 30) + " " + item + " " + words(94, 30), words(95, 40) + " " + words(91, 3), words(96, 40) + " mail ann.lee@mail3.example.com"]
+    make_docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    columns = docs.columns
+    gone = [{12, 13, 14}, {16}, {17}, set(), set()]
+    left = set(range(len(texts)))
+    for (name, stage), drop in zip(c.STAGES, gone):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        left -= drop
+        assert {r["doc_id"] for r in docs.collect()} == left, name
+        if name != c.STAGES[-1][0]:
+            assert docs.columns == columns
+    last = {r["doc_id"]: r for r in docs.collect()}
+    assert "ann.lee" not in last[19]["text"] and last[18]["text"] == texts[18] and last[0]["n_tokens"] == len(last[0]["piece_ids"])
+    assert sorted(r["doc_id"] for r in c.run(spark, str(tmp_path)).select("doc_id").collect()) == sorted(left)
+
+
+def test_pipeline_without_documents(spark, tmp_path):
+    import corpus_pipeline as c
+
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], DOC).write.parquet(str(tmp_path / "documents.parquet"))
+    assert c.run(spark, str(tmp_path)).count() == 0
+
+
+def test_registry():
+    from weftgraph import llm
+
+    names = llm.queries()
+    assert [n for n in names if re.match(r"op\d+_", n)] == list(names) and {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+    assert set(llm.oracle_sql()) <= set(names)
