@@ -30,7 +30,7 @@ from .common import extended, table, text_bytes
 
 LEAST = 200
 GRAM = 32
-INDEX_BYTES = 2 << 20
+INDEX_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -90,23 +90,29 @@ def suffix_order(text: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
     for k in range(7):
         key = key << np.uint64(9) | np.where(room > k, wide[k : k + n], np.uint64(0))
     length = 7
-    order, rank = _ranked(key, room < length)
-    while length < depth:
+    order = np.argsort(key).astype(np.int32)
+    ranked, alone = key[order], (room < length)[order]
+    new = np.ones(n, dtype=bool)
+    new[1:] = (ranked[1:] != ranked[:-1]) | alone[1:] | alone[:-1]
+    rank = np.empty(n, dtype=np.uint32)
+    while True:
+        rank[order] = np.cumsum(new, dtype=np.uint32)
+        tied = np.flatnonzero(~(new & np.r_[new[1:], True]))  # rows of classes of two or more
+        if length == depth or not len(tied):
+            return order
         step = min(length, depth - length)
-        second = np.where(room > step, rank[np.minimum(np.arange(n) + step, n - 1)] + np.uint32(1), np.uint32(0))
-        order, rank = _ranked(rank.astype(np.uint64) << np.uint64(32) | second, room < length + step)
+        at = order[tied]
+        # Beyond the end of a part there is 0, below every class.
+        second = np.where(room[at] > step, rank[np.minimum(at + step, n - 1)], np.uint32(0))
+        key = rank[at].astype(np.uint64) << np.uint64(32) | second
+        by = np.argsort(key)
+        order[tied] = at = at[by]
+        key, alone = key[by], room[at] < length + step
+        parted = np.ones(len(tied), dtype=bool)
+        parted[1:] = (key[1:] != key[:-1]) | alone[1:] | alone[:-1]
+        new[tied] |= parted
+        new[tied[alone]] = True
         length += step
-    return order
-
-
-def _ranked(key: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(key)
-    sorted_key, sorted_alone = key[order], alone[order]
-    new = np.ones(len(key), dtype=bool)
-    new[1:] = (sorted_key[1:] != sorted_key[:-1]) | sorted_alone[1:] | sorted_alone[:-1]
-    rank = np.empty(len(key), dtype=np.uint32)
-    rank[order] = np.cumsum(new) - 1
-    return order, rank
 
 
 def common_prefix_boundaries(text: np.ndarray, room: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -119,17 +125,17 @@ def common_prefix_boundaries(text: np.ndarray, room: np.ndarray, order: np.ndarr
     neighbours part once any boundary lies between those.
     """
     n = len(text)
-    row_of = np.empty(n, dtype=np.int64)
-    row_of[order] = np.arange(n)
+    row_of = np.empty(n, dtype=np.int32)
+    row_of[order] = np.arange(n, dtype=np.int32)
     nxt = row_of[np.minimum(order + 1, n - 1)]  # the row of the suffix one byte on
-    above = np.r_[0, nxt[:-1]]
+    above = np.r_[nxt[:1], nxt[:-1]]
     byte, ends = text[order], room[order] <= 1
     bound = np.ones(n, dtype=bool)
     bound[1:] = byte[1:] != byte[:-1]
     short = ~bound & (ends | np.r_[False, ends[:-1]])  # the last byte of a part: one byte is all they can share
     whole = ~bound & ~short  # rows that may still part
     neighbours = whole & (nxt == above + 1)
-    back = np.full(n, -1, dtype=np.int64)  # q -> the row that follows it backward
+    back = np.full(n, -1, dtype=np.int32)  # q -> the row that follows it backward
     at = np.flatnonzero(neighbours)
     back[nxt[at]] = at
     apart = np.flatnonzero(whole & ~neighbours)
