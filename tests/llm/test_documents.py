@@ -115,12 +115,13 @@ def brute_repeats(texts, least):
     return out
 
 
-def test_repeated_bytes(make_docs, awkward):
+@pytest.mark.parametrize("most", [suffix_spans.MOST_CONTENTS, 1])
+def test_repeated_bytes(make_docs, awkward, most):
     shared = words(30, 60)
     texts = awkward + [words(31, 40) + shared + words(32, 40), shared[:250] + words(33, 30), words(34, 20) + shared[10:], "ab" * 400, shared + " x " + shared, "é" * 150]
     texts[7] = texts[8] = words(2, 600)
     expected = brute_repeats(texts, 200)
-    for row in suffix_spans.remove_repeats(make_docs(texts, extra=True)).collect():
+    for row in suffix_spans.remove_repeats(make_docs(texts, extra=True), most_contents=most).collect():
         removed, spans, kept = expected[row["doc_id"]]
         assert (sum(s["last"] - s["first"] for s in row["removed_spans"]), len(row["removed_spans"]), bytes(row["kept"])) == (removed, spans, kept)
 
@@ -145,7 +146,7 @@ def test_segments_meet_equal_strings():
     a, b = b"zz " + shared + b" q", words(41, 30).encode() + shared
     at = {}
     for k, text in enumerate((a, b)):
-        anchor, _, first, last = suffix_spans.segments(text)
+        anchor, _, first, last, _ = suffix_spans.segments(text)
         assert first[0] == 0 and last[-1] == len(text) - 200 and (first[1:] == last[:-1] + 1).all()
         for h, f, l in zip(anchor, first, last):
             for s in range(f, l + 1):

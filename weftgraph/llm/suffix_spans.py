@@ -31,6 +31,7 @@ from .common import extended, table, text_bytes
 LEAST = 200
 GRAM = 32
 INDEX_BYTES = 1 << 19
+MOST_CONTENTS = 16_384
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -52,12 +53,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def segments(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, content hash, first and last string start of each segment of a text."""
+def segments(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Anchor hash, content hash, first and last string start of each segment of a text, and the anchor's place after the first."""
     starts = len(text) - least + 1
     if starts < 1:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none
+        return none, none, none, none, none
     power, inverse = _power_tables(len(text) + 1)
     total = np.zeros(len(text) + 1, dtype=np.uint64)
     np.cumsum((np.frombuffer(text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
@@ -76,7 +77,7 @@ def segments(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndar
     last = np.r_[first[1:], starts] - 1
     anchor = place[first]
     content = _mix((total[last + least] - total[first]) * inverse[first]) ^ _mix(((last - first) << 20 | (anchor - first)).astype(np.uint64))
-    return grams[anchor].view(np.int64), content.view(np.int64), first, last
+    return grams[anchor].view(np.int64), content.view(np.int64), first, last, anchor - first
 
 
 def suffix_order(text: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
@@ -207,45 +208,71 @@ def _index(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
         yield solve(held)
 
 
-def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAST) -> DataFrame:
+def _refined(parts: DataFrame, least: int, step: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Finer groups for anchors with very many contents: (rows for the index, spans already decided).
+
+    Strings of one anchor are dealt by their distance to it, in steps; those of a
+    step all hold a core of ``least - step + 1`` bytes, whose content joins the
+    key. Equal contents are one row with a count, so only what differs within a
+    step at the edges of an equal core comes together.
+    """
+    extent = F.octet_length("content") - least
+    near, far = F.col("place") - extent, F.col("place")
+    k = F.explode(F.sequence(F.floor(near / step).cast("int"), F.floor(far / step).cast("int")))
+    rows = parts.withColumn("k", k).withColumn("far", F.least(far, F.col("k") * step + (step - 1))).withColumn("near", F.greatest(near, F.col("k") * step))
+    core = F.substring("content", (F.col("place") - F.col("k") * step + 1).cast("int"), F.lit(least - step + 1))
+    cut = F.substring("content", (F.col("place") - F.col("far") + 1).cast("int"), (F.col("far") - F.col("near") + least).cast("int"))
+    rows = materialize(rows.select(F.xxhash64("anchor", "k", core).alias("anchor"), "n", "print", (F.col("first") + F.col("place") - F.col("far")).alias("first"), cut.alias("content")), "refined")
+    kinds = materialize(rows.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first")).alias("one")), "refined-kinds")
+    again = rows.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"]).select("print", "first", (F.col("first") + F.octet_length("content")).alias("last"))
+    return kinds.select("anchor", F.least("n", F.lit(2)).alias("n"), "one.print", "one.first", "content"), again
+
+
+def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAST, most_contents: int = MOST_CONTENTS) -> DataFrame:
     """``(print, spans)``: for the MD5 of each text with repeats, byte ranges [first, last), sorted but not merged."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(text.alias("text")).where(F.octet_length("text") >= least)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "content", "first", "last", "print"]
+        names = ["anchor", "content", "first", "last", "place", "print"]
         for batch in batches:
-            held: list[list] = [[], [], [], [], []]
+            held: list[list] = [[], [], [], [], [], []]
             size = 0
             for t in text_bytes(batch["text"]):
                 found = segments(t, least)
-                for k in range(4):
+                for k in range(5):
                     held[k].append(found[k])
-                held[4] += [hashlib.md5(t).digest()] * len(found[0])
+                held[5] += [hashlib.md5(t).digest()] * len(found[0])
                 size += len(found[0])
                 if size > 50_000:
-                    yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in held[:4]), pa.array(held[4], pa.binary())], names)
-                    held, size = [[], [], [], [], []], 0
+                    yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in held[:5]), pa.array(held[5], pa.binary())], names)
+                    held, size = [[], [], [], [], [], []], 0
             if size:
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in held[:4]), pa.array(held[4], pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in held[:5]), pa.array(held[5], pa.binary())], names)
 
-    cuts = rows.mapInArrow(cut, "anchor long, content long, first long, last long, print binary")
+    cuts = rows.mapInArrow(cut, "anchor long, content long, first long, last long, place long, print binary")
     # Copies of a text share its print, so they are one row with a count from here on.
-    cuts = materialize(cuts.groupBy("anchor", "content", "print", "first", "last").agg(F.count("*").alias("n")), "cuts")
+    cuts = materialize(cuts.groupBy("anchor", "content", "print", "first", "last", "place").agg(F.count("*").alias("n")), "cuts")
     anchors = cuts.groupBy("anchor").agg(F.sum("n").alias("met"), (F.min("content") != F.max("content")).alias("mixed")).where("met > 1")
     met = materialize(cuts.join(materialize(anchors.select("anchor", "mixed"), "anchors"), "anchor"), "met")
-    kinds = materialize(met.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "last")).alias("one"), F.max("mixed").alias("mixed")), "kinds")
+    kinds = materialize(met.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "last", "place")).alias("one"), F.max("mixed").alias("mixed")), "kinds")
     whole = met.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"]).select("print", "first", (F.col("last") + least).alias("last"))
     # Anchors all of whose contents are met twice have nothing left to find.
-    open_anchors = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("fewest")).where("fewest = 1").select("anchor")
-    asked = kinds.join(materialize(open_anchors, "open-anchors"), "anchor").select(F.col("one.print").alias("print"), F.struct("anchor", F.least("n", F.lit(2)).alias("n"), F.col("one.first").alias("first"), F.col("one.last").alias("last")).alias("want"))
+    open_anchors = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("fewest"), F.count("*").alias("contents")).where("fewest = 1").select("anchor", "contents")
+    open_anchors = materialize(open_anchors, "open-anchors")
+    asked = kinds.join(open_anchors, "anchor").select(F.col("one.print").alias("print"), F.struct("anchor", F.least("n", F.lit(2)).alias("n"), F.col("one.first").alias("first"), F.col("one.last").alias("last"), F.col("one.place").alias("place"), (F.col("contents") > most_contents).alias("hot")).alias("want"))
     wants = materialize(asked.groupBy("print").agg(F.collect_list("want").alias("wants")), "wants")
     prints = rows.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("print"), F.col("text").cast("binary").alias("raw"))
     # One text for each print: copies would only repeat its segments.
     texts = prints.join(wants, "print").dropDuplicates(["print"])
-    content = F.transform("wants", lambda w: F.struct(w["anchor"].alias("anchor"), w["n"].alias("n"), w["first"].alias("first"), F.substring(F.col("raw"), (w["first"] + 1).cast("int"), (w["last"] - w["first"] + least).cast("int")).alias("content")))
-    parts = texts.select("print", F.explode(content).alias("w")).select("w.anchor", "w.n", "print", "w.first", "w.content")
+    content = F.transform("wants", lambda w: F.struct(w["anchor"].alias("anchor"), w["n"].alias("n"), w["first"].alias("first"), w["place"].alias("place"), w["hot"].alias("hot"), F.substring(F.col("raw"), (w["first"] + 1).cast("int"), (w["last"] - w["first"] + least).cast("int")).alias("content")))
+    parts = texts.select("print", F.explode(content).alias("w")).select("w.anchor", "w.n", "print", "w.first", "w.content", "w.place", "w.hot")
+    if open_anchors.where(F.col("contents") > most_contents).limit(1).count():
+        parts = materialize(parts, "parts")
+        finer, again = _refined(parts.where("hot"), least)
+        whole = whole.unionByName(again)
+        parts = parts.where("NOT hot").select(finer.columns).unionByName(finer)
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = parts.repartition(shuffles, "anchor").sortWithinPartitions("anchor").mapInArrow(lambda it: _index(it, least), "print binary, first long, last long")
     spans = whole.unionByName(found).distinct()
@@ -255,14 +282,14 @@ def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAS
 _SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
 
 
-def remove_repeats(docs: DataFrame, text_column: str = "text", least: int = LEAST) -> DataFrame:
+def remove_repeats(docs: DataFrame, text_column: str = "text", least: int = LEAST, most_contents: int = MOST_CONTENTS) -> DataFrame:
     """Add ``removed_spans`` (merged byte ranges [first, last)) and ``kept`` (the bytes that remain) to every row.
 
     A null text is empty; texts shorter than ``least`` bytes keep everything;
     repeated rows repeat each other. Columns with these names are replaced.
     """
     docs = docs.drop("removed_spans", "kept", "print", "spans")
-    spans = materialize(repeated_spans(docs, text_column, least), "spans")
+    spans = materialize(repeated_spans(docs, text_column, least, most_contents), "spans")
     raw = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
     joined = docs.withColumn("print", F.unhex(F.md5(raw))).join(spans, "print", "left").drop("print")
     kept_fields = [f for f in joined.schema.fields if f.name != "spans"]
