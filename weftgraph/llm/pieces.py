@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .common import extended, table
 
 SPACE = "▁"
-KEPT = 250_000
+KEPT = 100_000
 TEXTS_AT_ONCE = 128
 LONGEST_KEPT = 48
 SHORT = 40
@@ -295,7 +295,7 @@ def token_digests(df: DataFrame, model_path: str, check: bool = True) -> DataFra
     """``doc_id`` and the digests of ids and decoded text, taken from the operator's batches where they are made."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = list(map(str, range(1 << 20)))
+        spelled = list(map(str, range(len(codec(model_path, check).pieces))))
         for batch in batches:
             counts, by_ids, by_text = [], [], []
             for ids, text in encode_texts(batch["text"].to_pylist(), model_path, check):

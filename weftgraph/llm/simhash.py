@@ -178,18 +178,17 @@ def spanning_links(distinct: DataFrame, ring: Ring, hot_key: int = HOT_KEY) -> D
             keys = ring.keys(words).reshape(-1)
             yield pa.RecordBatch.from_arrays([pa.array(keys), held.take(pa.array(np.repeat(np.arange(len(held)), ring.segments)))], ["key", "_fp"])
 
-    rows = materialize(distinct.select("_fp").mapInArrow(keyed, "key long, _fp binary"), "keys")
-    sizes = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key-sizes")
-    blocks = F.ceil(F.col("n") / F.lit(hot_key)).cast("int")
-    own = F.pmod(F.xxhash64("_fp"), F.col("blocks")).cast("int")
-    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (
-        rows.join(sizes, "key")
-        .withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .select("key", "_fp", "own", partner.alias("other"))
-        .select("key", "_fp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    )
+    rows = distinct.select("_fp").mapInArrow(keyed, "key long, _fp binary")
+    # Keys of more fingerprints than a task should hold: at most the number of rows divided by that, so few.
+    hot = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_key), "hot-keys")
+    blocks = F.coalesce(F.ceil(F.col("n") / F.lit(hot_key)).cast("int"), F.lit(1))
+    own = F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("_fp"), F.col("blocks")).cast("int"))
+    if hot.limit(1).count():
+        dealt = rows.join(hot, "key", "left").withColumn("blocks", blocks).withColumn("own", own)
+        dealt = dealt.select("key", "_fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        dealt = dealt.select("key", "_fp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    else:
+        dealt = rows.select("key", "_fp", F.lit(0).alias("low"), F.lit(0).alias("high"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,8 +274,10 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     by_print = materialize(narrow.groupBy("_fp").agg(F.min(first).alias("first")), "stage-firsts")
     # Groups are told apart by their smallest id; those without an id by their fingerprint.
     chosen = by_print.join(groups, "_fp").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("_fp")).alias("p")).agg(F.min("first").alias("first"))
-    stays = materialize(chosen.select(F.col("first._row").alias("_row")), "stage-stays")
-    return prints.join(stays, "_row", "left_semi").select(*(f"`{c}`" for c in columns))
+    stays = chosen.select(F.col("first._row").alias("_row"))
+    # What goes is the smaller list; a join with it leaves the texts where they are while it is small.
+    goes = materialize(narrow.select("_row").join(materialize(stays, "stage-stays"), "_row", "left_anti"), "stage-goes")
+    return prints.join(goes, "_row", "left_anti").select(*(f"`{c}`" for c in columns))
 
 
 QUERIES = {"op7_simhash": op7_simhash}
