@@ -83,11 +83,11 @@ def require_all(spark, sf):
 
 @registered(
     """, hits AS (SELECT * FROM elements WHERE canonical AND lang = 'en' AND (minutes IS NULL OR minutes <= 40) AND id IN (SELECT src FROM edges WHERE dst = 'm4')),
-    page AS (SELECT * FROM hits ORDER BY ord LIMIT 20 OFFSET 20)
+    page AS (SELECT * FROM hits ORDER BY ord LIMIT 5 OFFSET 5)
     SELECT page.id, page.label, coalesce((SELECT string_agg(n.label, '|' ORDER BY e.ord) FROM edges e JOIN nodes n ON n.id = e.dst WHERE e.src = page.id AND e.type = 'hasMechanic'), '') AS mechanics, (SELECT count(*) FROM hits) AS total FROM page"""
 )
 def paginate(spark, sf):
-    found = query.query_elements(D.elements(spark, sf), D.edges(spark, sf), D.nodes(spark, sf), page=2, limit=20, max_duration=40, mechanic="skillful M4")
+    found = query.query_elements(D.elements(spark, sf), D.edges(spark, sf), D.nodes(spark, sf), page=2, limit=5, max_duration=40, mechanic="skillful M4")
     return found.select("id", "label", F.array_join("mechanics", "|").alias("mechanics"), "total")
 
 
