@@ -9,6 +9,7 @@ library, in both directions.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from .common import extended, table
 
 SPACE = "▁"
 KEPT = 100_000
-TEXTS_AT_ONCE = 128
+TEXTS_AT_ONCE = 384
 LONGEST_KEPT = 48
 SHORT = 40
 
@@ -68,6 +69,7 @@ class Codec:
         letters = "".join(re.escape(c) for c in joined if c.isalpha())
         other = "".join(re.escape(c) for c in joined if not c.isalpha())
         inner = f"[{letters}{other}]+" if mixed else f"(?:[{other}]*[{letters}]+|[{other}]+)"
+        self.plain = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") <= set(letters)  # words of these are one run
         self.runs = re.compile(f"{SPACE}*{inner}|{SPACE}+|(?s:.)").findall if letters and other else list
         self.spelling = [None if i in self.byte_of or i in self.silent or i == self.unknown else self.pieces[i].replace(SPACE, " ") for i in range(size)]
         self.kept_runs, self.kept_words = Kept(), Kept()
@@ -195,21 +197,33 @@ class Codec:
         with one; words are kept like runs. Other texts are cut into runs at once.
         """
         for first in range(0, len(texts), TEXTS_AT_ONCE):
-            part = texts[first : first + TEXTS_AT_ONCE]
+            yield from self._encode_part(texts[first : first + TEXTS_AT_ONCE])
+
+    def _encode_part(self, part: list[str]) -> list[tuple[list[int], str]]:
+        # The many small lists made here hold no cycles; so looking for cycles among the kept ones is idle work.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
             words = [t.split(" ") if t and "  " not in t and SPACE not in t and t[0] != " " and t[-1] != " " else None for t in part]
             wanted = {w for x in words if x for w in x}
             found = self.kept_words.find(wanted)
             if missing := list(wanted - found.keys()):
-                fresh = dict(zip(missing, self.encode_runs([self.runs(SPACE + w) for w in missing])))
+                plain = self.plain
+                fresh = dict(zip(missing, self.encode_runs([[SPACE + w] if w.isascii() and w.isalpha() and plain else self.runs(SPACE + w) for w in missing])))
                 self.kept_words.keep(fresh)
                 found |= fresh
+            out = []
             for text, own in zip(part, words):
                 if own:
                     got = [found[w] for w in own]
                     ids, decoded = list(chain.from_iterable([g[0] for g in got])), "".join([g[1] for g in got])
                 else:
                     ((ids, decoded),) = self.encode_runs([self.split(text)])
-                yield ids, decoded[1:] if decoded.startswith(" ") else decoded
+                out.append((ids, decoded[1:] if decoded.startswith(" ") else decoded))
+            return out
+        finally:
+            if collecting:
+                gc.enable()
 
 
 class Kept:
