@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.lineage import materialize
-from .common import extended, table, text_bytes
+from .common import extended, map_batches, table, text_bytes
 
 WINDOW = 8
 BLOCK_BYTES = 4 << 20
@@ -112,7 +112,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
             for w in item_windows(words_of(row["text"].encode()), window):
                 windows[w].add(row["item_id"])
         vocabulary = spark.sparkContext.broadcast(frozenset(w for x in windows for w in x))
-        counted = docs.select("text").mapInArrow(lambda it, v=vocabulary: _count_words(it, v.value), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        counted = map_batches(docs.select("text"), lambda it, v=vocabulary: _count_words(it, v.value), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
         rarity = {bytes(r["word"]): r["n"] for r in counted.collect()}  # at most the words of one block
         index = spark.sparkContext.broadcast(prefix_index({w: tuple(sorted(x)) for w, x in windows.items()}, rarity))
         found = _probe_all(found, index, first=block == 0)
@@ -140,7 +140,7 @@ def _probe_all(docs: DataFrame, index, first: bool) -> DataFrame:
             columns = [*(batch[f.name] for f in kept), pa.array(counts, pa.int64()), pa.array(spans, _ARROW_SPAN), pa.array(names, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def repeat_none(n: int) -> list[tuple[None, None]]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..plans.lineage import materialize
-from .common import table
+from .common import map_batches, table
 
 COSINE = 0.9
 RECALL = 0.99
@@ -148,11 +148,11 @@ def find_links(vectors: DataFrame, cosine: float = COSINE, recall: float = RECAL
     spark = vectors.sparkSession
     plan = calibrate(vectors.count(), cosine, recall)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tails = vectors.select("node", "unit").mapInArrow(lambda it: _tails(it, plan, seed), "line long, node long, at float")
+    tails = map_batches(vectors.select("node", "unit"), lambda it: _tails(it, plan, seed), "line long, node long, at float")
     # A window reaches into its own cell and the next; guests from the cell below meet only the cell's own vectors.
     cell = F.floor(F.col("at") / F.lit(plan.width)).cast("int")
     dealt = tails.select("line", "node", "at", F.explode(F.array(F.struct(cell.alias("cell"), F.lit(True).alias("own")), F.struct((cell + 1).alias("cell"), F.lit(False).alias("own")))).alias("c")).select("line", "node", "at", "c.cell", "c.own")
-    met = dealt.repartition(parts, "line", "cell").mapInArrow(lambda it: _collisions(it, plan.width), "a long, b long, n long")
+    met = map_batches(dealt.repartition(parts, "line", "cell"), lambda it: _collisions(it, plan.width), "a long, b long, n long")
     candidates = materialize(met.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= plan.collisions).select("a", "b"), "candidates")
     left = vectors.select(F.col("node").alias("a"), F.col("values").alias("va"), F.col("length").alias("la"))
     right = vectors.select(F.col("node").alias("b"), F.col("values").alias("vb"), F.col("length").alias("lb"))

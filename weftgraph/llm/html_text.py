@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extended, table
+from .common import extended, map_batches, table
 
 BLOCKS = frozenset(
     "html head body article section main aside nav header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -374,7 +374,7 @@ def extract(df: DataFrame, model: tuple[dict[str, float], tuple], html_column: s
             found = pa.array([main_text(x, held.value) for x in batch[html_column].to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

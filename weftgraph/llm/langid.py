@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extended, table
+from .common import extended, map_batches, table
 
 ORDERS = (1, 2, 3)
 DIMENSIONS = 1 << 16
@@ -74,7 +74,7 @@ def train(labelled: DataFrame, max_rows: int = TRAINING_ROWS, orders: tuple[int,
     spark = labelled.sparkSession
     fractions = spark.createDataFrame([(k, int(min(1.0, share / n) * (1 << 30))) for k, n in sizes.items()], "lang string, _most long")
     chosen = known.join(F.broadcast(fractions), "lang").where(F.pmod(F.xxhash64(key, F.crc32("text")), F.lit(1 << 30)) < F.col("_most")).select("lang", "text")
-    rows = chosen.mapInArrow(lambda it: _count(it, orders, dimensions), "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
+    rows = map_batches(chosen, lambda it: _count(it, orders, dimensions), "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(sizes)
     counts = np.zeros((len(languages), dimensions))
     counts[np.searchsorted(languages, rows["lang"].to_numpy(dtype=str)), rows["feature"].to_numpy()] = rows["n"].to_numpy()
@@ -111,7 +111,7 @@ def identify(df: DataFrame, model: Model) -> DataFrame:
             arrays = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "lang_score"])
 
-    return df.mapInArrow(scored, schema)
+    return map_batches(df, scored, schema)
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:

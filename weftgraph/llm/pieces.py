@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import extended, table
+from .common import extended, map_batches, table
 
 SPACE = "▁"
-KEPT = 100_000
+KEPT = 80_000
 TEXTS_AT_ONCE = 384
 LONGEST_KEPT = 48
 SHORT = 40
@@ -299,7 +299,7 @@ def encode_decode(df: DataFrame, model_path: str, text_column: str = "text", che
                 ids = pa.array([np.asarray(i, dtype=np.int32) for i, _ in found], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array([t for _, t in found], pa.string())], [*batch.schema.names, "piece_ids", "piece_text"])
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -319,7 +319,7 @@ def token_digests(df: DataFrame, model_path: str, check: bool = True) -> DataFra
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(counts, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     id_type = df.schema["doc_id"].dataType.simpleString()
-    return df.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {DIGESTS}")
+    return map_batches(df.select("doc_id", "text"), run, f"doc_id {id_type}, {DIGESTS}")
 
 
 def model_path() -> str:

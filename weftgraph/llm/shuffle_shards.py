@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.lineage import materialize
-from .common import table
+from .common import map_batches, table
 
 SHARDS = 16
 SEED = 20_240_607
@@ -66,7 +66,7 @@ def external_shuffle(df: DataFrame, id_column: str = "doc_id", text_column: str
             part = part.append_column("_local", pa.array(np.arange(part.num_rows)))
             yield from part.to_batches(max_chunksize=2048)
 
-    written = materialize(scattered.mapInArrow(permute, out), "shuffled")
+    written = materialize(map_batches(scattered, permute, out), "shuffled")
     counts = written.groupBy("_bucket").agg(F.count("*").alias("n"))
     starts = spark.createDataFrame(_running(counts.collect()), "_bucket int, _start long")  # one row for each memory-sized bucket
     place = F.col("_start") + F.col("_local")

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..operators.components import connected_components
 from ..plans.lineage import materialize
-from .common import extended, table, text_bytes
+from .common import extended, map_batches, table, text_bytes
 
 SEED = 42
 SHINGLE = 3
@@ -84,7 +84,7 @@ def add_fingerprints(df: DataFrame, text_column: str = "text", shingle: int = SH
             found = pa.array([fingerprint(t, shingle, words) for t in text_bytes(batch[text_column])], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in kept), found], [*(f.name for f in kept), "_fp"])
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 class Ring:
@@ -178,7 +178,7 @@ def spanning_links(distinct: DataFrame, ring: Ring, hot_key: int = HOT_KEY) -> D
             keys = ring.keys(words).reshape(-1)
             yield pa.RecordBatch.from_arrays([pa.array(keys), held.take(pa.array(np.repeat(np.arange(len(held)), ring.segments)))], ["key", "_fp"])
 
-    rows = distinct.select("_fp").mapInArrow(keyed, "key long, _fp binary")
+    rows = map_batches(distinct.select("_fp"), keyed, "key long, _fp binary")
     # Keys of more fingerprints than a task should hold: at most the number of rows divided by that, so few.
     hot = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_key), "hot-keys")
     blocks = F.coalesce(F.ceil(F.col("n") / F.lit(hot_key)).cast("int"), F.lit(1))
@@ -213,7 +213,7 @@ def spanning_links(distinct: DataFrame, ring: Ring, hot_key: int = HOT_KEY) -> D
             part = moved[k : k + 65_536]
             yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in part], pa.binary()), pa.array([names[parent[i]] for i in part], pa.binary())], ["src", "dst"])
 
-    return dealt.repartition(parts, "key", "low", "high").mapInArrow(compare, "src binary, dst binary")
+    return map_batches(dealt.repartition(parts, "key", "low", "high"), compare, "src binary, dst binary")
 
 
 def _words(prints: list[bytes], count: int) -> np.ndarray:

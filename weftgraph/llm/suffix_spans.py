@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.lineage import materialize
-from .common import extended, table, text_bytes
+from .common import extended, map_batches, table, text_bytes
 
 LEAST = 200
 GRAM = 32
@@ -251,7 +251,7 @@ def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAS
             if size:
                 yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in held[:5]), pa.array(held[5], pa.binary())], names)
 
-    cuts = rows.mapInArrow(cut, "anchor long, content long, first long, last long, place long, print binary")
+    cuts = map_batches(rows, cut, "anchor long, content long, first long, last long, place long, print binary")
     # Copies of a text share its print, so they are one row with a count from here on.
     cuts = materialize(cuts.groupBy("anchor", "content", "print", "first", "last", "place").agg(F.count("*").alias("n")), "cuts")
     anchors = cuts.groupBy("anchor").agg(F.sum("n").alias("met"), (F.min("content") != F.max("content")).alias("mixed")).where("met > 1")
@@ -274,7 +274,7 @@ def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAS
         whole = whole.unionByName(again)
         parts = parts.where("NOT hot").select(finer.columns).unionByName(finer)
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = parts.repartition(shuffles, "anchor").sortWithinPartitions("anchor").mapInArrow(lambda it: _index(it, least), "print binary, first long, last long")
+    found = map_batches(parts.repartition(shuffles, "anchor").sortWithinPartitions("anchor"), lambda it: _index(it, least), "print binary, first long, last long")
     spans = whole.unionByName(found).distinct()
     return spans.groupBy("print").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
@@ -313,7 +313,7 @@ def remove_repeats(docs: DataFrame, text_column: str = "text", least: int = LEAS
                     left.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in kept_fields), pa.array(merged, arrow_spans), pa.array(left, pa.binary())], schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    return map_batches(joined, cut, schema)
 
 
 def op6_suffix_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

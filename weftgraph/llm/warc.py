@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.lineage import materialize, new_path
-from .common import table
+from .common import map_batches, table
 
 REVISIT_BYTES = 1000
 RECORDS_A_FILE = 4000
@@ -147,7 +147,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
             yield batch()
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, schema)
+    return map_batches(files, run, schema)
 
 
 def resolve_revisits(headers: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
