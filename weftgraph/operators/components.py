@@ -22,9 +22,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """
     spark = edges.sparkSession
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edge_path = new_path(spark, "edges")
-    both.distinct().write.parquet(edge_path)
+    # Written before both directions are taken: an input that is not the same each time it is computed would give two halves that do not match.
+    pair_path, edge_path = new_path(spark, "pairs"), new_path(spark, "edges")
+    pairs.write.parquet(pair_path)
+    pairs = spark.read.parquet(pair_path)
+    pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().write.parquet(edge_path)
+    discard(spark, pair_path)
     adjacency = spark.read.parquet(edge_path)
 
     label_path = new_path(spark, "labels")
