@@ -197,7 +197,7 @@ def spanning_links(distinct: DataFrame, ring: Ring, hot_key: int = HOT_KEY) -> D
             return
         whole = pa.Table.from_batches(held)
         prints = whole["_fp"].to_pylist()
-        names = list(dict.fromkeys(prints))
+        names = sorted(set(prints))  # so that the forest is the same in whatever order rows arrive
         index = {p: k for k, p in enumerate(names)}
         vertex = np.fromiter(map(index.__getitem__, prints), dtype=np.int64, count=len(prints))
         key, low, high = (whole[c].to_numpy() for c in ("key", "low", "high"))
