@@ -223,6 +223,42 @@ def test_keep_one_of_each(spark, make_docs, awkward):
     assert sum(none for none, _ in ids) == 1
 
 
+def overlapping(seed, common, own):
+    """Two texts whose sets of 5-word shingles share ``common`` and have ``own`` more each."""
+    shared = words(seed, common + 4)
+    return [shared + " " + words(seed + k, own) for k in (100_000, 200_000)]
+
+
+def stay(make_docs, texts):
+    return {r["doc_id"] for r in simhash.keep_one_of_each(make_docs(texts)).collect()}
+
+
+def test_repeated_lines_do_not_make_near_duplicates(make_docs):
+    texts = []
+    for k in range(20):
+        line = words(1000 + k, 10)
+        texts += [" ".join([line] * 30) + " " + words(seed + k, 200) for seed in (2000, 3000)]
+    assert stay(make_docs, texts) == set(range(40))
+
+
+@pytest.mark.parametrize("most", [4096, 3])
+def test_stage_groups_by_brute_force(make_docs, awkward, monkeypatch, most):
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", most)
+    base = words(63, 150).split()
+    texts = list(awkward) + [" ".join(base[:k] + ["x"] * (k % 4) + base[k + k % 5 :]) for k in range(0, 150, 4)] + ["a b c d e f g h i", "a b c d e f g h", "a b c d"]
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append(frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset())
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                    label[i] = min(label[i], label[j])
+    assert stay(make_docs, texts) == set(label)
+
+
 def test_simhash_empty(empty):
     assert simhash.keep_one_of_each(empty).count() == 0
 
