@@ -241,6 +241,11 @@ def test_repeated_lines_do_not_make_near_duplicates(make_docs):
     assert stay(make_docs, texts) == set(range(40))
 
 
+def test_pairs_below_the_similarity_stay(make_docs):
+    pairs = [overlapping(4000 + k, common, 20) for k, common in enumerate([159, 150, 120, 100, 80] * 12)]
+    assert stay(make_docs, [t for p in pairs for t in p]) == set(range(120))
+
+
 @pytest.mark.parametrize("most", [4096, 3])
 def test_stage_groups_by_brute_force(make_docs, awkward, monkeypatch, most):
     monkeypatch.setattr(simhash, "BLOCK_TEXTS", most)
