@@ -246,6 +246,11 @@ def test_pairs_below_the_similarity_stay(make_docs):
     assert stay(make_docs, [t for p in pairs for t in p]) == set(range(120))
 
 
+def test_pairs_at_the_similarity_are_found(make_docs):
+    pairs = [overlapping(5000 + k, common, 20) for k, common in enumerate([160, 170, 190, 210, 226] * 40)]
+    assert stay(make_docs, [t for p in pairs for t in p]) == set(range(0, 400, 2))
+
+
 @pytest.mark.parametrize("most", [4096, 3])
 def test_stage_groups_by_brute_force(make_docs, awkward, monkeypatch, most):
     monkeypatch.setattr(simhash, "BLOCK_TEXTS", most)
