@@ -423,9 +423,7 @@ def canonical_terms(spark, sf):
 
 @registered()
 def vocab_clusters(spark, sf):
-    words = read(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.explode(F.slice(F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: F.length(w) >= 12)), 1, 1)).alias("term"))
-    terms = words.groupBy("term").agg(F.min("doc_id").alias("ord")).withColumn("kind", F.lit("mechanics"))
-    return vocabulary.cluster_terms(terms).select("kind", "canonical", F.size("variants").alias("n_variants"))
+    return vocabulary.cluster_terms(_name_terms(spark, sf)).select("kind", "canonical", F.size("variants").alias("n_variants"))
 
 
 # ---- corpus ---------------------------------------------------------------
