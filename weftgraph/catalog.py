@@ -191,6 +191,38 @@ def match_score(spark, sf):
     return match.deterministic_matches(rows).select("a", "b", F.round("confidence", 6).alias("confidence"))
 
 
+@registered()
+def name_block_members(spark, sf):
+    """The element that stands for each element in name_block_pairs."""
+    rows = D.elements(spark, sf).select("id", "label", "source")
+    return _members(rows, _distinct_names(spark, sf).select("id", "label", "source"))
+
+
+def _match_classes(spark, sf) -> DataFrame:
+    """One element for each label, source, mechanics and skills, which is all that a match depends on."""
+    return graph.first_of_each(D.labelled(spark, sf), ["label", "source", "mechanics", "skills"])
+
+
+def _members(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(id, class)``: the row of ``classes`` with the same values; both have id and the same other columns."""
+    keys = [c for c in rows.columns if c != "id"]
+    named = classes.select(F.col("id").alias("class"), *(F.col(c).alias(f"_{c}") for c in keys))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return rows.join(named, same).select("id", "class")
+
+
+@registered()
+def match_class_pairs(spark, sf):
+    """Matches of all elements as pairs of classes; match_class_members names the elements of each."""
+    return match.deterministic_matches(_match_classes(spark, sf)).select("a", "b", F.round("confidence", 6).alias("confidence"))
+
+
+@registered()
+def match_class_members(spark, sf):
+    columns = ["id", "label", "source", "mechanics", "skills"]
+    return _members(D.labelled(spark, sf).select(*columns), _match_classes(spark, sf).select(*columns))
+
+
 @registered(
     """, s AS (SELECT source, (row_number() OVER (PARTITION BY source ORDER BY ord) - 1) // 50 AS block FROM elements), b AS (SELECT DISTINCT source, block FROM s)
     SELECT x.source AS source_a, CAST(x.block AS BIGINT) AS block_a, y.source AS source_b, CAST(y.block AS BIGINT) AS block_b FROM b x JOIN b y ON x.source < y.source"""
