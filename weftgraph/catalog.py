@@ -148,6 +148,27 @@ def similar_pairs(spark, sf):
     return query.similar_pairs(f.join(large, "src", "left_semi"), 0.8).withColumn("score", F.round("score", 9))
 
 
+def _feature_classes(spark, sf) -> DataFrame:
+    """Equal sets of mechanics as one class ``(class, f, n)``, named by its smallest element, with its number of elements."""
+    sets = query.feature_pairs(D.edges(spark, sf), ("hasMechanic",)).groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("f"))
+    return sets.groupBy("f").agg(F.min("src").alias("class"), F.count("*").alias("n"))
+
+
+@registered()
+def similar_class_pairs(spark, sf):
+    """Similar elements, whatever their number of mechanics, as pairs of classes; a = b for the equal elements of one."""
+    classes = _feature_classes(spark, sf)
+    pairs = query.similar_pairs(classes.select(F.col("class").alias("src"), F.explode("f").alias("dst")), 0.8)
+    equal = classes.where("n > 1").select(F.col("class").alias("a"), F.col("class").alias("b"), F.size("f").cast("long").alias("common"), F.lit(1.0).alias("score"))
+    return pairs.unionByName(equal).withColumn("score", F.round("score", 9))
+
+
+@registered()
+def similar_class_members(spark, sf):
+    sets = query.feature_pairs(D.edges(spark, sf), ("hasMechanic",)).groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("f"))
+    return sets.join(_feature_classes(spark, sf), "f").select(F.col("src").alias("id"), "class")
+
+
 @registered(
     """, f AS (SELECT DISTINCT e.src, e.dst, x.source FROM edges e JOIN elements x ON x.id = e.src WHERE type = 'hasMechanic'), n AS (SELECT src, count(*) AS n FROM f GROUP BY src),
     p AS (SELECT a.src AS small, b.src AS large FROM f a JOIN f b ON a.dst = b.dst AND a.source = b.source AND a.src <> b.src JOIN n na ON na.src = a.src JOIN n nb ON nb.src = b.src WHERE na.n < nb.n GROUP BY a.src, b.src HAVING count(*) = any_value(na.n)),
