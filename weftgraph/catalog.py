@@ -518,6 +518,12 @@ def markdown_clean(spark, sf):
     return d.select("doc_id", X.clean_markdown(F.concat(F.lit("Hello <!-- a\nb -->World\n"), "text")).alias("md"))
 
 
+@registered()
+def markdown_clean_all(spark, sf):
+    """Every document, null texts too; the heading rules are beyond DuckDB's patterns, so there is no SQL."""
+    return read(spark, sf, "documents").select("doc_id", X.clean_markdown(F.col("text")).alias("md"))
+
+
 @plain("SELECT source, lang AS languageCode, count(*) AS n, count(*) FILTER (n_chars > 500) AS long FROM documents GROUP BY source, lang")
 def inventory(spark, sf):
     d = read(spark, sf, "documents").select(F.col("source").alias("sourceName"), F.col("lang").alias("languageCode"), F.when(F.col("n_chars") > 500, F.array("source")).otherwise(F.array().cast("array<string>")).alias("tags"))
