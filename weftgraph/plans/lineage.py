@@ -42,6 +42,26 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one job, deleted together as soon as their readers are done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, tag: str) -> DataFrame:
+        """Write ``df`` to the shared folder and return a reader of what was written."""
+        path = new_path(self.spark, tag)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        for path in self.paths:
+            discard(self.spark, path)
+        self.paths.clear()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a written folder through the Hadoop file system that owns it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
