@@ -9,7 +9,7 @@ import pytest
 import xxhash
 
 from tests.llm.conftest import DOC, words
-from weftgraph.llm import decontaminate, langid, pieces, shuffle_shards, simhash, suffix_spans
+from weftgraph.llm import decontaminate, langid, near_copies, pieces, shuffle_shards, simhash, suffix_spans
 
 
 def by_id(df, *columns):
@@ -212,7 +212,7 @@ def test_keep_one_of_each(spark, make_docs, awkward):
     near = [" ".join(base[:k] + ["x"] + base[k + 1 :]) for k in (0, 100, 250)]
     texts = awkward + near + [words(61, 200)]
     rows = make_docs(texts).unionByName(make_docs(texts).limit(3)).unionByName(spark.createDataFrame([(None, near[0], "en", "s", 1), (None, words(62, 90), None, None, None)], DOC))
-    kept = simhash.keep_one_of_each(rows)
+    kept = near_copies.keep_one_of_each(rows)
     assert kept.columns == rows.columns
     ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect())
     groups = {}
@@ -230,7 +230,7 @@ def overlapping(seed, common, own):
 
 
 def stay(make_docs, texts):
-    return {r["doc_id"] for r in simhash.keep_one_of_each(make_docs(texts)).collect()}
+    return {r["doc_id"] for r in near_copies.keep_one_of_each(make_docs(texts)).collect()}
 
 
 def test_repeated_lines_do_not_make_near_duplicates(make_docs):
@@ -253,7 +253,7 @@ def test_pairs_at_the_similarity_are_found(make_docs):
 
 @pytest.mark.parametrize("most", [4096, 3])
 def test_stage_groups_by_brute_force(make_docs, awkward, monkeypatch, most):
-    monkeypatch.setattr(simhash, "BLOCK_TEXTS", most)
+    monkeypatch.setattr(near_copies, "BLOCK_TEXTS", most)
     base = words(63, 150).split()
     texts = list(awkward) + [" ".join(base[:k] + ["x"] * (k % 4) + base[k + k % 5 :]) for k in range(0, 150, 4)] + ["a b c d e f g h i", "a b c d e f g h", "a b c d"]
     sets = []
@@ -269,8 +269,31 @@ def test_stage_groups_by_brute_force(make_docs, awkward, monkeypatch, most):
     assert stay(make_docs, texts) == set(label)
 
 
+def test_stage_keeps_clashing_columns(spark, make_docs, tmp_path):
+    texts = [words(70, 50), words(70, 50), words(71, 50), None, ""]
+    rows = make_docs(texts).selectExpr("*", "1 AS file", "2 AS `at`", "3 AS _metadata", "4 AS keys", "5 AS node", "6 AS `a.b`")
+    kept = near_copies.keep_one_of_each(rows)
+    assert kept.columns == rows.columns
+    assert sorted(tuple(r)[0] for r in kept.collect()) == [0, 2, 3]
+    assert {tuple(r)[5:] for r in kept.collect()} == {(1, 2, 3, 4, 5, 6)}
+    rows.write.parquet(str(tmp_path / "read"))
+    assert sorted(tuple(r)[0] for r in near_copies.keep_one_of_each(spark.read.parquet(str(tmp_path / "read"))).collect()) == [0, 2, 3]
+
+
+def test_wide_ring_requires_chains_that_every_near_pair_has():
+    rng = np.random.default_rng(3)
+    ring = near_copies.RING
+    left = rng.integers(0, 2**63, (2000, 6), dtype=np.uint64)
+    flips = np.array([np.isin(np.arange(384), rng.choice(384, n, replace=False)) for n in rng.integers(0, 200, 2000)])
+    right = left ^ np.packbits(flips, axis=1).view(">u8").astype(np.uint64)
+    apart = flips.sum(axis=1)
+    assert set(ring.linked(left, right, np.zeros(2000, dtype=np.int64))) == set(np.flatnonzero(apart <= ring.differing))
+    chained = ring.chained(np.bitwise_count(ring.parts(left ^ right)).astype(np.int16))
+    assert chained[apart <= ring.differing].all() and chained[apart > 180].mean() < 0.2
+
+
 def test_simhash_empty(empty):
-    assert simhash.keep_one_of_each(empty).count() == 0
+    assert near_copies.keep_one_of_each(empty).count() == 0
 
 
 # ---- 8 language

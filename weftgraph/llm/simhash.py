@@ -9,10 +9,6 @@ chain's budgets are checked next, and the full Hamming distance last.
 Equal fingerprints are one vertex, so groups of copies never meet in a task. A
 key held by very many distinct fingerprints is dealt out as pairs of blocks.
 Each task reduces the links it finds to a spanning forest before it emits them.
-
-The pipeline's stage links by exact Jaccard similarity of shingle sets: minhash
-bands give the keys, wide fingerprints of the distinct shingles prune, and the
-shingles of what is left in one component are compared themselves.
 """
 
 from __future__ import annotations
@@ -35,6 +31,8 @@ SEED = 42
 SHINGLE = 3
 DIFFERING = 2
 SEGMENTS = 8
+#: Segments in a chain that is required before the full check, on rings too wide for a walk over one word.
+CHAIN = 4
 HOT_KEY = 16_384
 PAIRS_AT_ONCE = 1 << 22
 
@@ -100,10 +98,10 @@ class Ring:
         self.bits, self.segments, self.differing = bits, segments, differing
         self.width = bits // segments
         self.budgets = [l * differing // segments for l in range(segments + 1)]
-        #: Leading segments that are equal by the budgets; fewer differences than that are not needed.
+        #: Leading segments that are equal by the budgets; none where a segment alone may differ, and then keys come from elsewhere.
         self.lead = max(l for l in range(segments + 1) if self.budgets[l] == 0)
-        if not 0 < self.lead * self.width <= 48:
-            raise ValueError("the leading segments must have 1 to 48 bits")
+        if self.lead * self.width > 48:
+            raise ValueError("the leading segments must have 48 bits at most")
 
     def parts(self, words: np.ndarray) -> np.ndarray:
         """The segments of each fingerprint (rows of 64-bit words) as small integers."""
@@ -125,8 +123,10 @@ class Ring:
     def linked(self, left: np.ndarray, right: np.ndarray, start: np.ndarray) -> np.ndarray:
         """Which pairs of rows are within the distance.
 
-        At 64 bits the budgets of growing chains prune first; the longest chain is
-        the whole ring, so its budget is the full check. Wider rings have the full check alone.
+        The budgets of growing chains prune first. At 64 bits the chain from the
+        key's start is followed to its end, the whole ring, whose budget is the
+        full check. On wider rings a chain of ``CHAIN`` segments from any start
+        is required, then the full distance is taken.
         """
         if self.bits == 64:
             turn = (start * self.width).astype(np.uint64)
@@ -136,8 +136,17 @@ class Ring:
             for l in range(self.lead + 1, self.segments + 1):
                 alive = alive[np.bitwise_count(apart[alive] >> np.uint64(64 - l * self.width)) <= self.budgets[l]]
             return alive
-        distance = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
-        return np.flatnonzero(distance <= self.differing)
+        apart = np.bitwise_count(self.parts(left ^ right)).astype(np.int16)
+        alive = np.flatnonzero(self.chained(apart))
+        return alive[apart[alive].sum(axis=1) <= self.differing]
+
+    def chained(self, apart: np.ndarray) -> np.ndarray:
+        """Whether some chain of ``CHAIN`` segments keeps every budget; ``apart`` holds each segment's differing bits."""
+        run, within = np.zeros_like(apart), np.ones(apart.shape, dtype=bool)
+        for l in range(1, CHAIN + 1):
+            run += np.roll(apart, 1 - l, axis=1)
+            within &= run <= self.budgets[l]
+        return within.any(axis=1)
 
 
 def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -151,7 +160,7 @@ def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
 
 
-def cell_links(ring: Ring | Sketch, words: np.ndarray, order: np.ndarray, vertex: np.ndarray, cell: np.ndarray, start: np.ndarray, parent: np.ndarray) -> None:
+def cell_links(ring: Ring, words: np.ndarray, vertex: np.ndarray, cell: np.ndarray, start: np.ndarray, parent: np.ndarray) -> None:
     """Compare the rows that share a cell and unite the linked vertices. Rows are sorted by cell."""
     size = len(cell)
     edges = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
@@ -165,13 +174,15 @@ def cell_links(ring: Ring | Sketch, words: np.ndarray, order: np.ndarray, vertex
             j = i + ahead
             same = parent[vertex[i]] == parent[vertex[j]]
             i, j = i[~same], j[~same]
-            hit = ring.linked(words[order[i]], words[order[j]], start[i])
+            hit = ring.linked(words[vertex[i]], words[vertex[j]], start[i])
             unite(parent, vertex[i[hit]], vertex[j[hit]])
         ahead += 1
 
 
 def spanning_links(distinct: DataFrame, ring: Ring, hot_key: int = HOT_KEY) -> DataFrame:
     """Links ``(src, dst)`` that connect whatever fingerprints of ``distinct`` (column ``_fp``) the ring connects."""
+    if not ring.lead:
+        raise ValueError("the ring's budgets make no segment equal, so it has no keys")
     count = ring.bits // 64
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,48 +192,54 @@ def spanning_links(distinct: DataFrame, ring: Ring, hot_key: int = HOT_KEY) -> D
             keys = ring.keys(words).reshape(-1)
             yield pa.RecordBatch.from_arrays([pa.array(keys), held.take(pa.array(np.repeat(np.arange(len(held)), ring.segments)))], ["key", "_fp"])
 
-    return links_by_key(map_batches(distinct.select("_fp"), keyed, "key long, _fp binary"), ring, hot_key)
-
-
-def links_by_key(rows: DataFrame, ring: Ring | Sketch, hot_key: int = HOT_KEY) -> DataFrame:
-    """Links that connect what ``ring`` links among the fingerprints of one key (``rows``: key, _fp)."""
-    spark = rows.sparkSession
-    count = ring.bits // 64
+    rows = map_batches(distinct.select("_fp"), keyed, "key long, _fp binary")
     # Keys of more fingerprints than a task should hold: at most the number of rows divided by that, so few.
     hot = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_key), "hot-keys")
-    blocks = F.coalesce(F.ceil(F.col("n") / F.lit(hot_key)).cast("int"), F.lit(1))
-    own = F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("_fp"), F.col("blocks")).cast("int"))
     if hot.limit(1).count():
-        dealt = rows.join(hot, "key", "left").withColumn("blocks", blocks).withColumn("own", own)
-        dealt = dealt.select("key", "_fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        dealt = dealt.select("key", "_fp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    else:
-        dealt = rows.select("key", "_fp", F.lit(0).alias("low"), F.lit(0).alias("high"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return links_by_key(rows.join(hot, "key", "left"), ring, hot_key)
+    return links_by_key(rows.withColumn("n", F.lit(None).cast("long")), ring, hot_key)
+
+
+def links_by_key(rows: DataFrame, ring: Ring, hot_key: int = HOT_KEY, vertex_column: str = "_fp") -> DataFrame:
+    """Links that connect what ``ring`` links among the vertices of one key.
+
+    ``rows``: key, n (the key's number of vertices; null counts as few), _fp and
+    the vertex column, which is the fingerprint itself or names it.
+    """
+    count = ring.bits // 64
+    kind = rows.schema[vertex_column].dataType.simpleString()
+    arrow = pa.binary() if kind == "binary" else pa.int64()
+    blocks = F.greatest(F.coalesce(F.ceil(F.col("n") / F.lit(hot_key)), F.lit(1)), F.lit(1)).cast("int")
+    dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64(vertex_column), F.col("blocks")).cast("int"))
+    names = list(dict.fromkeys((vertex_column, "_fp")))
+    dealt = dealt.select("key", *names, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("key", *names, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         whole = pa.Table.from_batches(held)
-        prints = whole["_fp"].to_pylist()
-        names = sorted(set(prints))  # so that the forest is the same in whatever order rows arrive
+        own = whole[vertex_column].to_pylist()
+        print_of = dict(zip(own, whole["_fp"].to_pylist()))
+        names = sorted(print_of)  # so that the forest is the same in whatever order rows arrive
         index = {p: k for k, p in enumerate(names)}
-        vertex = np.fromiter(map(index.__getitem__, prints), dtype=np.int64, count=len(prints))
+        vertex = np.fromiter(map(index.__getitem__, own), dtype=np.int64, count=len(own))
         key, low, high = (whole[c].to_numpy() for c in ("key", "low", "high"))
-        order = np.lexsort((high, low, key))
+        order = np.lexsort((vertex, high, low, key))
         key, low, high, vertex = key[order], low[order], high[order], vertex[order]
         change = np.r_[False, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
         parent = np.arange(len(names))
-        cell_links(ring, _words(names, count), vertex, vertex, np.cumsum(change), (key >> 48).astype(np.int64), parent)
+        cell_links(ring, _words([print_of[n] for n in names], count), vertex, np.cumsum(change), (key >> 48).astype(np.int64), parent)
         while not np.array_equal(up := parent[parent], parent):
             parent = up
         moved = np.flatnonzero(parent != np.arange(len(names)))
         for k in range(0, len(moved), 65_536):
             part = moved[k : k + 65_536]
-            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in part], pa.binary()), pa.array([names[parent[i]] for i in part], pa.binary())], ["src", "dst"])
+            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in part], arrow), pa.array([names[parent[i]] for i in part], arrow)], ["src", "dst"])
 
-    return map_batches(dealt.repartition(parts, "key", "low", "high"), compare, "src binary, dst binary")
+    return map_batches(dealt.repartition(parts, "key", "low", "high"), compare, f"src {kind}, dst {kind}")
 
 
 def _words(prints: list[bytes], count: int) -> np.ndarray:
@@ -260,184 +277,5 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.join(groups, "_fp").select("doc_id", F.lower(F.hex("_fp")).alias("fingerprint"), "component_id")
 
 
-# Stage form: sets of 5-word shingles, linked at an exact Jaccard similarity of 0.8 or more.
-STAGE_SHINGLE = 5
-STAGE_SIMILARITY = 0.8
-#: Keys: bands of minima. A pair at similarity s shares none with probability (1 - s**6)**32: 6e-5 at 0.8, 8e-6 at 0.82, 5e-9 at 0.88.
-BANDS, ROWS = 32, 6
-#: A fingerprint's first words; the other two are a digest of the shingle set, so that a vertex is one set.
-SKETCH_WORDS = 6
-#: Of 384 bits, as a filter before the exact check. At 0.8 sets of many shingles differ in about 58 bits, the worst small
-#: ones (4 in 5) in 72, with a standard deviation of 8.
-STAGE_DIFFERING = 115
-#: What one task compares exactly, of each side: shingles and texts.
-BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 22, 4096
-MULTIPLIERS = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-class Sketch:
-    """The stage's filter: the fingerprint part of a vertex, by Hamming distance alone."""
-
-    bits = 64 * (SKETCH_WORDS + 2)
-
-    @staticmethod
-    def linked(left: np.ndarray, right: np.ndarray, start: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(np.bitwise_count(left[:, :SKETCH_WORDS] ^ right[:, :SKETCH_WORDS]).sum(axis=1, dtype=np.int64) <= STAGE_DIFFERING)
-
-
-def shingle_set(text: bytes) -> np.ndarray:
-    """The hashes of a text's distinct shingles, in order."""
-    return np.unique(shingle_hashes(text, STAGE_SHINGLE))
-
-
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band of minima; none of an empty set."""
-    if not len(hashes):
-        return np.zeros(0, dtype=np.int64)
-    least = np.full(len(MULTIPLIERS), 2**64 - 1, dtype=np.uint64)
-    for at in range(0, len(hashes), 2048):
-        np.minimum(least, (MULTIPLIERS[:, None] * hashes[at : at + 2048]).min(axis=1), out=least)
-    bands = least.reshape(BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        key = remix(key ^ bands[:, k], k + 1)
-    return key.view(np.int64)
-
-
-def sketch(hashes: np.ndarray) -> bytes:
-    """The name of a shingle set: its fingerprint and its digest."""
-    prints = (np.packbits(majority(remix(hashes, k))).tobytes() if len(hashes) else bytes(8) for k in range(SKETCH_WORDS))
-    return b"".join(prints) + xxhash.xxh128_digest(hashes.tobytes(), SEED)
-
-
-def add_sketches(df: DataFrame) -> DataFrame:
-    """Add ``_fp`` (binary), ``_keys`` (the bands' keys) and ``_n`` (distinct shingles) to every row; a null text has no words."""
-    names = df.columns
-    schema = extended(df.schema, _fp=T.BinaryType(), _keys=T.ArrayType(T.LongType()), _n=T.LongType())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp, keys, n = [], [], []
-            for text in text_bytes(batch["text"]):
-                hashes = shingle_set(text)
-                fp.append(sketch(hashes))
-                keys.append(band_keys(hashes))
-                n.append(len(hashes))
-            added = [pa.array(fp, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*(batch[f] for f in names), *added], [*names, "_fp", "_keys", "_n"])
-
-    return map_batches(df, run, schema)
-
-
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets have the stage's Jaccard similarity."""
-    if min(len(a), len(b)) < STAGE_SIMILARITY * max(len(a), len(b)) - 1e-9:
-        return False
-    both = np.concatenate((a, b))
-    both.sort(kind="stable")
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return common >= STAGE_SIMILARITY * (len(both) - common) - 1e-9
-
-
-def exact_forest(names: list[bytes], sets: list[np.ndarray], block: np.ndarray, across: bool) -> Iterator[tuple[bytes, bytes]]:
-    """Links that connect the sets which are similar; ``across``: only pairs of different blocks are compared."""
-    words = _words(names, SKETCH_WORDS + 2)[:, :SKETCH_WORDS]
-    root = np.arange(len(names))
-    for i in range(1, len(names)):
-        apart = np.bitwise_count(words[:i] ^ words[i]).sum(axis=1, dtype=np.int64)
-        fit = apart <= STAGE_DIFFERING
-        if across:
-            fit &= block[:i] != block[i]
-        near = np.flatnonzero(fit)
-        for j in near[np.argsort(apart[near], kind="stable")]:
-            if root[i] != root[j] and similar(sets[i], sets[j]):
-                root[root == root[i]] = root[j]
-                yield names[i], names[j]
-
-
-def exact_links(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """Links ``(src, dst)`` of exact similarity among the members (_fp, _row, _n, component) of each component; ``texts`` has _row and text.
-
-    A component of very much text is dealt out as pairs of blocks.
-    """
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = members.groupBy("component").agg(F.sum("_n").alias("all"), F.count("*").alias("count"))
-    blocks = F.greatest(F.ceil(F.col("all") / BLOCK_SHINGLES), F.ceil(F.col("count") / BLOCK_TEXTS), F.lit(1)).cast("int")
-    held = members.join(sizes.select("component", blocks.alias("blocks")), "component")
-    held = held.select("component", "_fp", "_row", "blocks", F.pmod(F.xxhash64("_fp"), F.col("blocks")).cast("int").alias("own"))
-    rows = texts.select("_row", "text").join(materialize(held, "stage-members"), "_row").drop("_row")
-    kept = ["component", "_fp", "blocks", "own"]
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = pa.array([shingle_set(t).tobytes() for t in text_bytes(batch["text"])], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), sets], [*kept, "set"])
-
-    found = map_batches(rows.select(*kept, "text"), shingled, "component binary, _fp binary, blocks int, own int, set binary")
-    dealt = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "_fp", "own", "set")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of_cell(held: list) -> list:
-            names, own, sets = zip(*held)
-            return list(exact_forest(list(names), [np.frombuffer(x, dtype=np.uint64) for x in sets], np.array(own), at[1] != at[2]))
-
-        at, held, out = None, [], []
-        for batch in batches:
-            for component, low, high, name, own, found in zip(*(c.to_pylist() for c in batch.columns)):
-                if (component, low, high) != at:
-                    if len(held) > 1:
-                        out += of_cell(held)
-                    at, held = (component, low, high), []
-                held.append((name, own, found))
-            if out:
-                yield _links(out)
-                out = []
-        if len(held) > 1:
-            out += of_cell(held)
-        if out:
-            yield _links(out)
-
-    order = ["component", "low", "high"]
-    return map_batches(dealt.repartition(parts, *order).sortWithinPartitions(*order, "_fp"), compare, "src binary, dst binary")
-
-
-def _links(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*pairs)], ["src", "dst"])
-
-
-def stage_groups(prints: DataFrame) -> DataFrame:
-    """``(_fp, component_id)`` of rows with sketches (doc_id, text, _row, _fp, _keys, _n): groups by exact similarity."""
-    distinct = prints.groupBy("_fp").agg(F.min("doc_id").alias("least"), F.min("_row").alias("_row"), F.first("_n").alias("_n"), F.first("_keys").alias("_keys"))
-    distinct = materialize(distinct, "fingerprints")
-    candidates = connected_components(links_by_key(distinct.select(F.explode("_keys").alias("key"), "_fp"), Sketch()))
-    members = distinct.select("_fp", "_row", "_n").join(candidates.withColumnRenamed("id", "_fp"), "_fp")
-    return group_ids(distinct.select("_fp", "least"), exact_links(prints, materialize(members, "stage-candidates")))
-
-
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group that with the smallest doc_id stays.
-
-    Near-duplicates have sets of 5-word shingles with a Jaccard similarity of 0.8
-    or more, and a group is what such pairs connect. Rows repeated with the same
-    doc_id count once; rows without a doc_id stay only if no other row of their
-    group has one. Columns named _row, _fp, _keys or _n are left out.
-    """
-    docs = docs.drop("_row", "_fp", "_keys", "_n")
-    columns = docs.columns
-    rowed = docs.withColumn("_row", F.monotonically_increasing_id())
-    prints = materialize(add_sketches(rowed), "stage-prints")
-    narrow = prints.select("doc_id", "_row", "_fp")
-    groups = stage_groups(prints)
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    by_print = materialize(narrow.groupBy("_fp").agg(F.min(first).alias("first")), "stage-firsts")
-    # Groups are told apart by their smallest id; those without an id by their fingerprint.
-    chosen = by_print.join(groups, "_fp").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("_fp")).alias("p")).agg(F.min("first").alias("first"))
-    stays = chosen.select(F.col("first._row").alias("_row"))
-    # What goes is the smaller list; a join with it leaves the texts where they are while it is small.
-    goes = materialize(narrow.select("_row").join(materialize(stays, "stage-stays"), "_row", "left_anti"), "stage-goes")
-    return prints.join(goes, "_row", "left_anti").select(*(f"`{c}`" for c in columns))
-
-
 QUERIES = {"op7_simhash": op7_simhash}
 ORACLE_SQL: dict[str, str] = {}
