@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import decontaminate, langid, pieces, simhash, surrogates
+from weftgraph.llm import decontaminate, langid, near_copies, pieces, surrogates
 from weftgraph.llm.common import table
 from weftgraph.plans.lineage import materialize
 
@@ -18,7 +18,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return simhash.keep_one_of_each(docs)
+    return near_copies.keep_one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
