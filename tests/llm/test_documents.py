@@ -57,6 +57,23 @@ def test_piece_agendas_agree():
     assert codec.merge(run) == codec._merge_short(list(run))
 
 
+def test_words_in_step_equal_single_agendas():
+    codec = pieces.Codec(pieces.model_path(), check=False)
+    texts = {w for k in range(40) for w in words(k, 400, "etaoinshrdlu,.-'Ää1").split()} | {"a", "x" * 40, "x" * 41, "aaaaaaaa", "日本", "é😀", "...", "\t", "a\nb"}
+    found = codec.learn_words(sorted(texts))
+    assert found.keys() == texts
+    for w, (raw, text) in found.items():
+        ids = codec.library.encode(w)
+        assert np.frombuffer(raw, "<i4").tolist() == ids and text == " " + w
+        assert [codec.ids.get(p) for p in codec.merge("▁" + w)] == [i if i not in codec.byte_of else None for i in ids] or any(i in codec.byte_of for i in ids)
+
+
+def test_clashing_piece_columns(make_docs):
+    rows = make_docs(["one two", None]).selectExpr("*", "1 AS piece_ids", "2 AS piece_text")
+    found = pieces.encode_decode(rows, pieces.model_path())
+    assert found.columns.count("piece_ids") == 1 and {r["doc_id"]: r["piece_text"] for r in found.collect()} == {0: "one two", 1: ""}
+
+
 def test_pieces_empty(empty):
     assert pieces.encode_decode(empty, pieces.model_path()).count() == 0
 

@@ -3,8 +3,9 @@
 A score-ordered agenda of adjacent symbol pairs merges each run of characters;
 runs are the parts of a text between places that no piece of the vocabulary can
 span, so merges never cross from one to the next and a run's result can be kept.
-Every newly met run is checked, batch by batch, against the sentencepiece
-library, in both directions.
+Words that a batch meets for the first time go through their agendas in step:
+each round merges every word's best pair. Every newly met word or run is
+checked, batch by batch, against the sentencepiece library, in both directions.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ KEPT = 80_000
 TEXTS_AT_ONCE = 384
 LONGEST_KEPT = 48
 SHORT = 40
+#: Words learnt at once, words whose agendas run in step, and words in a text that the library checks.
+WORDS_AT_ONCE, ROWS_AT_ONCE, WORDS_CHECKED = 8192, 4096, 16
 
 
 class Codec:
@@ -69,10 +72,10 @@ class Codec:
         letters = "".join(re.escape(c) for c in joined if c.isalpha())
         other = "".join(re.escape(c) for c in joined if not c.isalpha())
         inner = f"[{letters}{other}]+" if mixed else f"(?:[{other}]*[{letters}]+|[{other}]+)"
-        self.plain = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") <= set(letters)  # words of these are one run
         self.runs = re.compile(f"{SPACE}*{inner}|{SPACE}+|(?s:.)").findall if letters and other else list
         self.spelling = [None if i in self.byte_of or i in self.silent or i == self.unknown else self.pieces[i].replace(SPACE, " ") for i in range(size)]
         self.kept_runs, self.kept_words = Kept(), Kept()
+        self.agendas = Agendas(self)
 
     def merge(self, run: str) -> list[str]:
         """The agenda: always merge the best-scored adjacent pair, the leftmost among equals."""
@@ -163,7 +166,7 @@ class Codec:
     def split(self, text: str) -> list[str]:
         return self.runs(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def learn(self, runs: list[str]) -> dict[str, tuple[list[int], str]]:
+    def learn(self, runs: list[str]) -> dict[str, tuple[bytes, str]]:
         """Encode runs that are not kept; check them against the library; keep the short ones."""
         found = {r: (ids := self.encode_run(r), self._spell(ids, False)) for r in runs}
         if self.check:
@@ -180,17 +183,43 @@ class Codec:
             for r, text in zip(runs, self.library.decode([mark + found[r][0] for r in runs])):
                 if text != "\x01" + found[r][1]:
                     raise AssertionError(f"the library decodes {r[:80]!r} otherwise")
-        self.kept_runs.keep(found)
+        packed = {r: (_packed(ids), text) for r, (ids, text) in found.items()}
+        self.kept_runs.keep(packed)
+        return packed
+
+    def learn_words(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
+        """Encode words that start with a space and are not kept; check them against the library."""
+        known, lengths, symbols = self.agendas.symbols(words)
+        fit = [w for w, k in zip(words, known) if k]
+        rest = [w for w, k in zip(words, known) if not k]
+        found = dict(zip(rest, self.encode_runs([self.runs(SPACE + w) for w in rest]))) if rest else {}
+        for start in range(0, len(fit), WORDS_AT_ONCE):
+            part = fit[start : start + WORDS_AT_ONCE]
+            flat, counts = self.agendas.merge(part, lengths[start : start + WORDS_AT_ONCE], symbols)
+            listed = flat.tolist()
+            text = "".join(map(self.spelling.__getitem__, listed))
+            if self.check:
+                ids = self.library.encode([" ".join(part[k : k + WORDS_CHECKED]) for k in range(0, len(part), WORDS_CHECKED)], num_threads=1)
+                if list(chain.from_iterable(ids)) != listed:
+                    raise AssertionError("the library encodes one of these words otherwise: " + " ".join(part)[:2000])
+                if "".join([" " + x for x in self.library.decode(ids)]) != text:
+                    raise AssertionError("the library decodes one of these words otherwise: " + " ".join(part)[:2000])
+            raw = flat.astype("<i4").tobytes()
+            ends = np.cumsum(counts)
+            places = np.cumsum(self.agendas.spelled[flat])[ends - 1]
+            ends, places = (4 * ends).tolist(), places.tolist()
+            found.update(zip(part, zip([raw[a:b] for a, b in zip([0, *ends], ends)], [text[a:b] for a, b in zip([0, *places], places)])))
+        self.kept_words.keep(found)
         return found
 
-    def encode_runs(self, texts: list[list[str]]) -> list[tuple[list[int], str]]:
+    def encode_runs(self, texts: list[list[str]]) -> list[tuple[bytes, str]]:
         """Each list of runs as one sequence of ids and its spelling, the dummy prefix included."""
         found = self.kept_runs.find({r for runs in texts for r in runs})
         if missing := [r for r in dict.fromkeys(r for runs in texts for r in runs) if r not in found]:
             found |= self.learn(missing)
-        return [(list(chain.from_iterable([found[r][0] for r in runs])), "".join([found[r][1] for r in runs])) for runs in texts]
+        return [(b"".join([found[r][0] for r in runs]), "".join([found[r][1] for r in runs])) for runs in texts]
 
-    def encode_batch(self, texts: list[str]) -> Iterator[tuple[list[int], str]]:
+    def encode_batch(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
         """Ids and decoded text of each whole text.
 
         A text in which spaces stand alone is a sequence of words that each start
@@ -199,33 +228,154 @@ class Codec:
         for first in range(0, len(texts), TEXTS_AT_ONCE):
             yield from self._encode_part(texts[first : first + TEXTS_AT_ONCE])
 
-    def _encode_part(self, part: list[str]) -> list[tuple[list[int], str]]:
-        # The many small lists made here hold no cycles; so looking for cycles among the kept ones is idle work.
+    def _encode_part(self, part: list[str]) -> list[tuple[np.ndarray, str]]:
+        # The many small objects made here hold no cycles; so looking for cycles among the kept ones is idle work.
         collecting = gc.isenabled()
         gc.disable()
         try:
             words = [t.split(" ") if t and "  " not in t and SPACE not in t and t[0] != " " and t[-1] != " " else None for t in part]
-            wanted = {w for x in words if x for w in x}
+            wanted: set[str] = set()
+            for own in words:
+                if own:
+                    wanted.update(own)
             found = self.kept_words.find(wanted)
             if missing := list(wanted - found.keys()):
-                plain = self.plain
-                fresh = dict(zip(missing, self.encode_runs([[SPACE + w] if w.isascii() and w.isalpha() and plain else self.runs(SPACE + w) for w in missing])))
-                self.kept_words.keep(fresh)
-                found |= fresh
+                found.update(self.learn_words(missing))
             out = []
             for text, own in zip(part, words):
                 if own:
                     got = [found[w] for w in own]
-                    ids, decoded = list(chain.from_iterable([g[0] for g in got])), "".join([g[1] for g in got])
+                    raw, decoded = b"".join([g[0] for g in got]), "".join([g[1] for g in got])
                 else:
-                    ((ids, decoded),) = self.encode_runs([self.split(text)])
-                out.append((ids, decoded[1:] if decoded.startswith(" ") else decoded))
+                    ((raw, decoded),) = self.encode_runs([self.split(text)])
+                out.append((np.frombuffer(raw, "<i4"), decoded[1:] if decoded.startswith(" ") else decoded))
             return out
         finally:
             if collecting:
                 gc.enable()
 
 
+class Agendas:
+    """The agendas of many words at once, one row of symbols for each word.
+
+    ``table`` maps a pair of ids to the rank and the id of what they merge to, by
+    open addressing. A row's best pair is the first of least rank, so all words
+    take the same steps as one by one.
+    """
+
+    def __init__(self, codec: Codec):
+        ids, rank = codec.ids, codec.rank
+        self.none = codec.none
+        self.single = np.full(0x110000, -1, dtype=np.int32)
+        for piece, i in ids.items():
+            if len(piece) == 1:
+                self.single[ord(piece)] = i
+        # A character that no piece is, but that a longer one holds, would merge without an id of its own.
+        self.start = int(self.single[ord(SPACE)])
+        self.spelled = np.array([len(x) if x else 0 for x in codec.spelling], dtype=np.int64)
+        pairs = [(ids[p[:k]], ids[p[k:]], r, ids[p]) for p, r in rank.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
+        a, b, ranks, merged = (np.array(x, dtype=np.int64) for x in zip(*pairs))
+        self.bits = max(4, int(4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.ranks = np.full(1 << self.bits, self.none, dtype=np.int32)
+        self.merged = np.zeros(1 << self.bits, dtype=np.int32)
+        key, at = a << 32 | b, self._place(a, b)
+        left = np.arange(len(key))
+        while len(left):
+            free = left[self.keys[at[left]] == -1]
+            self.keys[at[free]] = key[free]  # of several at one place the last stays
+            stays = self.keys[at[left]] == key[left]
+            done = left[stays]
+            self.ranks[at[done]], self.merged[at[done]] = ranks[done], merged[done]
+            left = left[~stays]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        mixed = (a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of each merged pair; ids below zero merge with nothing."""
+        key, at = a.astype(np.int64) << 32 | b.astype(np.int64), self._place(a, b)
+        seen = self.keys[at]
+        while len(off := np.flatnonzero((seen != key) & (seen != -1))):
+            at[off] = (at[off] + 1) & ((1 << self.bits) - 1)
+            seen[off] = self.keys[at[off]]
+        return np.where(seen == key, self.ranks[at], self.none), self.merged[at]
+
+    def symbols(self, words: list[str]) -> tuple[list[bool], np.ndarray, np.ndarray]:
+        """Which words are short and of single-character pieces only; the lengths of those and all their symbols, padded with -1."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        at = np.repeat(np.arange(len(words)), lengths)
+        codes = self.single[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")]
+        known = lengths <= SHORT
+        known[at[codes < 0]] = False
+        keep = known[at]
+        lengths = lengths[known]
+        symbols = np.full((len(lengths), int(lengths.max(initial=0)) + 1), -1, dtype=np.int32)
+        symbols[:, 0] = self.start
+        rows = np.repeat(np.arange(len(lengths)), lengths)
+        symbols[rows, np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1] = codes[keep]
+        self._at = 0
+        return known.tolist(), lengths, symbols
+
+    def merge(self, words: list[str], lengths: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the next ``words`` after all merges, one after another, and the number of each word's."""
+        first, self._at = self._at, self._at + len(words)
+        # Words of like length share a block, so that rows have little padding.
+        order = np.argsort(lengths, kind="stable")
+        counts = np.zeros(len(words), dtype=np.int64)
+        blocks = []
+        for k in range(0, len(words), ROWS_AT_ONCE):
+            rows = order[k : k + ROWS_AT_ONCE]
+            block = self._merge_rows(symbols[first + rows, : int(lengths[rows].max()) + 1])
+            counts[rows] = (block >= 0).sum(axis=1)
+            blocks.append((rows, block))
+        flat = np.empty(int(counts.sum()), dtype=np.int32)
+        starts = np.cumsum(counts) - counts
+        for rows, block in blocks:
+            held = block >= 0
+            n = counts[rows]
+            within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            flat[np.repeat(starts[rows], n) + within] = block[held]
+        return flat, counts
+
+    def _merge_rows(self, rows: np.ndarray) -> np.ndarray:
+        """Rows of symbols, filled up with -1, after all their merges."""
+        out = np.full_like(rows, -1)
+        name = np.arange(len(rows))
+        shape = rows[:, 1:].shape
+        ranks, merged = (x.reshape(shape) for x in self.look_up(rows[:, :-1].reshape(-1), rows[:, 1:].reshape(-1)))
+        while len(rows):
+            best = ranks.argmin(axis=1)
+            each = np.arange(len(rows))
+            going = ranks[each, best] != self.none
+            if not going.all():
+                out[name[~going], : rows.shape[1]] = rows[~going]
+                rows, ranks, merged, name, best = rows[going], ranks[going], merged[going], name[going], best[going]
+                each = each[: len(rows)]
+                if not len(rows):
+                    break
+            joined = merged[each, best]
+            # What follows the pair moves up by one.
+            width = rows.shape[1]
+            column = np.arange(width - 1)
+            shift = column + (column > best[:, None])
+            rows = np.take_along_axis(rows, shift, axis=1)
+            rows[each, best] = joined
+            shift = shift[:, : width - 2]
+            ranks, merged = np.take_along_axis(ranks, shift, axis=1), np.take_along_axis(merged, shift, axis=1)
+            width -= 1
+            if width == 1:
+                out[name, :1] = rows
+                break
+            for side in (best - 1, best):  # the pairs on both sides of the new symbol
+                there = np.flatnonzero((side >= 0) & (side < width - 1))
+                at = side[there]
+                ranks[there, at], merged[there, at] = self.look_up(rows[there, at], rows[there, at + 1])
+        return out
+
+
 class Kept:
     """A bounded store in two generations: what is not met again while the younger one fills is dropped."""
 
@@ -236,15 +386,24 @@ class Kept:
 
     def find(self, keys: set[str]) -> dict:
         young, old = self.young, self.old
-        found = {k: young[k] for k in keys if k in young}
-        again = {k: old[k] for k in keys - found.keys() if k in old}
+        met = keys & young.keys()
+        found = dict(zip(met, map(young.__getitem__, met)))
+        again = (keys - met) & old.keys()
+        again = dict(zip(again, map(old.__getitem__, again)))
         self.keep(again)
-        return found | again
+        found.update(again)
+        return found
 
     def keep(self, entries: dict) -> None:
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
-        self.young.update((k, v) for k, v in entries.items() if len(k) <= LONGEST_KEPT)
+        if any(len(k) > LONGEST_KEPT for k in entries):
+            entries = {k: v for k, v in entries.items() if len(k) <= LONGEST_KEPT}
+        self.young.update(entries)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<i4").tobytes()
 
 
 def _utf8(raw: bytes) -> str:
@@ -278,7 +437,7 @@ def codec(model_path: str, check: bool = True) -> Codec:
     return _codecs[key]
 
 
-def encode_texts(texts: list[str | None], model_path: str, check: bool = True) -> Iterator[tuple[list[int], str]]:
+def encode_texts(texts: list[str | None], model_path: str, check: bool = True) -> Iterator[tuple[np.ndarray, str]]:
     return codec(model_path, check).encode_batch([t or "" for t in texts])
 
 
@@ -296,7 +455,7 @@ def encode_decode(df: DataFrame, model_path: str, text_column: str = "text", che
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 found = list(encode_texts(batch[text_column].to_pylist(), model_path, check))
-                ids = pa.array([np.asarray(i, dtype=np.int32) for i, _ in found], pa.list_(pa.int32()))
+                ids = pa.array([i for i, _ in found], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array([t for _, t in found], pa.string())], [*batch.schema.names, "piece_ids", "piece_text"])
 
     return map_batches(df, run, schema)
@@ -314,7 +473,7 @@ def token_digests(df: DataFrame, model_path: str, check: bool = True) -> DataFra
             counts, by_ids, by_text = [], [], []
             for ids, text in encode_texts(batch["text"].to_pylist(), model_path, check):
                 counts.append(len(ids))
-                by_ids.append(hashlib.sha256(",".join([spelled[i] for i in ids]).encode()).hexdigest())
+                by_ids.append(hashlib.sha256(",".join(map(spelled.__getitem__, ids.tolist())).encode()).hexdigest())
                 by_text.append(hashlib.sha256(text.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(counts, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
