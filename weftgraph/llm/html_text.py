@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import html as references
 import math
-import random
 import re
 from collections.abc import Iterator
 
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import extended, map_batches, table
+from .labelled_pages import LAYOUTS, drawn_page
 
 BLOCKS = frozenset(
     "html head body article section main aside nav header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -36,6 +36,9 @@ NO_P = BLOCKS - {"html", "head", "body", "label"}
 
 _TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|$))", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop|type)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?", re.I)
+#: The attribute that labels main text in a training page, and what a sentence ends with.
+MARK = "data-main"
+ENDS = tuple(".!?…:\"”»’)]。")
 _WORD = re.compile(r"[a-z]+")
 _END = {tag: re.compile(rf"</{tag}\b[^>]*+>?", re.I) for tag in SKIPPED}
 
@@ -46,8 +49,11 @@ class Page:
     def __init__(self, html: str):
         self.parent: list[int] = [-1]
         self.features: list[list[str]] = [["root"]]
+        self.marked: list[bool] = [False]  # the labels of a labelled page
         self.words: list[int] = [0]
         self.linked: list[int] = [0]
+        self.ended: list[int] = [0]  # texts that end like a sentence
+        self.texts: list[int] = [0]
         self.blocks: list[tuple[int, str]] = []
         self._parse(html)
 
@@ -67,6 +73,8 @@ class Page:
                     n = plain.count(" ") + 1
                     self.words[node] += n
                     self.linked[node] += n if in_links else 0
+                    self.texts[node] += 1
+                    self.ended[node] += plain.endswith(ENDS)
 
         def close(depth: int) -> None:
             nonlocal in_links
@@ -150,56 +158,68 @@ class Page:
                     found.append("hidden")
         self.parent.append(stack[-1][1])
         self.features.append(found)
-        self.words.append(0)
-        self.linked.append(0)
+        self.marked.append(MARK in attributes)
+        for counts in (self.words, self.linked, self.ended, self.texts):
+            counts.append(0)
         if tag != "hr":
             stack.append((tag, len(self.parent) - 1))
 
     def finish(self) -> None:
-        """Features that need the whole page: length of own text, share of links below."""
-        words, linked = self.words[:], self.linked[:]
+        """Features that need the whole page: length and end of own text, share of links and of the page's words below, kind of parent."""
+        words, linked, ended, texts = self.words[:], self.linked[:], self.ended[:], self.texts[:]
         for i in range(len(words) - 1, 0, -1):
-            words[self.parent[i]] += words[i]
-            linked[self.parent[i]] += linked[i]
+            p = self.parent[i]
+            words[p] += words[i]
+            linked[p] += linked[i]
+            ended[p] += ended[i]
+            texts[p] += texts[i]
+        kinds = [found[0] for found in self.features]
         for i, found in enumerate(self.features):
+            if i:
+                found.append(f"{kinds[i]} in {kinds[self.parent[i]]}")
             found.append(f"own {min(4, self.words[i].bit_length() // 2)}")
-            found.append(f"links {4 * linked[i] // words[i] if words[i] else 'none'}")
+            if self.texts[i]:
+                found.append(f"own ends {2 * self.ended[i] // self.texts[i]}")
+            if words[i]:
+                found.append(f"links {4 * linked[i] // words[i]}")
+                found.append(f"all {min(4, words[i].bit_length() // 2)}")
+                found.append(f"share {4 * words[i] // words[0]}")
+                found.append(f"ends {3 * ended[i] // texts[i]}")
+            else:
+                found.append("no text")
+
+
+def _sigmoid(x: float) -> float:
+    return 1.0 / (1.0 + math.exp(-x)) if x >= 0 else (e := math.exp(max(x, -700.0))) / (1.0 + e)
 
 
 def marginals(page: Page, unary: dict[str, float], edge: tuple[float, float, float, float]) -> tuple[list[float], list[tuple[float, float, float, float]]]:
-    """P(content) of each element, and of each edge the joint of (parent, child) as 00, 01, 10, 11."""
+    """P(content) of each element, and of each edge the joint of (parent, child) as 00, 01, 10, 11.
+
+    Messages are kept as log-odds, so an element may have any number of children.
+    """
     n = len(page.parent)
-    e00, e01, e10, e11 = map(math.exp, edge)
-    local1 = [math.exp(max(-30.0, min(30.0, sum(unary.get(f, 0.0) for f in found)))) for found in page.features]
-    up0, up1 = [1.0] * n, local1[:]  # local potential and what came from below
-    to0, to1 = [1.0] * n, [1.0] * n  # message to the parent
     parent = page.parent
+    e00, e01, e10, e11 = map(math.exp, edge)
+    up = [sum([unary.get(f, 0.0) for f in found]) for found in page.features]  # of each element given what is below
+    sent = [0.0] * n  # the message to the parent
+    below = [0.0] * n
     for i in range(n - 1, 0, -1):
-        a, b = up0[i], up1[i]
-        s = a + b
-        a, b = a / s, b / s
-        up0[i], up1[i] = a, b
-        to0[i], to1[i] = e00 * a + e01 * b, e10 * a + e11 * b
-        p = parent[i]
-        up0[p] *= to0[i]
-        up1[p] *= to1[i]
-        if up0[p] + up1[p] < 1e-200:
-            up0[p] *= 1e200
-            up1[p] *= 1e200
+        b = below[i] = _sigmoid(up[i])
+        sent[i] = math.log((e10 * (1.0 - b) + e11 * b) / (e00 * (1.0 - b) + e01 * b))
+        up[parent[i]] += sent[i]
+    belief = up[:1] * n
     content = [0.0] * n
     joint = [(0.0, 0.0, 0.0, 0.0)] * n
-    total = up0[0] + up1[0]
-    belief0, belief1 = [0.0] * n, [0.0] * n
-    belief0[0], belief1[0] = up0[0] / total, up1[0] / total
-    content[0] = belief1[0]
+    content[0] = _sigmoid(up[0])
     for i in range(1, n):
-        p = parent[i]
-        out0, out1 = belief0[p] / to0[i] if to0[i] else 0.0, belief1[p] / to1[i] if to1[i] else 0.0
-        j00, j01, j10, j11 = out0 * e00 * up0[i], out0 * e01 * up1[i], out1 * e10 * up0[i], out1 * e11 * up1[i]
-        z = j00 + j01 + j10 + j11 or 1.0
+        above = _sigmoid(belief[parent[i]] - sent[i])  # of the parent without this child
+        b = below[i]
+        j00, j01, j10, j11 = (1.0 - above) * e00 * (1.0 - b), (1.0 - above) * e01 * b, above * e10 * (1.0 - b), above * e11 * b
+        z = j00 + j01 + j10 + j11
         joint[i] = (j00 / z, j01 / z, j10 / z, j11 / z)
-        belief0[i], belief1[i] = (j00 + j10) / z, (j01 + j11) / z
-        content[i] = belief1[i]
+        belief[i] = up[i] + math.log((e01 * (1.0 - above) + e11 * above) / (e00 * (1.0 - above) + e10 * above))
+        content[i] = _sigmoid(belief[i])
     return content, joint
 
 
@@ -213,115 +233,18 @@ def main_text(html: str | None, model: tuple[dict[str, float], tuple]) -> str:
     return "\n\n".join(text for node, text in page.blocks if content[node] > 0.5)
 
 
-# ---- labelled pages -------------------------------------------------------
-
-#: Class and id words by which site templates name parts that are no main text.
-OUTSIDE = (
-    "nav menu navbar navigation breadcrumb breadcrumbs toc header masthead topbar banner footer foot colophon copyright legal sidebar aside side rail widget "
-    "ad ads advert advertisement sponsor sponsored promo promotion promoted cookie cookies consent notice alert gdpr popup modal overlay subscribe newsletter signup login search "
-    "comment comments respond reply discussion disqus share sharing social related recommended recommendation more pagination pager skip tags meta"
-).split()
-INSIDE = "content main article post entry story body text page story-body article-body entry-content post-content mw-content-text".split()
-
-
-def _words(r: random.Random, low: int, high: int) -> str:
-    return " ".join("".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randint(2, 9))) for _ in range(r.randint(low, high)))
-
-
-def labelled_page(seed: int) -> tuple[str, set[str]]:
-    """A page and the blocks that are its main text, drawn from common site layouts."""
-    r = random.Random(seed)
-    kept: set[str] = set()
-
-    def text(low: int, high: int, keep: bool) -> str:
-        t = _words(r, low, high)
-        if keep:
-            kept.add(t)
-        return t
-
-    def links(n: int) -> str:
-        return "<ul>" + "".join(f'<li><a href="/{k}">{text(1, 4, False)}</a></li>' for k in range(n)) + "</ul>"
-
-    def outside(word: str, tag: str = "div") -> str:
-        kind = r.choice(("class", "class", "id"))
-        inner = r.choice((lambda: links(r.randint(2, 7)), lambda: f"<p>{text(3, 40, False)}</p>", lambda: text(2, 30, False), lambda: f"<p>{text(3, 60, False)}</p><p>{text(3, 60, False)}</p>", lambda: f"<h3>{text(1, 4, False)}</h3>{links(3)}"))()
-        return f'<{tag} {kind}="{word}">{inner}</{tag}>'
-
-    def paragraph() -> str:
-        kind = r.random()
-        if kind < 0.08:
-            return "<ul>" + "".join(f"<li>{text(3, 30, True)}</li>" for _ in range(r.randint(2, 5))) + "</ul>"
-        if kind < 0.16:
-            return f"<h2>{text(1, 8, True)}</h2>"
-        if kind < 0.22:
-            return f"<blockquote><p>{text(5, 50, True)}</p></blockquote>"
-        if kind < 0.26:
-            return f"<pre>{text(3, 30, True)}</pre>"
-        if kind < 0.3:
-            return f"<table><tr><td>{text(1, 5, True)}</td><td>{text(1, 5, True)}</td></tr></table>"
-        if kind < 0.36:
-            return f"<div>{text(8, 60, True)}</div>"
-        if kind < 0.4:
-            return f'<p><a href="/x">{text(1, 6, True)}</a></p>'
-        return f"<p>{text(1, 6, True) if r.random() < 0.15 else text(8, 110, True)}</p>"
-
-    def form() -> str:
-        return f"<form><label>{text(1, 3, False)}</label><input><p>{text(2, 12, False)}</p></form>"
-
-    parts = [f"<h1>{text(2, 12, True)}</h1>"] + [paragraph() for _ in range(r.randint(1, 9))]
-    if r.random() < 0.3:
-        parts[0] = f"<header>{parts[0]}</header>"
-    for _ in range(r.randint(0, 2)):
-        parts.insert(r.randint(1, len(parts)), outside(r.choice(OUTSIDE), r.choice(("div", "aside", "section", "p", "nav") if r.random() < 0.5 else ("div",))))
-    if r.random() < 0.2:
-        parts.insert(r.randint(1, len(parts)), form())
-    if r.random() < 0.3:
-        parts.append('<section class="comments">' + "".join(f'<div class="comment"><p>{text(4, 70, False)}</p></div>' for _ in range(r.randint(1, 4))) + "</section>")
-    if r.random() < 0.1:
-        parts.append(f"<footer><p>{text(2, 20, False)}</p></footer>")
-    body = "".join(parts)
-    body = r.choice(
-        (
-            f"<article>{body}</article>",
-            f"<article>{body}</article>",
-            f"<main><article>{body}</article></main>",
-            f'<div class="{r.choice(INSIDE)}">{body}</div>',
-            f'<main>{body}</main>',
-            f'<div id="{r.choice(INSIDE)}"><div class="{r.choice(INSIDE)}">{body}</div></div>',
-            f'<div class="wrapper"><section>{body}</section></div>',
-        )
-    )
-    before, after = [], []
-    if r.random() < 0.8:
-        before.append(f"<nav>{links(r.randint(2, 8))}</nav>")
-    if r.random() < 0.5:
-        before.insert(r.randint(0, len(before)), f"<header><p>{text(1, 12, False)}</p>{links(2) if r.random() < 0.5 else ''}</header>")
-    for _ in range(r.randint(0, 3)):
-        (before if r.random() < 0.5 else after).append(outside(r.choice(OUTSIDE), r.choice(("div", "div", "section", "aside"))))
-    if r.random() < 0.4:
-        after.append(f"<aside><p>{text(3, 60, False)}</p>{links(2)}</aside>")
-    if r.random() < 0.2:
-        after.append(form())
-    if r.random() < 0.85:
-        after.append(f"<footer>{text(2, 30, False)}{links(2) if r.random() < 0.3 else ''}</footer>")
-    return f"<html><head><title>{text(1, 5, False)}</title></head><body>{''.join(before)}{body}{''.join(after)}</body></html>", kept
-
-
-def train(pages: list[tuple[str, set[str]]], rounds: int = 60, rate: float = 0.5, shrink: float = 0.003) -> tuple[dict[str, float], tuple]:
-    """Fit local and edge weights to pages with known main text.
-
-    An element is content if it holds a kept block itself or below; an element
+def train(pages: list[str], rounds: int = 60, rate: float = 0.5, shrink: float = 0.003) -> tuple[dict[str, float], tuple]:
+    """Fit local and edge weights to labelled pages: those whose main text stands in elements marked ``data-main``.
+
+    An element is content if it is marked or holds content below; an element
     without text takes the label of its parent.
     """
     prepared = []
-    for html, kept in pages:
+    for html in pages:
         page = Page(html)
         page.finish()
-        label = [0] * len(page.parent)
-        seen = [0] * len(page.parent)
-        for node, text in page.blocks:
-            label[node] |= text in kept
-            seen[node] = 1
+        label = [int(m) for m in page.marked]
+        seen = [int(bool(t)) for t in page.texts]
         for i in range(len(label) - 1, 0, -1):
             label[page.parent[i]] |= label[i]
             seen[page.parent[i]] |= seen[i]
@@ -356,15 +279,23 @@ def train(pages: list[tuple[str, set[str]]], rounds: int = 60, rate: float = 0.5
     return unary, tuple(edge)
 
 
-TRAINING_PAGES = 240
+TRAINING_PAGES = 12 * len(LAYOUTS)
 
 
 def trained_model(pages: int = TRAINING_PAGES) -> tuple[dict[str, float], tuple]:
-    return train([labelled_page(seed) for seed in range(pages)])
+    """The model fitted to pages drawn from the labelled layouts."""
+    return train([drawn_page(seed) for seed in range(pages)])
 
 
 def extract(df: DataFrame, model: tuple[dict[str, float], tuple], html_column: str = "html") -> DataFrame:
-    """Add ``main_text`` to every row; null or empty html gives an empty text. A column of this name is replaced."""
+    """Add ``main_text`` to every row.
+
+    Null or empty html, and a page without a content block, give an empty text.
+    Pages may be of any length, depth and number of blocks. A block is content
+    if its marginal is above one half, so a tie is none. Repeated rows stay
+    repeated; equal pages have equal texts. A column named ``main_text`` is
+    replaced, all others stay.
+    """
     df = df.drop("main_text")
     held = df.sparkSession.sparkContext.broadcast(model)
     schema = extended(df.schema, main_text=T.StringType())
