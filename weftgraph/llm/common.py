@@ -27,6 +27,14 @@ def extended(schema: T.StructType, **added: T.DataType) -> T.StructType:
     return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in added.items())])
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, or what it becomes with underscores until no column has it."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 #: Texts reach Python in Arrow batches of about this size, whatever their length; short rows still come by the thousand.
 BATCH_BYTES = "8m"
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..plans.lineage import Scratch, materialize
-from .common import map_batches, text_bytes
+from .common import map_batches, text_bytes, unused
 from .simhash import HOT_KEY, SEED, Ring, _words, links_by_key, majority, remix, shingle_hashes
 
 SHINGLE = 5
@@ -230,14 +230,8 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     goes = materialize(sketches.select("file", "at").join(stays, ["file", "at"], "left_anti"), "stage-goes")
     scratch.close()
     columns = docs.columns
-    mark_file, mark_at = (_unused(name, columns) for name in ("file", "at"))
+    mark_file, mark_at = (unused(name, columns) for name in ("file", "at"))
     marked = docs.select("*", file.alias(mark_file), at.alias(mark_at))
     goes = goes.select(F.col("file").alias(mark_file), F.col("at").alias(mark_at))
     return marked.join(goes, [mark_file, mark_at], "left_anti").select(*(f"`{c}`" for c in columns))
 
-
-def _unused(name: str, taken: list[str]) -> str:
-    lower = {c.lower() for c in taken}
-    while name in lower:
-        name += "_"
-    return name
