@@ -92,6 +92,9 @@ def test_links(spark):
     k += 11
     odd = [None, [], [0.0] * 24, [float("nan")] * 24, [float("inf")] + [1.0] * 23, [None] + [1.0] * 23, [1.0], [2.0]]
     rows += [(k + i, v, 1) for i, v in enumerate(odd)]
+    k += len(odd)
+    long = rng.normal(size=5000).astype(np.float32).tolist()
+    rows += [(k, long, 1), (k + 1, [x * 1.5 for x in long], 1), (k + 2, long[:-1], 1)]
     df = spark.createDataFrame(rows, VECTOR).selectExpr("*", "'x' AS id", "1 AS node")
     found = {r["id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_links.link_vectors(df).collect()}
     expected = brute_links(rows)
@@ -103,10 +106,25 @@ def test_links(spark):
 def test_calibration_by_simulation():
     plan = embedding_links.calibrate(2000)
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(400, plan.directions))
+    x = rng.normal(size=(400, plan.groups, plan.signs + 1))
     y = 0.9 * x + np.sqrt(1 - 0.81) * rng.normal(size=x.shape)
-    met = ((np.abs(x) >= plan.tail) & (np.abs(y) >= plan.tail) & (np.sign(x) == np.sign(y)) & (np.abs(x - y) <= plan.width)).sum(axis=1)
-    assert (met >= plan.collisions).mean() >= 0.97
+    met = (((x >= 0) == (y >= 0))[:, :, :-1].all(axis=2) & (np.abs(x - y)[:, :, -1] <= plan.width)).sum(axis=1)
+    assert (met >= plan.collisions).mean() >= 0.995
+
+
+def test_work_grows_less_than_the_power_of_a_half():
+    groups = [embedding_links.calibrate(10**k).groups for k in range(3, 11)]
+    assert all(b / a < 10**0.35 for a, b in zip(groups, groups[1:])) and groups[-1] < 2500
+
+
+def test_hot_cells_are_split(spark):
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=16)
+    rows = [(i, (centre + rng.normal(size=16) * 0.1).tolist(), 0) for i in range(60)]
+    vectors = spark.createDataFrame(rows, "node long, values array<double>, label int").selectExpr("node", "values", "sqrt(aggregate(values, 0D, (s, x) -> s + x * x)) AS length")
+    vectors = vectors.selectExpr("*", "transform(values, x -> cast(x / length AS float)) AS unit")
+    whole = {tuple(r) for r in embedding_links.find_links(vectors).collect()}
+    assert {tuple(r) for r in embedding_links.find_links(vectors, hot_cell=7).collect()} == whole and len(whole) > 1000
 
 
 def test_no_vectors(spark):
