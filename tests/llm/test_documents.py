@@ -342,19 +342,60 @@ def test_languages(spark, make_docs, awkward):
             assert found[i][0] in kinds
 
 
-def test_ngrams_do_not_depend_on_blocks(monkeypatch):
-    text = words(70, 500)
-    whole = [np.bincount(x, minlength=256) for x in langid.ngram_ids(text, (1, 2, 3), 256)]
-    monkeypatch.setattr(langid, "BLOCK", 97)
-    parts = np.zeros(256, dtype=int)
-    for x in langid.ngram_ids(text, (1, 2, 3), 256):
-        parts += np.bincount(x, minlength=256)
-    assert (sum(whole) == parts).all()
+def brute_ngrams(text, dimensions):
+    codes, out = [ord(c) for c in text.lower()], Counter()
+    for i in range(len(codes)):
+        hashed = 0
+        for n in (1, 2, 3):
+            if i + n <= len(codes):
+                hashed = (hashed * 0x01000193 + codes[i + n - 1]) % 2**32
+                out[((hashed ^ n) * 0x9E3779B1 % 2**32 >> 8) & (dimensions - 1)] += 1
+    return out
+
+
+@pytest.mark.parametrize("block", [1 << 20, 97])
+def test_ngrams_by_brute_force(monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    texts = ["", "a", words(70, 500), "Zwölf ß", words(71, 3), "", "x" * 97, "y" * 98]
+    found = [Counter() for _ in texts]
+    for rows, columns in langid.ngram_entries(texts, (1, 2, 3), 256):
+        assert (np.diff(rows) >= 0).all()
+        for r, c in zip(rows.tolist(), columns.tolist()):
+            found[r][c] += 1
+    assert found == [brute_ngrams(t, 256) for t in texts]
+
+
+@pytest.mark.parametrize("block", [1 << 20, 97])
+def test_language_scores_by_brute_force(monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    log_prob = np.log(rng.dirichlet(np.ones(256), 3)).astype(np.float32)
+    model = langid.Model(["aa", "bb", "cc"], np.log([0.5, 0.25, 0.25]), log_prob, (1, 2, 3))
+    texts = [None, "", "123", "one", words(70, 500), "é", words(72, 40), "一"]
+    names, scores = langid.score_texts(texts, model)
+    for t, name, score in zip(texts, names, scores):
+        if not any(c.isalpha() for c in t or ""):
+            assert (name, score) == ("und", 0.0)
+            continue
+        total = [p + sum(n * float(log_prob[k, c]) for c, n in brute_ngrams(t, 256).items()) for k, p in enumerate(model.log_prior)]
+        best = int(np.argmax(total))
+        assert name == model.languages[best] and score == pytest.approx(1 / sum(np.exp(x - total[best]) for x in total), rel=1e-6)
+
+
+def test_languages_that_tie():
+    model = langid.Model(["aa", "bb"], np.log([0.5, 0.5]), np.zeros((2, 256), dtype=np.float32), (1, 2, 3))
+    assert langid.score_texts(["word"], model)[0] == ["aa"]
+
+
+def test_clashing_language_columns(make_docs):
+    rows = make_docs(["some words", None]).selectExpr("*", "1 AS lang_pred", "2 AS lang_score", "3 AS `a.b`")
+    found = langid.identify(rows, langid.train_on_documents(rows))
+    assert found.columns == [c for c in rows.columns if not c.startswith("lang_")] + ["lang_pred", "lang_score"] and found.count() == 2
 
 
 def test_languages_empty(empty):
     model = langid.train_on_documents(empty)
-    assert langid.identify(empty, model).count() == 0 and langid.score_text("abc", model) == ("und", 0.0)
+    assert langid.identify(empty, model).count() == 0 and langid.score_texts(["abc"], model)[0] == ["und"]
 
 
 # ---- 10 sharding
@@ -377,6 +418,30 @@ def test_shards(spark, make_docs, awkward, bucket):
     assert again == {(r["doc_id"], r["shard"], r["slot"]) for r in found}
 
 
+def test_shards_of_repeats_that_fill_buckets(spark, make_docs):
+    rows = make_docs([words(5, 100)]).crossJoin(spark.range(400)).drop("id").unionByName(spark.createDataFrame([(None, words(6, 100), "en", "s", 1)] * 200, DOC))
+    table = shuffle_shards.external_shuffle(rows, bucket_bytes=20_000)
+    found = table.collect()
+    assert max(Counter(r["_bucket"] for r in found).values()) < 200
+    by_shard = Counter(r["shard"] for r in found)
+    assert sum(by_shard.values()) == 600 and max(by_shard.values()) - min(by_shard.values()) <= 1
+    for s in by_shard:
+        assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(by_shard[s]))
+
+
+def test_op10_by_its_contract(spark, make_docs, awkward, tmp_path):
+    import zlib
+
+    texts = awkward + [words(i, 20) for i in range(50)]
+    make_docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    found = shuffle_shards.op10_shuffle_shards(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(len(texts)))
+    for r in found:
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+    assert {(r["shard"], r["slot"]) for r in found} == {(p % 16, p // 16) for p in range(len(texts))}
+
+
 def test_fisher_yates():
     assert sorted(shuffle_shards.fisher_yates(1000, 1, 2)) == list(range(1000))
     first = Counter(int(shuffle_shards.fisher_yates(4, 1, b)[0]) for b in range(4000))

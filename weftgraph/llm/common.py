@@ -40,12 +40,18 @@ BATCH_BYTES = "8m"
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with bounded batches; a worker gives unused memory back at the end of each task, since it lives on idle."""
+    """``mapInArrow`` with bounded batches; a worker gives unused memory back at the end of each task, since it lives on idle.
+
+    Column names may hold dots, which ``mapInArrow`` itself would take for fields.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    names = df.columns
+    if any("." in c or "`" in c for c in names):
+        df = df.toDF(*(f"column_{k}" for k in range(len(names))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from function(batches)
+            yield from function(pa.RecordBatch.from_arrays(b.columns, names) for b in batches)
         finally:
             pa.default_memory_pool().release_unused()
             if hasattr(_libc := ctypes.CDLL(None), "malloc_trim"):

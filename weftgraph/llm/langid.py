@@ -1,8 +1,10 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts n-grams in parallel; the log-probability matrix (languages x
-hash dimensions, a size fixed by parameters) is broadcast, and whole texts are
-scored in numpy one Arrow batch at a time.
+hash dimensions, a size fixed by parameters) is broadcast. Whole texts are scored
+in numpy, many at a time: the n-grams of a batch are the entries of a sparse
+matrix (texts x dimensions), whose product with the log-probabilities is taken
+entry by entry and summed by text.
 """
 
 from __future__ import annotations
@@ -33,28 +35,62 @@ class Model:
     orders: tuple[int, ...]
 
 
-def ngram_ids(text: str, orders: tuple[int, ...], dimensions: int) -> Iterator[np.ndarray]:
-    """Hashed ids of all character n-grams of a text, in blocks of bounded size."""
-    text = text.lower()
-    reach = max(orders) - 1
-    for start in range(0, len(text), BLOCK):
-        codes = np.frombuffer(text[start : start + BLOCK + reach].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        own = min(BLOCK, len(text) - start)
+def code_blocks(texts: list[str], reach: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Lower-cased texts as code points, in blocks of bounded size: codes, the place in ``texts`` of each code, and how many codes follow in its text.
+
+    Texts share blocks; a text beyond the size of a block goes on in the next,
+    which repeats nothing: the last ``reach`` codes of a block are only looked at.
+    """
+    held: list[str] = []
+    names: list[int] = []
+    size = 0
+    for i, text in enumerate(texts):
+        text = text.lower()
+        if size and size + len(text) > BLOCK:
+            yield _block(held, names, [len(t) for t in held])
+            held, names, size = [], [], 0
+        if len(text) > BLOCK:
+            for start in range(0, len(text), BLOCK):
+                yield _block([text[start : start + BLOCK + reach]], [i], [min(BLOCK, len(text) - start)])
+        else:
+            held.append(text)
+            names.append(i)
+            size += len(text)
+    if size:
+        yield _block(held, names, [len(t) for t in held])
+
+
+def _block(held: list[str], names: list[int], own: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    codes = np.frombuffer("".join(held).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    lengths = np.array([len(t) for t in held])
+    place = np.repeat(np.array(names), lengths)
+    ahead = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
+    place[ahead <= np.repeat(lengths - np.array(own), lengths)] = -1  # no n-gram starts there in this block
+    return codes, place, ahead
+
+
+def ngram_entries(texts: list[str], orders: tuple[int, ...], dimensions: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sparse matrix of hashed character n-grams: rows (places in ``texts``, in order) and columns, in blocks of bounded size."""
+    for codes, place, ahead in code_blocks(texts, max(orders) - 1):
         hashed = np.zeros(len(codes), dtype=np.uint32)
-        for n in range(1, reach + 2):
+        for n in range(1, max(orders) + 1):
             hashed = hashed[: len(codes) - n + 1] * np.uint32(0x01000193) + codes[n - 1 :]
             if n in orders:
                 mixed = (hashed ^ np.uint32(n)) * np.uint32(0x9E3779B1)
-                yield (mixed >> np.uint32(8))[:own] & np.uint32(dimensions - 1)
+                starts = (ahead[: len(hashed)] >= n) & (place[: len(hashed)] >= 0)
+                yield place[: len(hashed)][starts], ((mixed >> np.uint32(8)) & np.uint32(dimensions - 1))[starts]
 
 
 def _count(batches: Iterator[pa.RecordBatch], orders: tuple[int, ...], dimensions: int) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
+        by_lang: dict[str, list[str]] = {}
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+            by_lang.setdefault(lang, []).append(text)
+        for lang, texts in by_lang.items():
             held = counts.setdefault(lang, np.zeros(dimensions, dtype=np.int64))
-            for ids in ngram_ids(text, orders, dimensions):
-                held += np.bincount(ids, minlength=dimensions)
+            for _, columns in ngram_entries(texts, orders, dimensions):
+                held += np.bincount(columns, minlength=dimensions)
     for lang, held in counts.items():
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(held[at])], ["lang", "feature", "n"])
@@ -83,23 +119,31 @@ def train(labelled: DataFrame, max_rows: int = TRAINING_ROWS, orders: tuple[int,
     return Model(languages, np.log(prior / prior.sum()), log_prob.astype(np.float32), orders)
 
 
-def score_text(text: str | None, model: Model) -> tuple[str, float]:
-    """The most probable language and its posterior; ties go to the first in the alphabet."""
-    if not text or not model.languages or not any(map(str.isalpha, text)):
-        return UNDETERMINED, 0.0
-    total = model.log_prior.copy()
-    for ids in ngram_ids(text, model.orders, model.log_prob.shape[1]):
-        for k in range(len(total)):
-            total[k] += model.log_prob[k].take(ids).sum(dtype=np.float64)
-    best = int(total.argmax())
-    return model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
+    """The most probable language of each text and its posterior; ties go to the first in the alphabet."""
+    asked = [i for i, t in enumerate(texts) if t and model.languages and any(map(str.isalpha, t))]
+    total = np.tile(model.log_prior, (len(asked), 1))
+    for rows, columns in ngram_entries([texts[i] for i in asked], model.orders, model.log_prob.shape[1]):
+        if len(rows):
+            first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+            for k in range(len(model.languages)):
+                total[rows[first], k] += np.add.reduceat(model.log_prob[k].take(columns), first, dtype=np.float64)
+    names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    if asked:
+        best = total.argmax(axis=1)
+        scores[asked] = 1.0 / np.exp(total - total[np.arange(len(asked)), best, None]).sum(axis=1)
+        for i, k in zip(asked, best.tolist()):
+            names[i] = model.languages[k]
+    return names, scores
 
 
 def identify(df: DataFrame, model: Model) -> DataFrame:
     """Add ``lang_pred`` and ``lang_score`` to every row; reads the column ``text`` alone.
 
     A null text, or one without a letter, is ``und`` with score 0, as is every
-    text when nothing could be learned. Columns with these names are replaced.
+    text when nothing could be learned. Texts are scored whole, however long;
+    equal texts score alike; of languages that tie the first in the alphabet is
+    taken. Columns with these names are replaced, all others stay.
     """
     df = df.drop("lang_pred", "lang_score")
     held = df.sparkSession.sparkContext.broadcast(model)
@@ -107,8 +151,8 @@ def identify(df: DataFrame, model: Model) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [score_text(x, held.value) for x in batch["text"].to_pylist()]
-            arrays = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+            names, scores = score_texts(batch["text"].to_pylist(), held.value)
+            arrays = [*batch.columns, pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "lang_score"])
 
     return map_batches(df, scored, schema)
