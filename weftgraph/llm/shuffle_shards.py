@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,15 +43,27 @@ def external_shuffle(df: DataFrame, id_column: str = "doc_id", text_column: str
     in the bucket), ``shard`` and ``slot`` (gapless from 0 in each shard) are
     added. The result depends on the rows and ``seed`` only: repeated rows are
     interchangeable, null ids are scattered by their text, an empty table gives
-    an empty one. Columns of the input with these names are replaced.
+    an empty one. Only where repeats of one id and text are more than a
+    bucket holds does it depend on the input's partitions too, since such rows are
+    dealt by their place. Columns of the input with these names are replaced.
     """
     spark = df.sparkSession
-    df = df.drop("_size", "_crc", "_bucket", "_local", "shard", "slot")
+    df = df.drop("_size", "_crc", "_bucket", "_local", "shard", "slot", "_id", "_c", "_s", "_deals")
     text = F.coalesce(F.col(text_column), F.lit(""))
     sized = df.withColumn("_size", F.octet_length(text).cast("long") + 1).withColumn("_crc", F.crc32(text))
     total = sized.agg(F.sum("_size")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    scattered = sized.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(id_column), F.col("_crc"), F.col("_size")), F.lit(buckets)).cast("int")).repartitionById(buckets, "_bucket")
+    # Rows that repeat one id and text fall into one bucket; where they are more than it holds, each is dealt by its place in the input.
+    fill = max(1, bucket_bytes // 8)
+    repeats = sized.groupBy(F.col(id_column).alias("_id"), "_crc", "_size").agg(F.count("*").alias("_n")).where((F.col("_n") > 1) & (F.col("_n") * F.col("_size") > bucket_bytes))
+    hot = materialize(repeats.select("_id", F.col("_crc").alias("_c"), F.col("_size").alias("_s"), F.ceil(F.col("_n") * F.col("_size") / fill).cast("int").alias("_deals")), "hot-repeats")
+    salt = F.lit(0).cast("long")
+    if hot.limit(1).count():
+        same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("_c")) & (F.col("_size") == F.col("_s"))
+        sized = sized.join(hot, same, "left").drop("_id", "_c", "_s")
+        salt = F.coalesce(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_deals")), salt)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id_column), F.col("_crc"), F.col("_size"), salt), F.lit(buckets)).cast("int")
+    scattered = sized.withColumn("_bucket", bucket).drop("_deals").repartitionById(buckets, "_bucket")
     out = T.StructType([*scattered.schema.fields, T.StructField("_local", T.LongType())])
     keys = [(c, "ascending") for c in (id_column, "_crc", "_size")]
 
@@ -67,18 +79,19 @@ def external_shuffle(df: DataFrame, id_column: str = "doc_id", text_column: str
             yield from part.to_batches(max_chunksize=2048)
 
     written = materialize(map_batches(scattered, permute, out), "shuffled")
-    counts = written.groupBy("_bucket").agg(F.count("*").alias("n"))
-    starts = spark.createDataFrame(_running(counts.collect()), "_bucket int, _start long")  # one row for each memory-sized bucket
     place = F.col("_start") + F.col("_local")
+    starts = bucket_starts(written.groupBy("_bucket").agg(F.count("*").alias("n")))
     return written.join(starts, "_bucket").withColumn("shard", (place % shards).cast("int")).withColumn("slot", F.floor(place / shards)).drop("_start")
 
 
-def _running(counts: list) -> list[tuple[int, int]]:
-    start, out = 0, []
-    for row in sorted(counts, key=lambda r: r["_bucket"]):
-        out.append((row["_bucket"], start))
-        start += row["n"]
-    return out
+def bucket_starts(counts: DataFrame) -> DataFrame:
+    """``(_bucket, _start)``: the rows in all buckets before; running sums within thousands of buckets, then over the thousands."""
+    counts = materialize(counts.withColumn("_block", F.floor(F.col("_bucket") / 4096)), "bucket-counts")
+    blocks = counts.groupBy("_block").agg(F.sum("n").alias("_all"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_block", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_block").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_within", F.coalesce(F.sum("n").over(within), F.lit(0))).join(blocks, "_block").select("_bucket", (F.col("_before") + F.col("_within")).alias("_start"))
 
 
 def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
