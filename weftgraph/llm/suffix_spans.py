@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.lineage import materialize
-from .common import extended, map_batches, table, text_bytes
+from .common import extended, map_batches, table, text_bytes, unused
 
 LEAST = 200
 GRAM = 32
 INDEX_BYTES = 1 << 19
-MOST_CONTENTS = 16_384
+MOST_CONTENTS = 2048
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -286,13 +286,16 @@ def remove_repeats(docs: DataFrame, text_column: str = "text", least: int = LEAS
     """Add ``removed_spans`` (merged byte ranges [first, last)) and ``kept`` (the bytes that remain) to every row.
 
     A null text is empty; texts shorter than ``least`` bytes keep everything;
-    repeated rows repeat each other. Columns with these names are replaced.
+    repeated rows repeat each other; texts may have any length. Columns with
+    these names are replaced, all others stay.
     """
-    docs = docs.drop("removed_spans", "kept", "print", "spans")
+    docs = docs.drop("removed_spans", "kept")
     spans = materialize(repeated_spans(docs, text_column, least, most_contents), "spans")
     raw = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
-    joined = docs.withColumn("print", F.unhex(F.md5(raw))).join(spans, "print", "left").drop("print")
-    kept_fields = [f for f in joined.schema.fields if f.name != "spans"]
+    mark, own = unused("print", docs.columns), unused("spans", docs.columns)
+    spans = spans.select(F.col("print").alias(mark), F.col("spans").alias(own))
+    joined = docs.withColumn(mark, F.unhex(F.md5(raw))).join(spans, mark, "left").drop(mark)
+    kept_fields = [f for f in joined.schema.fields if f.name != own]
     schema = extended(T.StructType(kept_fields), removed_spans=_SPANS, kept=T.BinaryType())
     arrow_spans = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
@@ -301,7 +304,7 @@ def remove_repeats(docs: DataFrame, text_column: str = "text", least: int = LEAS
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
                 merged, left = [], []
-                for text, found in zip(text_bytes(batch[text_column]), batch["spans"].to_pylist()):
+                for text, found in zip(text_bytes(batch[text_column]), batch[own].to_pylist()):
                     out: list[dict] = []
                     for s in found or ():
                         if out and s["first"] <= out[-1]["last"]:
