@@ -53,6 +53,28 @@ def test_archives_are_warc_files(spark):
         list(warc.parse(b"WARC/1.1\r\nContent-Length: 50\r\n\r\nabc", False))
 
 
+def test_plain_archives_and_cut_off_ones(spark, tmp_path):
+    record = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:a>\r\nContent-Length: {n}\r\n\r\n{block}\r\n\r\n"
+    block = "HTTP/1.1 200 OK\r\n\r\n<p>one</p>\r\n\r\nWARC/1.1 in the text\r\n\r\n"
+    (tmp_path / "one.warc").write_bytes(record.format(n=len(block), block=block).encode() * 3)
+    (tmp_path / "two.warc.gz").write_bytes(gzip.compress(record.format(n=len(block), block=block).encode()) * 4)
+    found = warc.read_archives(spark, str(tmp_path), payloads=True).collect()
+    assert len(found) == 7 and {bytes(r["payload"]).decode() for r in found} == {block.partition("\r\n\r\n")[2]}
+    (tmp_path / "two.warc.gz").write_bytes(gzip.compress(record.format(n=999, block=block).encode()))
+    with pytest.raises(Exception, match="is cut off"):
+        warc.read_archives(spark, str(tmp_path)).collect()
+
+
+def test_long_pages_and_clashing_columns(spark):
+    long = "é" * 3_000_000
+    rows = spark.createDataFrame([(1, "u", long), (2, "u", long), (3, "u", "s")], PAGE).selectExpr("*", "1 AS record_id", "2 AS body", "3 AS `a.b`")
+    source, target = new_path(spark, "t-warc"), new_path(spark, "t-warc-out")
+    warc.write_archives(rows, source)
+    warc.deduplicate_archives(spark, source, target)
+    found = {r["page_id"]: (r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.resolved(warc.read_archives(spark, target)).collect()}
+    assert found == {1: (6_000_000, "revisit", 2), 2: (6_000_000, "response", None), 3: (1, "response", None)}
+
+
 def test_no_pages(spark):
     found, _, _ = archive(spark, [])
     assert found.count() == 0

@@ -2,8 +2,9 @@
 
 Archives are written by Spark's text sink, one record a row with the blank lines
 that end a WARC record as line separator, so any file system Spark knows will do
-and a lost executor's files are never committed. They are read back whole file
-by whole file and cut by Content-Length.
+and a lost executor's files are never committed. They are read back as a stream
+by the same separator and cut by Content-Length, so a reader holds one record at
+a time, whatever a file's size and however often a payload has such lines.
 
 Revisit resolution shuffles headers only, by payload digest: per digest the
 record with the largest id stays a response, the others become revisits of it.
@@ -80,26 +81,51 @@ def write_archives(pages: DataFrame, path: str, records_a_file: int = RECORDS_A_
     _write(rows.select(_record(F.lit("response"), F.sha1("body"), none, _http(F.col("body")), F.col("body"))), path, records_a_file)
 
 
+class Records:
+    """Cuts a stream of bytes into records: headers (lower-case names) and block."""
+
+    def __init__(self) -> None:
+        self.held = bytearray()
+        self.need = 0  # bytes that the next step waits for
+        self.headers: dict[str, str] | None = None
+
+    def feed(self, data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+        self.held += data
+        while len(self.held) >= self.need:
+            if self.headers is None:
+                at = self.held.find(b"WARC/")
+                end = self.held.find(b"\r\n\r\n", max(at, 0))
+                if at < 0 or end < 0:
+                    self.need = len(self.held) + 1
+                    return
+                lines = self.held[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+                self.headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+                del self.held[: end + 4]
+                self.need = int(self.headers["content-length"])
+            else:
+                headers, self.headers = self.headers, None
+                block = bytes(self.held[: self.need])
+                del self.held[: self.need]
+                self.need = 1
+                yield headers, block
+
+    def close(self) -> None:
+        if self.headers is not None or self.held.strip():
+            raise ValueError(f"record {(self.headers or {}).get('warc-record-id')} is cut off")
+
+
 def parse(content: bytes, packed: bool) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and block of each record of a file; gzip members follow one another."""
-    if packed:
-        parts = []
-        while content:
+    """Headers and block of each record of a file's bytes; gzip members follow one another."""
+    records = Records()
+    while content:
+        if packed:
             member = zlib.decompressobj(wbits=31)
-            parts.append(member.decompress(content))
+            yield from records.feed(member.decompress(content))
             content = member.unused_data
-        content = b"".join(parts)
-    at = 0
-    while (at := content.find(b"WARC/", at)) >= 0:
-        end = content.index(b"\r\n\r\n", at)
-        lines = content[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        first = end + 4
-        last = first + int(headers["content-length"])
-        if last > len(content):
-            raise ValueError(f"record {headers.get('warc-record-id')} is cut off")
-        yield headers, content[first:last]
-        at = last
+        else:
+            yield from records.feed(content)
+            content = b""
+    records.close()
 
 
 def _bare(value: str | None) -> str | None:
@@ -110,44 +136,64 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     """Every record of the archives below ``path``: HEADERS, and ``payload`` (binary) if asked for.
 
     ``payload_digest`` and ``payload_bytes`` are those of the payload found; a revisit has none of its own.
+    Files named ``*.gz`` are read as streams, files named ``*.warc`` whole, so those must be below 2 GB.
     """
     schema = HEADERS + (", payload binary" if payloads else "")
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [{"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]] for x in schema.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(records: Iterator[tuple[dict[str, str], bytes]]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
 
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        for files in batches:
-            for name, content in zip(files["path"], files["content"]):
-                for headers, block in parse(content.as_py(), name.as_py().endswith(".gz")):
-                    kind = headers["warc-type"]
-                    payload = block.partition(b"\r\n\r\n")[2]
-                    own = kind != "revisit"
-                    page = headers.get("x-page-id")
-                    row = (
-                        _bare(headers["warc-record-id"]),
-                        kind,
-                        int(page) if page else None,
-                        headers.get("warc-target-uri"),
-                        headers.get("warc-payload-digest", "").removeprefix("sha1:"),
-                        hashlib.sha1(payload).hexdigest() if own else None,
-                        len(payload) if own else None,
-                        _bare(headers.get("warc-refers-to")),
-                    )
-                    rows.append((*row, payload) if payloads else row)
-                    held += len(payload) if payloads else 300
-                    if held > BATCH_BYTES:
-                        yield batch()
-                        rows, held = [], 0
+        def row(headers: dict[str, str], block: bytes) -> tuple:
+            kind = headers["warc-type"]
+            payload = block.partition(b"\r\n\r\n")[2]
+            own = kind != "revisit"
+            page = headers.get("x-page-id")
+            found = (
+                _bare(headers["warc-record-id"]),
+                kind,
+                int(page) if page else None,
+                headers.get("warc-target-uri"),
+                headers.get("warc-payload-digest", "").removeprefix("sha1:"),
+                hashlib.sha1(payload).hexdigest() if own else None,
+                len(payload) if own else None,
+                _bare(headers.get("warc-refers-to")),
+            )
+            return (*found, payload) if payloads else found
+
+        for headers, block in records:
+            rows.append(row(headers, block))
+            held += len(block) if payloads else 300
+            if held > BATCH_BYTES:
+                yield batch()
+                rows, held = [], 0
         if rows:
             yield batch()
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return map_batches(files, run, schema)
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, str], bytes]]:
+        name, records = None, Records()
+        for pieces in batches:
+            for path, piece in zip(pieces["path"].to_pylist(), pieces["piece"]):
+                if path != name:
+                    records.close()
+                    name, records = path, Records()
+                yield from records.feed(piece.as_py() + b"\r\n\r\n")
+        records.close()
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, str], bytes]]:
+        for files in batches:
+            for content in files["content"]:
+                yield from parse(content.as_py(), False)
+
+    lines = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("piece"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc").load(path).select("content")
+    found = map_batches(lines, lambda it: run(streamed(it)), schema)
+    return found.unionByName(map_batches(files, lambda it: run(whole(it)), schema)) if files.inputFiles() else found
 
 
 def resolve_revisits(headers: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
