@@ -99,17 +99,38 @@ def brute_overlap(text, items):
     return len(own), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block", [4 << 20, 200])
-def test_overlaps(spark, make_docs, awkward, block):
+@pytest.mark.parametrize("bits", [decontaminate.FILTER_BITS, (4, 4)])
+def test_overlaps(spark, make_docs, awkward, monkeypatch, bits):
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
     items = [(1, words(10, 20)), (2, words(11, 5)), (3, ""), (4, None), (None, words(12, 9)), (5, words(13, 8)), (5, words(14, 12)), (30, "word")]
     texts = awkward + [words(20, 10) + " " + items[0][1].upper() + " " + words(21, 3), items[1][1] + "; " + items[5][1], " ".join(items[0][1].split()[3:12]), items[1][1] * 3]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    df = decontaminate.find_overlaps(make_docs(texts, extra=True), bench, block_bytes=block)
+    df = decontaminate.find_overlaps(make_docs(texts, extra=True), bench)
     for row in df.collect():
         n, hit, ids = brute_overlap(texts[row["doc_id"]], items)
         assert (row["n_words"], sum(s["last"] - s["first"] for s in row["hit_spans"]), list(row["item_ids"])) == (n, hit, ids)
 
 
+def test_overlaps_at_word_places(spark, make_docs):
+    item = words(15, 11).split()
+    long = words(16, 40_000).split()
+    texts = [" ".join(item[k : k + n]) for k in range(4) for n in (7, 8, 9)] + [" ".join(long[:k] + item[:8] + long[k:]) for k in (0, 1, 20_000, 40_000)] + [" ".join(item + item)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[2:10])), (3, item[0] + " " + item[1])], "item_id long, text string")
+    for row in decontaminate.find_overlaps(make_docs(texts), bench).collect():
+        n, hit, ids = brute_overlap(texts[row["doc_id"]], [tuple(r) for r in bench.collect()])
+        assert (row["n_words"], sum(s["last"] - s["first"] for s in row["hit_spans"]), list(row["item_ids"])) == (n, hit, ids)
+
+
+def test_clashing_overlap_columns(spark, make_docs):
+    bench = spark.createDataFrame([(1, "a b c d e f g h i")], "item_id long, text string")
+    rows = make_docs(["a b c d e f g h", "x"]).selectExpr("*", "1 AS n_words", "2 AS hit_spans", "3 AS item_ids", "4 AS file", "5 AS `at`", "6 AS `a.b`", "7 AS token")
+    found = decontaminate.find_overlaps(rows, bench)
+    assert found.columns == [c for c in rows.columns if c not in ("n_words", "hit_spans", "item_ids")] + ["n_words", "hit_spans", "item_ids"]
+    assert {(r["doc_id"], r["n_words"], r["file"], r["at"], r["a.b"], r["token"]) for r in found.collect()} == {(0, 8, 4, 5, 6, 7), (1, 1, 4, 5, 6, 7)}
+    left = decontaminate.without_overlaps(rows, bench)
+    assert left.columns == rows.columns and [r["doc_id"] for r in left.collect()] == [1]
+
+
 def test_overlaps_empty(spark, empty, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_overlaps(empty, none).count() == 0

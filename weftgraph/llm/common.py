@@ -6,9 +6,13 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.lineage import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,3 +62,22 @@ def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], It
                 _libc.malloc_trim(0)
 
     return df.mapInArrow(run, schema)
+
+
+def named_rows(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """``docs`` read from files, with the columns that name a row: the file's hash and the place in it."""
+    if not _is_files(docs):
+        docs = materialize(docs, "rows")
+    meta = docs.metadataColumn("_metadata")
+    return docs, F.xxhash64(meta.getField("file_path")), meta.getField("row_index")
+
+
+def _is_files(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a table of Parquet files as it was read; only then a file and a place in it name one row."""
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        return False
+    try:
+        docs.select(docs.metadataColumn("_metadata").getField("row_index")).schema
+    except AnalysisException:
+        return False
+    return True

@@ -24,13 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..plans.lineage import Scratch, materialize
-from .common import map_batches, text_bytes, unused
+from .common import map_batches, named_rows, text_bytes, unused
 from .simhash import HOT_KEY, SEED, Ring, _words, links_by_key, majority, remix, shingle_hashes
 
 SHINGLE = 5
@@ -192,25 +191,6 @@ def groups(rows: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
     return same.select("first.file", "first.at")
 
 
-def named_rows(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
-    """``docs`` read from files, with the columns that name a row: the file's hash and the place in it."""
-    if not _is_files(docs):
-        docs = materialize(docs, "stage-rows")
-    meta = docs.metadataColumn("_metadata")
-    return docs, F.xxhash64(meta.getField("file_path")), meta.getField("row_index")
-
-
-def _is_files(docs: DataFrame) -> bool:
-    """Whether ``docs`` is a table of Parquet files as it was read; only then a file and a place in it name one row."""
-    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
-        return False
-    try:
-        docs.select(docs.metadataColumn("_metadata").getField("row_index")).schema
-    except AnalysisException:
-        return False
-    return True
-
-
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group that with the smallest doc_id stays.
 
