@@ -358,11 +358,54 @@ def test_violations(spark):
 def test_upsert_stream(spark, tmp_path):
     from weftgraph.streaming.incremental import upsert_stream
 
-    for k, part in enumerate(([("a", "1"), ("b", "1")], [("a", "1"), ("b", "2"), ("c", "1")])):
-        spark.createDataFrame(part, "id string, hash string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema("id string, hash string").parquet(str(tmp_path / "in"))
+    kind = "id string, hash string, ord long"
+    parts = [[("a", "0", 1), ("a", "1", 2), ("b", "1", 3)], [("a", "1", 4), ("b", "2", 6), ("b", "9", 5), ("c", "1", 7)], [("b", "1", 8), ("a", "1", 9)]]
+    for part in parts:
+        spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
         upsert_stream(stream, str(tmp_path / "out"), "id", "hash", lambda df: df, str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
-    assert sorted((r["id"], r["hash"], r["batch"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", "1", 0), ("b", "1", 0), ("b", "2", 1), ("c", "1", 1)]
+    rows = spark.read.parquet(str(tmp_path / "out" / "rows")).collect()
+    assert sorted((r["id"], r["hash"], r["batch"]) for r in rows) == [("a", "1", 0), ("b", "1", 0), ("b", "1", 2), ("b", "2", 1), ("c", "1", 1)]
+    state = spark.read.parquet(str(tmp_path / "out" / "state" / "batch=2")).collect()
+    assert sorted((r["id"], r["hash"]) for r in state) == [("a", "1"), ("b", "1"), ("c", "1")]
+
+
+def test_translations_are_followed_to_the_end(spark):
+    kind = "url string, identifier string, translationLinkEn string, translationLinkDe string, ord long"
+    pages = spark.createDataFrame([(f"u{i}", f"i{i}", f"u{i + 1}", None, i) for i in range(24)], kind)
+    found = assemble.follow_translations(pages.where("url = 'u0'"), pages).collect()
+    assert len(found) == 24 and {r["translationLinkEnIdentifier"] for r in found} == {f"i{i}" for i in range(1, 24)} | {None}
+
+
+def test_seeds_add_rename_and_open_clusters(spark):
+    rows = vocab(spark, ("mechanics", "circle", ["Kreis", "ring"], None, 0), ("mechanics", "story", [], None, 1), ("mechanics", "other", ["Fang"], None, 2))
+    seeds = spark.createDataFrame([("mechanics", "geschichte", "Story"), ("mechanics", "fang", "tag game"), ("mechanics", "neu", "new"), ("mechanics", "frisch", "New"), ("mechanics", "kreis", "circle")], "kind string, term_lc string, canonical string")
+    found = {r["canonical"]: r["variants"] for r in vocabulary.apply_seeds(rows, seeds).collect()}
+    assert found == {"circle": ["Kreis", "ring"], "story": ["geschichte"], "tag game": ["tag game"], "New": ["frisch", "neu"]}
+
+
+def test_blocks_are_shown_to_the_matcher(spark):
+    import pandas as pd
+
+    rows = catalogue(spark, *(flat(f"e{i}", f"Name {i // 2}", "ab"[i % 2]) for i in range(10)), flat("e20", "Name 0", "c"))
+
+    def matcher(batches):
+        for pdf in batches:
+            out = [(x["id"], y["id"], 0.9) for a, b in zip(pdf["names_a"], pdf["names_b"]) for x in a for y in b if x["label"] == y["label"]]
+            yield pd.DataFrame(out, columns=["a", "b", "confidence"])
+
+    found = {(r["a"], r["b"]) for r in match.block_matches(rows, matcher, size=2).collect()}
+    assert found == {(f"e{i}", f"e{i + 1}") for i in range(0, 10, 2)} | {("e0", "e20"), ("e1", "e20")}
+
+
+def test_dedup_stage_runs_once_for_an_input(spark):
+    rows = catalogue(spark, flat("e1", "Story Circle", "a", mechanics=["m"]), flat("e2", "Story Circle", "b", mechanics=["m"]), flat("e4", "Kreis", "a", "de", link_en="e1"))
+    state = spark.createDataFrame([("other", "x")], "stage string, hash string")
+    done, state = match.dedup_stage(rows, state)
+    assert {r["id"]: [x["identifier"] for x in r["related"]] for r in done.collect()} == {"e1": ["e2", "e4"], "e2": ["e1"], "e4": ["e1"]}
+    again, same = match.dedup_stage(rows.orderBy(F.desc("ord")), state)
+    assert again is None and sorted(map(tuple, same.collect())) == sorted(map(tuple, state.collect()))
+    assert match.dedup_stage(rows.where("id <> 'e2'"), state)[0] is not None
 
 
 def test_materialised_paths(spark):

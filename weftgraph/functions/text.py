@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 #: ``\b`` between ASCII word characters only, whatever the engine's own notion of a word is.
 ASCII_EDGE = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+#: Endings that say what kind of element a name is.
 TYPE_SUFFIX = r"(?iu)-(?:exercise|game|variation|handle|übung|spiel|show|format)$"
 
 
@@ -184,6 +185,11 @@ def clean_markdown(markdown: Column) -> Column:
     return out
 
 
+def markdown_changed(markdown: Column) -> Column:
+    """Whether cleaning changes a text; blanks at its ends alone count as no change."""
+    return F.coalesce(clean_markdown(markdown) != F.trim(markdown), F.lit(False))
+
+
 def suitable_for(difficulty: Column, minutes: Column, energy: Column) -> Column:
     """What an element suits: the first rule that holds. Missing minutes count as 10, missing energy as medium."""
     minutes, energy = F.coalesce(minutes, F.lit(10)), F.coalesce(energy, F.lit("medium"))

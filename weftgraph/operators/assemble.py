@@ -117,18 +117,22 @@ def resolve_translations(rows: DataFrame) -> DataFrame:
     return out
 
 
-def follow_translations(rows: DataFrame, pages, max_rounds: int = 20) -> DataFrame:
-    """Append the pages that translation links name until none is new. ``pages``: a table like ``rows`` of all loadable pages."""
+def follow_translations(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    """Append the pages that translation links name until none is new. ``pages``: a table like ``rows`` of all loadable pages.
+
+    Each round adds at least one of the loadable pages, so there are at most as
+    many rounds as pages on the longest chain of links; a round reads only the
+    pages that the round before has added.
+    """
     from ..plans.lineage import materialize
 
-    held = rows
-    for _ in range(max_rounds):
-        wanted = held.select(F.explode(F.array("translationLinkEn", "translationLinkDe")).alias("url")).where("url IS NOT NULL").distinct().join(held.select("url"), "url", "left_anti")
-        fresh = materialize(pages.join(wanted, "url", "left_semi"), "followed")
-        if fresh.limit(1).count() == 0:
-            break
-        held = materialize(held.unionByName(fresh, allowMissingColumns=True), "held")
-    return resolve_translations(held)
+    held, last = rows, rows
+    while True:
+        wanted = last.select(F.explode(F.array("translationLinkEn", "translationLinkDe")).alias("url")).where("url IS NOT NULL").distinct().join(held.select("url"), "url", "left_anti")
+        last = materialize(pages.join(wanted, "url", "left_semi"), "followed")
+        if last.limit(1).count() == 0:
+            return resolve_translations(held)
+        held = materialize(held.unionByName(last, allowMissingColumns=True), "held")
 
 
 def merge_translation_fields(rows: DataFrame, fields: list[str]) -> DataFrame:

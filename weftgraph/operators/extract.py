@@ -30,46 +30,66 @@ def split_by_cache(raw: DataFrame, previous: DataFrame) -> tuple[DataFrame, Data
 # ---- responses ------------------------------------------------------------
 
 
-def repair_json(text: str) -> str:
-    """Close what a cut-off JSON text leaves open."""
-    text = text.strip().rstrip(".") if text.rstrip().endswith("...") else text.strip()
-    closers: list[str] = []
-    inside = escaped = False
-    for ch in text:
-        if escaped:
-            escaped = False
-        elif ch == "\\":
-            escaped = True
+def json_spans(text: str) -> Iterator[str]:
+    """What may be the JSON of a response, the likeliest first.
+
+    One pass notes where the text's outermost brackets open and close, outside of
+    strings. From that come: the inside of a code fence, the whole text, the
+    stretch from the first curly bracket to the last, that of square ones, and at
+    last the text closed where it breaks off.
+    """
+    opening, closing = {"{": "}", "[": "]"}, {"}": "{", "]": "["}
+    bare = text.strip()
+    fenced = bare.split("```")
+    if len(fenced) >= 3:
+        inside = fenced[1].strip()
+        yield inside.removeprefix("json").strip()
+    yield bare
+    for first, last in opening.items():
+        start, end = bare.find(first), bare.rfind(last)
+        if 0 <= start < end:
+            yield bare[start : end + 1]
+    cut = bare.rstrip(".") if bare.endswith("...") else bare
+    missing: list[str] = []
+    in_string = skip = False
+    for ch in cut:
+        if skip:
+            skip = False
+        elif in_string:
+            skip = ch == "\\"
+            in_string = ch != '"'
         elif ch == '"':
-            inside = not inside
-        elif not inside and ch in "{[":
-            closers.append("}" if ch == "{" else "]")
-        elif not inside and ch in "}]" and closers:
-            closers.pop()
-    return text + ('"' if inside else "") + "".join(reversed(closers))
+            in_string = True
+        elif ch in opening:
+            missing.append(opening[ch])
+        elif ch in closing and missing:
+            missing.pop()
+    yield cut + '"' * in_string + "".join(missing[::-1])
 
 
-@F.pandas_udf(T.StringType())
-def _repaired(texts: pd.Series) -> pd.Series:
-    def one(text: str | None) -> str | None:
-        if not text:
-            return None
+def first_json(text: str | None) -> str | None:
+    """The first of ``json_spans`` that parses."""
+    for span in json_spans(text or ""):
         try:
-            fixed = repair_json(text)
-            json.loads(fixed)
-            return fixed
+            json.loads(span)
+            return span
         except ValueError:
-            return None
+            continue
+    return None
+
 
-    return texts.map(one)
+@F.pandas_udf(T.StringType())
+def _first_json(texts: pd.Series) -> pd.Series:
+    return texts.map(first_json)
 
 
 def extract_json(text: Column) -> Column:
-    """The JSON of a response: a code fence, the whole, the first object, the first array, else repaired; null if none parses."""
-    whole = lambda c: F.when(F.try_parse_json(c).isNotNull(), c)
-    fence = F.nullif(F.trim(F.regexp_extract(text, r"(?s)```(?:json)?\s*\n?(.*?)\n?```", 1)), F.lit(""))
-    first = lambda p: F.nullif(F.regexp_extract(text, p, 0), F.lit(""))
-    return F.coalesce(whole(fence), whole(F.trim(text)), whole(first(r"(?s)\{.*\}")), whole(first(r"(?s)\[.*\]")), _repaired(text))
+    """The JSON of a response, as ``first_json`` finds it; null if none parses.
+
+    A text that is JSON as it stands never leaves the JVM.
+    """
+    bare = F.trim(text)
+    return F.when(F.try_parse_json(bare).isNotNull() & F.substring(bare, 1, 1).isin("{", "["), bare).otherwise(_first_json(text))
 
 
 def parse_responses(rows: DataFrame, response: str = "response") -> DataFrame:
@@ -177,3 +197,15 @@ def stub_extractor(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         text = pdf["htmlContent"].fillna("").map(lambda h: re.sub(r"\s+", " ", re.sub("<[^>]*>", " ", h)).strip())
         yield pd.DataFrame({"identifier": pdf["identifier"], "response": [json.dumps({"name": n, "summary": n, "description": t}) for n, t in zip(pdf["name"], text)]})
+
+
+def dropped_records(todo: DataFrame, extracted: DataFrame, reason: str = "no answer") -> DataFrame:
+    """Records that no answer came back for, or none that parses, with the reason."""
+    return todo.select("identifier", "name").join(extracted.select("identifier").distinct(), "identifier", "left_anti").withColumn("reason", F.lit(reason))
+
+
+def run_stage(raw: DataFrame, previous: DataFrame, extractor: Callable, model: str, now: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The extraction stage: (kept from before, built anew, dropped). ``raw`` carries contentHash and ord."""
+    kept, todo = split_by_cache(raw, previous)
+    parsed = coerce(parse_responses(run_extractor(todo, extractor)))
+    return kept, build_elements(todo, parsed, model, now), dropped_records(todo, parsed)

@@ -118,6 +118,14 @@ def element_detail(edges: DataFrame, nodes: DataFrame, element_id) -> DataFrame:
     return both.join(nodes.select(F.col("id").alias("other"), "label"), "other", "left").withColumn("label", F.coalesce("label", F.substring(F.col("other").cast("string"), 1, 8)))
 
 
+def element_view(elements: DataFrame, edges: DataFrame, nodes: DataFrame, element_id, most: int = 10) -> DataFrame:
+    """``(part, type, direction, other, label, score, ord)``: one element's edges, then the canonical elements most similar to it."""
+    detail = element_detail(edges, nodes, element_id).select(F.lit("edge").alias("part"), "type", "direction", "other", "label", F.lit(None).cast("double").alias("score"), "ord")
+    near = similar_elements(feature_pairs(edges), element_id, elements.where("canonical"), most)
+    none = F.lit(None).cast("string")
+    return detail.unionByName(near.select(F.lit("similar").alias("part"), none.alias("type"), none.alias("direction"), F.col("id").alias("other"), "label", "score", F.lit(None).cast("long").alias("ord")))
+
+
 def find_element(elements: DataFrame, text: str) -> DataFrame:
     """The element with this id, else the first whose label holds the text."""
     rank = F.when(F.col("id").cast("string") == text, 0).when(F.lower("label").contains(text.lower()), 1)
@@ -130,6 +138,12 @@ def one_hop(edges: DataFrame, nodes: DataFrame, node_id, most: int = 50) -> Data
     return nodes.join(near, "id", "left_semi").orderBy("label", "id").limit(most)
 
 
+def one_hop_edges(edges: DataFrame, nodes: DataFrame, node_id, most: int = 50) -> DataFrame:
+    """Display edges among a node and its neighbours, those between two neighbours included."""
+    shown = one_hop(edges, nodes, node_id, most).select("id").union(nodes.where(F.col("id") == node_id).select("id")).distinct()
+    return display_edges(edges, shown)
+
+
 def display_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges whose ends both exist, one for each (src, dst) whatever the type: the first."""
     ids = nodes.select("id")

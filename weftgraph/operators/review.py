@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import confidence_band
 from .components import connected_components
+from .query import element_detail
 
 SHOWN_TYPES = ("hasMechanic", "trainsSkill", "hasTag", "sourcedFrom", "translationOf", "canonicalOf")
 
@@ -37,6 +38,24 @@ def hubs(nodes: DataFrame, edges: DataFrame, samples: int = 5) -> DataFrame:
     return wanted.join(degree, "id").join(shown, "id", "left").orderBy(F.desc("degree"), "id")
 
 
+def show_element(edges: DataFrame, nodes: DataFrame, element_id) -> DataFrame:
+    """``(type, direction, n, others)``: one element's edges of the shown types, by type and direction, the ends' labels in order."""
+    rows = element_detail(edges, nodes, element_id).where(F.col("type").isin(*SHOWN_TYPES))
+    return rows.groupBy("type", "direction").agg(F.count("*").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))), lambda x: x["label"]).alias("others"))
+
+
+def report(rows: DataFrame, most: int = 30) -> DataFrame:
+    """The first rows of a sorted report; the limit is the report's feature."""
+    return rows.limit(most)
+
+
+def status(sources: DataFrame, files: DataFrame, meta: DataFrame) -> DataFrame:
+    """``(source, present, nodes, edges)``: which sources have a file, beside the graph's counters."""
+    have = files.select("source").distinct().withColumn("present", F.lit(True))
+    counters = meta.select(F.col("nodeCount").alias("nodes"), F.col("edgeCount").alias("edges"))
+    return sources.select("source").distinct().join(have, "source", "left").withColumn("present", F.coalesce("present", F.lit(False))).join(F.broadcast(counters))
+
+
 def random_canonicals(elements: DataFrame, n: int, seed: int = 1) -> DataFrame:
     """A sampling operator: n canonical elements, the same for the same seed."""
     return elements.where("canonical").orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(n)
