@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,38 +9,10 @@ from .functions import text as X
 from .operators import assemble, clusters, extract, graph, match, planner, query, review, search, vocabulary
 from .operators.components import connected_components
 from .plans import domain as D
+from .registry import ORACLE_SQL, QUERIES, plain, read, registered
 from .sources import html_pages
 from .streaming.incremental import changed_rows
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def registered(sql: str | None = None):
-    """Register a query under its function's name; ``sql`` continues a WITH that has the catalogue's views."""
-
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = f"WITH RECURSIVE {D.SQL}{sql}"
-        return f
-
-    return put
-
-
-def plain(sql: str):
-    def put(f):
-        QUERIES[f.__name__] = f
-        ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return put
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # ---- lookups --------------------------------------------------------------
 
 
@@ -137,34 +107,31 @@ def similar_topk(spark, sf):
     return found.withColumn("score", F.round("score", 9))
 
 
-@registered(
-    """, f AS (SELECT DISTINCT src, dst FROM edges WHERE type = 'hasMechanic'), n AS (SELECT src, count(*) AS n FROM f GROUP BY src)
-    SELECT a.src AS a, b.src AS b, count(*) AS common, round(count(*) / (any_value(na.n) + any_value(nb.n) - count(*))::DOUBLE, 9) AS score FROM f a JOIN f b ON a.dst = b.dst AND a.src < b.src JOIN n na ON na.src = a.src JOIN n nb ON nb.src = b.src
-    WHERE na.n >= 3 AND nb.n >= 3 GROUP BY a.src, b.src HAVING count(*) >= 0.8 * (any_value(na.n) + any_value(nb.n) - count(*))"""
-)
-def similar_pairs(spark, sf):
-    f = query.feature_pairs(D.edges(spark, sf), ("hasMechanic",))
-    large = f.groupBy("src").agg(F.count("*").alias("n")).where("n >= 3").select("src")
-    return query.similar_pairs(f.join(large, "src", "left_semi"), 0.8).withColumn("score", F.round("score", 9))
-
-
 def _feature_classes(spark, sf) -> DataFrame:
     """Equal sets of mechanics as one class ``(class, f, n)``, named by its smallest element, with its number of elements."""
     sets = query.feature_pairs(D.edges(spark, sf), ("hasMechanic",)).groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("f"))
     return sets.groupBy("f").agg(F.min("src").alias("class"), F.count("*").alias("n"))
 
 
-@registered()
-def similar_class_pairs(spark, sf):
-    """Similar elements, whatever their number of mechanics, as pairs of classes; a = b for the equal elements of one."""
+_CLASSES = """, f AS (SELECT DISTINCT src, dst FROM edges WHERE type = 'hasMechanic'), s AS (SELECT src, string_agg(dst, ',' ORDER BY dst) AS f FROM f GROUP BY src), k AS (SELECT f, min(src) AS class, count(*) AS n FROM s GROUP BY f)"""
+
+
+@registered(
+    _CLASSES
+    + """, kf AS (SELECT class, n, unnest(string_split(f, ',')) AS dst, len(string_split(f, ',')) AS size FROM k)
+    SELECT x.class AS a, y.class AS b, count(*) AS common, round(count(*) / (any_value(x.size) + any_value(y.size) - count(*))::DOUBLE, 9) AS score FROM kf x JOIN kf y ON x.dst = y.dst AND x.class < y.class
+    GROUP BY x.class, y.class HAVING count(*) >= 0.8 * (any_value(x.size) + any_value(y.size) - count(*)) UNION ALL SELECT class, class, len(string_split(f, ',')), 1.0 FROM k WHERE n > 1"""
+)
+def similar_pairs(spark, sf):
+    """Similar elements, whatever their number of mechanics, as pairs of classes of equal sets; a = b for the equal elements of one."""
     classes = _feature_classes(spark, sf)
     pairs = query.similar_pairs(classes.select(F.col("class").alias("src"), F.explode("f").alias("dst")), 0.8)
     equal = classes.where("n > 1").select(F.col("class").alias("a"), F.col("class").alias("b"), F.size("f").cast("long").alias("common"), F.lit(1.0).alias("score"))
     return pairs.unionByName(equal).withColumn("score", F.round("score", 9))
 
 
-@registered()
-def similar_class_members(spark, sf):
+@registered(_CLASSES + " SELECT src AS id, class FROM s JOIN k USING (f)")
+def similar_members(spark, sf):
     sets = query.feature_pairs(D.edges(spark, sf), ("hasMechanic",)).groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("f"))
     return sets.join(_feature_classes(spark, sf), "f").select(F.col("src").alias("id"), "class")
 
@@ -186,62 +153,38 @@ t AS (SELECT DISTINCT id, source, unnest(string_split(lower(label), ' ')) AS w F
 pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM t a JOIN t b ON a.w = b.w AND a.source < b.source)"""
 
 
-def _distinct_names(spark, sf) -> DataFrame:
-    """One element for each label and source, the first: equal names need not be compared again."""
+def _name_classes(spark, sf) -> DataFrame:
+    """One element for each label and source, the first: which names share a word depends on nothing else."""
     return graph.first_of_each(D.elements(spark, sf), ["label", "source"])
 
 
 @registered(_NAMES + " SELECT a, b FROM pairs")
 def name_block_pairs(spark, sf):
-    return match.candidate_pairs(_distinct_names(spark, sf))
+    """Pairs of classes of equal names of one source; name_block_members has the elements of each."""
+    return match.candidate_pairs(_name_classes(spark, sf))
 
 
-@registered(
-    _NAMES
-    + """, ms AS (SELECT src AS id, list(dst ORDER BY dst) AS mechanics FROM edges WHERE type = 'hasMechanic' GROUP BY src),
-    r AS (SELECT d.id, lower(d.label) AS n, coalesce(mechanics, []) AS m FROM d LEFT JOIN ms USING (id)),
-    j AS (SELECT a, b, x.n AS na, y.n AS nb, len(list_intersect(x.m, y.m)) AS shared, CASE WHEN len(x.m) + len(y.m) = 0 THEN 0 ELSE len(list_intersect(x.m, y.m)) / len(list_distinct(list_concat(x.m, y.m)))::DOUBLE END AS mech,
-      1 - levenshtein(x.n, y.n) / greatest(length(x.n), length(y.n))::DOUBLE AS lev FROM pairs JOIN r x ON x.id = a JOIN r y ON y.id = b),
-    k AS (SELECT *, CASE WHEN length(na) < 30 AND length(nb) < 30 THEN lev ELSE 0 END AS near, length(na) > 3 AND length(nb) > 3 AND (contains(na, nb) OR contains(nb, na)) AND contains(CASE WHEN length(na) <= length(nb) THEN na ELSE nb END, ' ') AS inside, 0.4 * mech + 0.3 * least(1, 1.5 * lev) AS blend FROM j),
-    s AS (SELECT a, b, CASE WHEN na = nb THEN 0.95 WHEN inside AND mech >= 0.3 THEN 0.85 WHEN inside AND shared >= 1 THEN 0.8 WHEN inside THEN 0.7 WHEN shared >= 2 AND mech >= 0.4 AND near >= 0.75 THEN 0.9 WHEN shared >= 2 AND mech >= 0.33 AND near >= 0.75 THEN 0.8
-      WHEN shared >= 1 AND near >= 0.75 AND mech >= 0.3 THEN 0.75 WHEN near >= 0.8 AND mech >= 0.3 THEN 0.75 WHEN near >= 0.8 THEN 0.65 WHEN blend >= 0.6 THEN least(0.85, blend) ELSE 0 END AS confidence FROM k)
-    SELECT a, b, round(confidence::DOUBLE, 6) AS confidence FROM s WHERE confidence >= 0.65"""
-)
-def match_score(spark, sf):
-    rows = D.labelled(spark, sf).join(_distinct_names(spark, sf).select("id"), "id", "left_semi")
-    return match.deterministic_matches(rows).select("a", "b", F.round("confidence", 6).alias("confidence"))
-
-
-@registered()
+@registered(_NAMES + " SELECT e.id, d.id AS class FROM elements e JOIN d USING (label, source)")
 def name_block_members(spark, sf):
-    """The element that stands for each element in name_block_pairs."""
-    rows = D.elements(spark, sf).select("id", "label", "source")
-    return _members(rows, _distinct_names(spark, sf).select("id", "label", "source"))
-
+    classes = _name_classes(spark, sf).select(F.col("id").alias("class"), "label", "source")
+    return D.elements(spark, sf).select("id", "label", "source").join(classes, ["label", "source"]).select("id", "class")
 
-def _match_classes(spark, sf) -> DataFrame:
-    """One element for each label, source, mechanics and skills, which is all that a match depends on."""
-    return graph.first_of_each(D.labelled(spark, sf), ["label", "source", "mechanics", "skills"])
 
-
-def _members(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(id, class)``: the row of ``classes`` with the same values; both have id and the same other columns."""
-    keys = [c for c in rows.columns if c != "id"]
-    named = classes.select(F.col("id").alias("class"), *(F.col(c).alias(f"_{c}") for c in keys))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    return rows.join(named, same).select("id", "class")
-
-
-@registered()
-def match_class_pairs(spark, sf):
-    """Matches of all elements as pairs of classes; match_class_members names the elements of each."""
-    return match.deterministic_matches(_match_classes(spark, sf)).select("a", "b", F.round("confidence", 6).alias("confidence"))
+_LADDER = """, ms AS (SELECT src AS id, list(dst ORDER BY dst) AS mechanics FROM edges WHERE type = 'hasMechanic' GROUP BY src),
+    e AS (SELECT id, label, source, lower(label) AS n, coalesce(mechanics, []) AS m FROM elements LEFT JOIN ms USING (id)),
+    w AS (SELECT DISTINCT label, unnest(string_split(lower(label), ' ')) AS w FROM elements),
+    near_labels AS (SELECT DISTINCT a.label AS la, b.label AS lb FROM w a JOIN w b USING (w)),
+    j AS (SELECT x.id AS a, y.id AS b, x.n AS na, y.n AS nb, len(list_intersect(x.m, y.m)) AS shared, CASE WHEN len(x.m) + len(y.m) = 0 THEN 0 ELSE len(list_intersect(x.m, y.m)) / len(list_distinct(list_concat(x.m, y.m)))::DOUBLE END AS mech,
+      1 - levenshtein(x.n, y.n) / greatest(length(x.n), length(y.n))::DOUBLE AS lev FROM near_labels JOIN e x ON x.label = la JOIN e y ON y.label = lb WHERE x.source < y.source),
+    k AS (SELECT *, CASE WHEN length(na) < 30 AND length(nb) < 30 THEN lev ELSE 0 END AS near, length(na) > 3 AND length(nb) > 3 AND (contains(na, nb) OR contains(nb, na)) AND contains(CASE WHEN length(na) <= length(nb) THEN na ELSE nb END, ' ') AS inside, 0.4 * mech + 0.3 * least(1, 1.5 * lev) AS blend FROM j),
+    s AS (SELECT a, b, na, nb, CASE WHEN na = nb THEN 0.95 WHEN inside AND mech >= 0.3 THEN 0.85 WHEN inside AND shared >= 1 THEN 0.8 WHEN inside THEN 0.7 WHEN shared >= 2 AND mech >= 0.4 AND near >= 0.75 THEN 0.9 WHEN shared >= 2 AND mech >= 0.33 AND near >= 0.75 THEN 0.8
+      WHEN shared >= 1 AND near >= 0.75 AND mech >= 0.3 THEN 0.75 WHEN near >= 0.8 AND mech >= 0.3 THEN 0.75 WHEN near >= 0.8 THEN 0.65 WHEN blend >= 0.6 THEN least(0.85, blend) ELSE 0 END AS confidence FROM k)"""
 
 
-@registered()
-def match_class_members(spark, sf):
-    columns = ["id", "label", "source", "mechanics", "skills"]
-    return _members(D.labelled(spark, sf).select(*columns), _match_classes(spark, sf).select(*columns))
+@registered(_LADDER + " SELECT a, b, round(confidence::DOUBLE, 6) AS confidence FROM s WHERE confidence >= 0.65")
+def match_score(spark, sf):
+    """Matches of all elements."""
+    return match.deterministic_matches(D.labelled(spark, sf)).select("a", "b", F.round("confidence", 6).alias("confidence"))
 
 
 @registered(
@@ -308,7 +251,7 @@ def canonical_merge(spark, sf):
     + """, inside AS (SELECT a.id, floor(avg(l.confidence) * 100 + 0.5) / 100 AS confidence FROM kept a JOIN links l ON l.src = a.id JOIN kept b ON b.id = l.dst AND b.component = a.component GROUP BY a.id)
     SELECT k.component, count(*) AS members, round(min(coalesce(confidence, 0)), 6) AS least, round(max(coalesce(confidence, 0)), 6) AS most FROM kept k LEFT JOIN inside USING (id) GROUP BY k.component"""
 )
-def cluster_review(spark, sf):
+def member_confidence(spark, sf):
     rows, links, kept = _kept(spark, sf)
     edges = clusters.canonical_edges(rows, kept, links, clusters.merge_canonicals(_flat(rows), kept))
     of = edges.join(kept.withColumnRenamed("id", "src"), "src")
@@ -512,16 +455,19 @@ def truncate_text(spark, sf):
     return read(spark, sf, "documents").select("doc_id", F.length(F.substring("text", 1, assemble.MARKDOWN_LENGTH)).cast("long").alias("n"), X.truncate(F.col("text"), 80).alias("short"))
 
 
-@plain(r"SELECT doc_id, replace('Hello World' || chr(10) || text, '[a](b)', '') AS md FROM (SELECT doc_id, regexp_replace(text, '\[(.*?)\]\(.*?\)', '\1', 'g') AS text FROM documents WHERE NOT regexp_matches(text, '[#]') AND text = trim(text, ' '))")
-def markdown_clean(spark, sf):
-    d = read(spark, sf, "documents").where(~F.col("text").contains("#") & (F.col("text") == F.trim("text")))
-    return d.select("doc_id", X.clean_markdown(F.concat(F.lit("Hello <!-- a\nb -->World\n"), "text")).alias("md"))
+def clean_sql(column: str) -> str:
+    """The passes of ``clean_markdown`` in SQL."""
+    out = f"trim({column}, ' ')"
+    for pattern, put in X.MARKDOWN_PASSES:
+        put = "chr(10)" if put == "\n" else "'" + put.replace("$1", r"\1") + "'"
+        out = f"regexp_replace({out}, '{pattern}', {put}, 'g')"
+    return out
 
 
-@registered()
-def markdown_clean_all(spark, sf):
-    """Every document, null texts too; the heading rules are beyond DuckDB's patterns, so there is no SQL."""
-    return read(spark, sf, "documents").select("doc_id", X.clean_markdown(F.col("text")).alias("md"))
+@plain(f"SELECT doc_id, {clean_sql('text')} AS md, coalesce({clean_sql('text')} <> trim(text, ' '), false) AS changed FROM documents")
+def markdown_clean(spark, sf):
+    """Every document, null texts too, and whether cleaning changed it."""
+    return read(spark, sf, "documents").select("doc_id", X.clean_markdown(F.col("text")).alias("md"), X.markdown_changed(F.col("text")).alias("changed"))
 
 
 @plain("SELECT source, lang AS languageCode, count(*) AS n, count(*) FILTER (n_chars > 500) AS long FROM documents GROUP BY source, lang")
@@ -554,11 +500,13 @@ def json_props(spark, sf):
     return read(spark, sf, "events").select("event_id", k.alias("k"), k.isNull().alias("missing"))
 
 
-@plain("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '{\"name\":\"a\"}' WHEN doc_id % 3 = 1 THEN '{\"name\":\"b\"}' ELSE '{\"name\":\"c\"}' END AS json FROM documents")
+@plain("SELECT event_id, props AS json FROM events")
 def extract_json(spark, sf):
-    k = F.col("doc_id") % 3
-    said = F.when(k == 0, F.lit('Here:\n```json\n{"name":"a"}\n```\nDone')).when(k == 1, F.lit('Sure. {"name":"b"} ok?')).otherwise(F.lit('{"name":"c"...'))
-    return read(spark, sf, "documents").select("doc_id", extract.extract_json(said).alias("json"))
+    """The JSON of every event from answers that fence it, wrap it in words, break off, or are it."""
+    props, k = F.col("props"), F.col("event_id") % 4
+    cut = F.concat(F.substring(props, F.lit(1), F.length(props) - 1), F.lit("..."))
+    said = F.when(k == 0, F.concat(F.lit("Here:\n```json\n"), props, F.lit("\n```\nDone"))).when(k == 1, F.concat(F.lit("Sure. "), props, F.lit(" ok?"))).when(k == 2, cut).otherwise(props)
+    return read(spark, sf, "events").select("event_id", extract.extract_json(said).alias("json"))
 
 
 @plain("SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS roles, count(*) AS steps FROM conversations GROUP BY conv_id")
