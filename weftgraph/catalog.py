@@ -487,13 +487,6 @@ def listing_links(spark, sf):
     return html_pages.listing_links(read(spark, sf, "pages"), layout).groupBy("listing").agg(F.count("*").alias("n"))
 
 
-@registered()
-def html_extract(spark, sf):
-    layout = html_pages.Layout("pages", "h1", "article", "nav ul li a", categories="nav ul li a")
-    found = html_pages.extract_pages(read(spark, sf, "pages"), layout, ("scraped",))
-    return html_pages.add_markdown(found).select("identifier", "url", "name", F.size("categories").alias("n_categories"), F.length("markdown").alias("n_markdown"))
-
-
 @plain("SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k, CAST(props->>'$.k' AS INTEGER) IS NULL AS missing FROM events")
 def json_props(spark, sf):
     k = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
@@ -528,3 +521,6 @@ def freshness(spark, sf):
     existing = p.where("page_id % 4 <> 0").select("url", F.lit("2024-05-01").alias("fetchedAt"))
     sitemap = p.where("page_id % 4 <> 2").select(F.col("url").alias("loc"), F.when(F.col("page_id") % 4 == 1, "2024-06-01").otherwise("2024-01-01").alias("lastmod"))
     return assemble.needs_fetch(p, existing, sitemap)
+
+
+from . import catalog_files, catalog_graph, catalog_text  # noqa: E402,F401

@@ -142,7 +142,7 @@ def language_of_url(url: Column) -> Column:
 
 
 def split_tags(value: Column) -> Column:
-    return F.filter(F.transform(F.split(value, ","), F.trim), lambda t: F.length(t) > 0)
+    return F.filter(F.transform(F.split(value, ","), lambda t: F.trim(t)), lambda t: F.length(t) > 0)
 
 
 def player_range(value: Column) -> Column:

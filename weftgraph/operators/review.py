@@ -58,7 +58,7 @@ def status(sources: DataFrame, files: DataFrame, meta: DataFrame) -> DataFrame:
 
 def random_canonicals(elements: DataFrame, n: int, seed: int = 1) -> DataFrame:
     """A sampling operator: n canonical elements, the same for the same seed."""
-    return elements.where("canonical").orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(n)
+    return elements.where("canonical").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "id")), "id").limit(n)
 
 
 def add_override(overrides: DataFrame, new: DataFrame) -> DataFrame:

@@ -84,3 +84,40 @@ links AS (SELECT id AS src, dst, 0.5::DOUBLE + (ord % 50) / 100::DOUBLE AS confi
 reach AS (SELECT src AS id, src AS other FROM links UNION SELECT dst, dst FROM links UNION SELECT reach.id, CASE WHEN l.src = reach.other THEN l.dst ELSE l.src END FROM reach JOIN links l ON l.src = reach.other OR l.dst = reach.other),
 comps AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
 """
+
+
+#: The rule terms that two mechanics stand for, so that requirements follow from them.
+NAMED_MECHANICS = {"m1": "Audience Voting", "m2": "human props"}
+
+
+def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements as the flat rows of the graph's derivation, matched along ``chain_links``."""
+    related = chain_links(spark, sf_dir).groupBy(F.col("src").alias("id")).agg(F.array_sort(F.collect_list(F.struct(F.col("dst").alias("identifier"), "confidence"))).alias("related"))
+    none, nothing = F.lit(None).cast("int"), F.array().cast("array<string>")
+    return labelled(spark, sf_dir).join(related, "id", "left").select(
+        "id", "label", "source", F.concat(F.lit("http://x/"), "id").alias("url"), "lang", F.concat("summary", F.lit(", described")).alias("description"), "summary",
+        F.array().cast("array<struct<action:string,role:string,constraint:string>>").alias("steps"), "mechanics", nothing.alias("skills"), "tags", "difficulty", "minutes", "energy",
+        none.alias("gmin"), none.alias("gmax"), "pmin", "pmax", F.lit(None).cast("string").alias("link_en"), F.lit(None).cast("string").alias("link_de"), F.md5("label").alias("content_hash"),
+        F.array().cast("array<struct<name:string,description:string,parentIdentifier:string>>").alias("derivedElements"), "related", "ord",
+    )
+
+
+def vocabulary(spark: SparkSession) -> DataFrame:
+    rows = [("mechanics", canonical, [term], None, k) for k, (term, canonical) in enumerate(NAMED_MECHANICS.items())]
+    return spark.createDataFrame(rows, "kind string, canonical string, variants array<string>, parent string, ord long")
+
+
+def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements in the nested form that extraction writes."""
+    from .. import schema
+
+    e = flat(spark, sf_dir)
+    terms = lambda c: F.transform(c, lambda t: F.struct(t.alias("name"), F.lit(None).cast("string").alias("originalName"), F.lit(None).cast("string").alias("category")))
+    practical = F.struct(F.col("difficulty"), F.col("minutes").alias("typicalDurationMinutes"), F.col("energy").alias("energyLevel"))
+    body = F.to_json(F.struct("summary", "description", terms("mechanics").alias("mechanics"), terms("skills").alias("skills"), practical.alias("practical"), F.col("content_hash").alias("contentHash")))
+    kind = schema.ELEMENT["normalized"].dataType
+    by_name = {
+        "identifier": F.md5("id"), "name": F.col("label"), "url": F.col("url"), "sourceName": F.col("source"), "languageCode": F.col("lang"), "tags": F.col("tags"), "playerCountMin": F.col("pmin"), "playerCountMax": F.col("pmax"),
+        "normalized": F.from_json(body, kind), "ord": F.col("ord"), "derivedElements": F.col("derivedElements"),
+    }
+    return e.select(*(by_name.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.ELEMENT.fields))

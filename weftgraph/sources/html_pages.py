@@ -281,7 +281,7 @@ def to_markdown(html: str | None) -> str:
             return f"\n\n```\n{item.text().strip(chr(10))}\n```\n\n"
         return "" if tag in ("script", "style") else inner
 
-    return re.sub(r"\n{3,}", "\n\n", render(parse_html(html))).strip()
+    return re.sub(r"\n(?:[ \t]*\n){2,}|\n[ \t]+\n", "\n\n", render(parse_html(html))).strip()
 
 
 def add_markdown(df: DataFrame, html: str = "htmlContent", column: str = "markdown") -> DataFrame:

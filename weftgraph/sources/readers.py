@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 
 from .. import schema
 
@@ -24,13 +25,20 @@ def _elements(spark: SparkSession, path: str, kind: T.StructType) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, missing_ok: bool = True) -> DataFrame:
-    """Raw elements; a missing file is empty, or an error if ``missing_ok`` is off. Open ``card_*`` keys go to ``card``."""
+    """Raw elements; a missing file is empty, or an error if ``missing_ok`` is off. Open ``card_*`` keys go to ``card``.
+
+    A file named ``*.json`` is one ``{meta, elements}`` text, as scrapers write it
+    for a site; anything else is JSON lines, a record each, which are split over tasks.
+    """
     if not path_exists(spark, path):
         if missing_ok:
             return spark.createDataFrame([], T.StructType([*schema.RAW.fields, T.StructField("ord", T.LongType())]))
         raise FileNotFoundError(path)
-    text = spark.read.text(path, wholetext=True)
-    parsed = text.select(F.posexplode(F.from_json(F.get_json_object("value", "$.elements"), "array<string>")).alias("ord", "j"))
+    if path.endswith(".json"):
+        text = spark.read.text(path, wholetext=True)
+        parsed = text.select(F.posexplode(F.from_json(F.get_json_object("value", "$.elements"), "array<string>")).alias("ord", "j"))
+    else:
+        parsed = spark.read.text(path).select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("j"))
     keys = F.map_filter(F.from_json("j", "map<string,string>"), lambda k, _: k.startswith("card_"))
     known = T.StructType([f for f in schema.RAW.fields if f.name != "card"])
     return parsed.select(F.from_json("j", known).alias("e"), keys.alias("card"), "ord").select("e.*", "card", F.col("ord").cast("long").alias("ord"))
@@ -43,16 +51,26 @@ def read_raw_by_url(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_normalized(spark: SparkSession, path: str) -> DataFrame:
-    return _elements(spark, path, schema.ELEMENT)
+    """Normalised elements of a ``{meta, elements}`` file (``*.json``) or of a written Parquet folder."""
+    return _elements(spark, path, schema.ELEMENT) if path.endswith(".json") else spark.read.schema(schema.ELEMENT).parquet(path)
 
 
 def read_previous_normalized(spark: SparkSession, path: str) -> DataFrame:
-    """Earlier output by identifier; missing or corrupt counts as empty."""
+    """Earlier output by identifier, the first of each; missing or corrupt counts as empty.
+
+    Corrupt is a file that Spark cannot read or a JSON text that does not parse;
+    the check reads the input once, since a later failure would be too late.
+    """
+    empty = spark.createDataFrame([], schema.ELEMENT)
+    if not path_exists(spark, path):
+        return empty
     try:
-        rows = read_normalized(spark, path)
-        return rows.where("identifier IS NOT NULL").dropDuplicates(["identifier"])
-    except AnalysisException:
-        return spark.createDataFrame([], schema.ELEMENT)
+        rows = read_normalized(spark, path).where("identifier IS NOT NULL")
+        first = rows.groupBy("identifier").agg(F.min_by(F.struct(*(c for c in rows.columns if c != "identifier")), "ord").alias("e")).select("identifier", "e.*").select(rows.columns)
+        first.agg(F.count("*")).collect()
+        return first
+    except (AnalysisException, SparkRuntimeException, Py4JJavaError):
+        return empty
 
 
 def read_all_normalized(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -70,7 +88,7 @@ def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_overrides(spark: SparkSession, path: str) -> DataFrame:
-    """Overrides in file order; missing, or of another version than 1: none."""
+    """Overrides in file order; missing, or of another version than 1: none. A list that people keep by hand, so one JSON text."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema.OVERRIDE)
     fields = [f for f in schema.OVERRIDE.fields if f.name != "ord"]
@@ -88,13 +106,21 @@ def read_thesaurus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    """``(kind, canonical, variants, parent, ord)``."""
+    """``(kind, canonical, variants, parent, ord)`` of a ``{mechanics, skills}`` file (``*.json``) or of JSON lines, a cluster each."""
+    if not path.endswith(".json"):
+        return spark.read.schema("kind STRING, canonical STRING, variants ARRAY<STRING>, parent STRING, ord BIGINT").json(path)
     cluster = "ARRAY<STRUCT<canonical STRING, variants ARRAY<STRING>, parent STRING>>"
     rows = spark.read.schema(f"mechanics {cluster}, skills {cluster}").option("multiLine", True).json(path)
     parts = [rows.select(F.lit(k).alias("kind"), F.posexplode(k).alias("ord", "c")).select("kind", "c.*", F.col("ord").cast("long").alias("ord")) for k in ("mechanics", "skills")]
     return parts[0].unionByName(parts[1])
 
 
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """``(stage, hash)`` of the last runs; none where nothing is written yet."""
+    kind = "stage STRING, hash STRING"
+    return spark.read.schema(kind).json(path) if path_exists(spark, path) else spark.createDataFrame([], kind)
+
+
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """The assembled corpus; raises if a row breaks a constraint."""
     corpus = spark.read.parquet(path)
@@ -107,11 +133,18 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 def parse_sitemaps(pages: DataFrame, xml: str = "xml", ord_column: str = "ord") -> DataFrame:
     """``(loc, lastmod)`` of sitemap texts: of ``urlset`` or ``sitemapindex``; blank locations drop.
 
-    Within a text the last duplicate wins, between texts the first.
+    Within a text the last duplicate wins, between texts the first. The five
+    named character references of XML are decoded.
     """
 
     item = r"(?s)<(?:url|sitemap)>(.*?)</(?:url|sitemap)>"
-    tag = lambda name: F.trim(F.regexp_extract("item", rf"(?s)<{name}>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{name}>", 1))
+
+    def tag(name: str):
+        raw = F.regexp_extract("item", rf"(?s)<{name}>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{name}>", 1)
+        for named, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+            raw = F.replace(raw, F.lit(named), F.lit(plain))
+        return F.trim(raw)
+
     items = pages.select(ord_column, F.posexplode(F.regexp_extract_all(xml, F.lit(item), F.lit(1))).alias("i", "item"))
     found = items.select(ord_column, "i", tag("loc").alias("loc"), F.nullif(tag("lastmod"), F.lit("")).alias("lastmod")).where("loc <> ''")
     inside = found.groupBy(ord_column, "loc").agg(F.max_by(F.struct("lastmod"), "i").alias("s"))

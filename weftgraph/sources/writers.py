@@ -19,7 +19,8 @@ def write_raw(raw: DataFrame, path: str, html_path: str | None = None) -> None:
 
 
 def write_normalized(elements: DataFrame, path: str) -> None:
-    elements.write.mode("overwrite").partitionBy("sourceName").parquet(path)
+    """All normalised elements in one commit; a run that stops leaves what was there before."""
+    elements.write.mode("overwrite").parquet(path)
 
 
 def write_errors(errors: DataFrame, path: str) -> None:
@@ -27,7 +28,8 @@ def write_errors(errors: DataFrame, path: str) -> None:
 
 
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:
-    vocabulary.orderBy("kind", "ord").coalesce(1).write.mode("overwrite").json(path)
+    """Clusters as JSON lines, sorted over all files by kind and order."""
+    vocabulary.select("kind", "canonical", "variants", "parent", "ord").orderBy("kind", "ord").write.mode("overwrite").json(path)
 
 
 def write_graph(nodes: DataFrame, edges: DataFrame, meta: DataFrame, folder: str) -> DataFrame:
@@ -41,7 +43,10 @@ def write_graph(nodes: DataFrame, edges: DataFrame, meta: DataFrame, folder: str
 
 
 def write_overrides(overrides: DataFrame, path: str) -> None:
-    overrides.orderBy("ord").coalesce(1).write.mode("overwrite").json(path)
+    """The list of overrides, which people keep by hand, as one ``{version, overrides}`` text."""
+    each = F.struct("ord", F.to_json(F.struct(*(c for c in overrides.columns if c != "ord"))).alias("o"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(each)), lambda x: x["o"]), ",\n")
+    overrides.agg(F.concat(F.lit('{"version":1,"overrides":['), listed, F.lit("]}")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_state(state: DataFrame, path: str) -> None:
