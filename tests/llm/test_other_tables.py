@@ -23,7 +23,10 @@ def archive(spark, rows, **options):
     return warc.resolved(warc.read_archives(spark, target)), source, target
 
 
-def test_revisits(spark):
+@pytest.mark.parametrize("whole", [warc.WHOLE_FILE, 0, 400])
+def test_revisits(spark, monkeypatch, whole):
+    monkeypatch.setattr(warc, "WHOLE_FILE", whole)
+    monkeypatch.setattr(warc, "INFLATED", 1 << 20 if whole else 50)
     big, tricky = words(1, 400), "WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n" * 40
     rows = [(1, "http://a", big), (2, "http://b", big), (3, None, "short"), (4, "http://d\r\nX: 1", "short"), (5, "u", None), (6, "u", ""), (7, "v", tricky), (8, "w", tricky), (None, "n", big), (2, "http://b", big), (9, "é", "é" * 600)]
     found, source, _ = archive(spark, rows, records_a_file=3)

@@ -2,9 +2,11 @@
 
 Archives are written by Spark's text sink, one record a row with the blank lines
 that end a WARC record as line separator, so any file system Spark knows will do
-and a lost executor's files are never committed. They are read back as a stream
-by the same separator and cut by Content-Length, so a reader holds one record at
-a time, whatever a file's size and however often a payload has such lines.
+and a lost executor's files are never committed. They are read back and cut by
+Content-Length: files of at most 32 MB as one value each, inflated piece by
+piece, larger ones as a stream of lines by the same separator. Either way a
+reader holds one record beside that, however well a file is compressed and
+however often a payload has such lines.
 
 Revisit resolution shuffles headers only, by payload digest: per digest the
 record with the largest id stays a response, the others become revisits of it.
@@ -31,6 +33,8 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 BATCH_BYTES = 4 << 20
+#: Archives up to this size are read whole; pieces of this size are inflated at a time.
+WHOLE_FILE, INFLATED = 32 << 20, 1 << 20
 
 HEADERS = "record_id string, record_type string, page_id long, url string, declared_digest string, payload_digest string, payload_bytes long, refers_to_record string"
 
@@ -114,17 +118,24 @@ class Records:
             raise ValueError(f"record {(self.headers or {}).get('warc-record-id')} is cut off")
 
 
+def inflated(content: bytes) -> Iterator[bytes]:
+    """A gzip file's bytes in pieces of bounded size; members follow one another."""
+    while content:
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof:
+            yield member.decompress(content, INFLATED)
+            content = member.unconsumed_tail
+            if not content and not member.eof:
+                yield member.flush()
+                break
+        content = member.unused_data
+
+
 def parse(content: bytes, packed: bool) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of a file's bytes; gzip members follow one another."""
+    """Headers and block of each record of a file's bytes."""
     records = Records()
-    while content:
-        if packed:
-            member = zlib.decompressobj(wbits=31)
-            yield from records.feed(member.decompress(content))
-            content = member.unused_data
-        else:
-            yield from records.feed(content)
-            content = b""
+    for piece in inflated(content) if packed else (content,):
+        yield from records.feed(piece)
     records.close()
 
 
@@ -136,7 +147,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     """Every record of the archives below ``path``: HEADERS, and ``payload`` (binary) if asked for.
 
     ``payload_digest`` and ``payload_bytes`` are those of the payload found; a revisit has none of its own.
-    Files named ``*.gz`` are read as streams, files named ``*.warc`` whole, so those must be below 2 GB.
+    Files named ``*.gz`` may have any size, files named ``*.warc`` must be below 2 GB.
     """
     schema = HEADERS + (", payload binary" if payloads else "")
     names = [x.split()[0] for x in schema.split(", ")]
@@ -186,14 +197,17 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, str], bytes]]:
         for files in batches:
-            for content in files["content"]:
-                yield from parse(content.as_py(), False)
-
-    lines = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path)
+            for name, content in zip(files["path"].to_pylist(), files["content"]):
+                yield from parse(content.as_py(), name.endswith(".gz"))
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc}").load(path)
+    large = F.col("path").endswith(".gz") & (F.col("length") > WHOLE_FILE)
+    found = map_batches(files.where(~large).select("path", "content"), lambda it: run(whole(it)), schema)
+    if files.where(large).select("path").limit(1).count() == 0:
+        return found
+    lines = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path).where(F.col("_metadata.file_size") > WHOLE_FILE)
     lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("piece"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc").load(path).select("content")
-    found = map_batches(lines, lambda it: run(streamed(it)), schema)
-    return found.unionByName(map_batches(files, lambda it: run(whole(it)), schema)) if files.inputFiles() else found
+    return found.unionByName(map_batches(lines, lambda it: run(streamed(it)), schema))
 
 
 def resolve_revisits(headers: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
