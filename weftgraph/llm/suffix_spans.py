@@ -31,7 +31,7 @@ from .common import extended, map_batches, table, text_bytes, unused
 LEAST = 200
 GRAM = 32
 INDEX_BYTES = 1 << 19
-MOST_CONTENTS = 2048
+MOST_CONTENTS = 16_384
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -222,10 +222,27 @@ def _refined(parts: DataFrame, least: int, step: int = 16) -> tuple[DataFrame, D
     rows = parts.withColumn("k", k).withColumn("far", F.least(far, F.col("k") * step + (step - 1))).withColumn("near", F.greatest(near, F.col("k") * step))
     core = F.substring("content", (F.col("place") - F.col("k") * step + 1).cast("int"), F.lit(least - step + 1))
     cut = F.substring("content", (F.col("place") - F.col("far") + 1).cast("int"), (F.col("far") - F.col("near") + least).cast("int"))
-    rows = materialize(rows.select(F.xxhash64("anchor", "k", core).alias("anchor"), "n", "print", (F.col("first") + F.col("place") - F.col("far")).alias("first"), cut.alias("content")), "refined")
-    kinds = materialize(rows.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first")).alias("one")), "refined-kinds")
+    rows = materialize(rows.select(F.xxhash64("anchor", "k", core).alias("anchor"), "n", "print", (F.col("first") + F.col("place") - F.col("far")).alias("first"), F.col("far").alias("place"), cut.alias("content")), "refined")
+    kinds = materialize(rows.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "place")).alias("one")), "refined-kinds")
     again = rows.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"]).select("print", "first", (F.col("first") + F.octet_length("content")).alias("last"))
-    return kinds.select("anchor", F.least("n", F.lit(2)).alias("n"), "one.print", "one.first", "content"), again
+    return kinds.select("anchor", F.least("n", F.lit(2)).alias("n"), "one.print", "one.first", "one.place", "content"), again
+
+
+def _split_hot(parts: DataFrame, least: int, most_contents: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of hot anchors dealt out until no group has very many contents: (rows for the index, spans already decided).
+
+    First in steps, which share the index's work; groups that are still hot, such
+    as the edges of a passage that very many texts share, string by string: then
+    equal strings are one row with a count, and nothing is left to index.
+    """
+    finer, again = _refined(parts, least)
+    sizes = finer.groupBy("anchor").agg(F.count("*").alias("contents")).where(F.col("contents") > most_contents).select("anchor")
+    hot = materialize(sizes, "hot-groups")
+    if hot.limit(1).count():
+        _, more = _refined(finer.join(hot, "anchor", "left_semi"), least, 1)
+        again = again.unionByName(more)
+        finer = finer.join(hot, "anchor", "left_anti")
+    return finer.select("anchor", "n", "print", "first", "content"), again
 
 
 def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAST, most_contents: int = MOST_CONTENTS) -> DataFrame:
@@ -270,7 +287,7 @@ def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAS
     parts = texts.select("print", F.explode(content).alias("w")).select("w.anchor", "w.n", "print", "w.first", "w.content", "w.place", "w.hot")
     if open_anchors.where(F.col("contents") > most_contents).limit(1).count():
         parts = materialize(parts, "parts")
-        finer, again = _refined(parts.where("hot"), least)
+        finer, again = _split_hot(parts.where("hot"), least, most_contents)
         whole = whole.unionByName(again)
         parts = parts.where("NOT hot").select(finer.columns).unionByName(finer)
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
