@@ -164,6 +164,13 @@ def test_repeated_bytes(make_docs, awkward, most):
         assert (sum(s["last"] - s["first"] for s in row["removed_spans"]), len(row["removed_spans"]), bytes(row["kept"])) == (removed, spans, kept)
 
 
+def test_repeats_keep_clashing_columns(make_docs):
+    rows = make_docs([words(30, 80), words(30, 80), None]).selectExpr("*", "1 AS print", "2 AS spans", "3 AS removed_spans", "4 AS kept", "5 AS `a.b`")
+    found = suffix_spans.remove_repeats(rows)
+    assert found.columns == [c for c in rows.columns if c not in ("removed_spans", "kept")] + ["removed_spans", "kept"]
+    assert {(r["doc_id"], r["print"], r["spans"], r["a.b"], len(r["removed_spans"])) for r in found.collect()} == {(0, 1, 2, 5, 1), (1, 1, 2, 5, 1), (2, 1, 2, 5, 0)}
+
+
 def test_boundaries_by_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(60):
@@ -231,6 +238,16 @@ def test_simhash_groups(spark, make_docs, awkward, hot):
         assert bytes(a) != bytes(b)
 
 
+def test_fingerprints_of_long_texts(make_docs):
+    texts = [words(2, 30_000), "a b " * 40_000, None, " \t\n", "one", "one two", "A B c"]
+    found = by_id(simhash.add_fingerprints(make_docs(texts).selectExpr("*", "1 AS _fp")).selectExpr("doc_id", "lower(hex(_fp)) AS f"), "f")
+    for i, t in enumerate(texts):
+        w = (t or "").encode().lower().split()
+        hashes = [xxhash.xxh64_intdigest(b" ".join(w[k : k + 3]), 42) for k in range(max(1, len(w) - 2))] if w else []
+        value = sum(1 << b for b in range(64) if hashes and 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert found[i][0] == f"{value:016x}"
+
+
 def test_ring_finds_all_pairs_within_the_distance():
     rng = np.random.default_rng(2)
     ring = simhash.RING
@@ -289,7 +306,7 @@ def test_pairs_at_the_similarity_are_found(make_docs):
     assert stay(make_docs, [t for p in pairs for t in p]) == set(range(0, 400, 2))
 
 
-@pytest.mark.parametrize("most", [4096, 3])
+@pytest.mark.parametrize("most", [4096, 3, 1])
 def test_stage_groups_by_brute_force(make_docs, awkward, monkeypatch, most):
     monkeypatch.setattr(near_copies, "BLOCK_TEXTS", most)
     base = words(63, 150).split()
@@ -307,6 +324,16 @@ def test_stage_groups_by_brute_force(make_docs, awkward, monkeypatch, most):
     assert stay(make_docs, texts) == set(label)
 
 
+def test_one_group_of_near_copies_in_many_blocks(make_docs, monkeypatch):
+    monkeypatch.setattr(near_copies, "BLOCK_TEXTS", 8)
+    base = words(80, 120).split()
+    near = [" ".join(base[:k] + [f"x{j}"] + base[k + 1 :]) for j in range(2) for k in range(0, 120, 3)]
+    # Strays share most of the text, but not enough of it with any near copy; the last two are near to one another only.
+    far = [" ".join(base[:90] + words(90 + j, 30).split()) for j in range(12)]
+    pair = [" ".join(base[:88] + words(200, 32).split() + [w]) for w in ("a", "b")]
+    assert stay(make_docs, near + far + pair) == {0} | set(range(len(near), len(near) + 13))
+
+
 def test_stage_keeps_clashing_columns(spark, make_docs, tmp_path):
     texts = [words(70, 50), words(70, 50), words(71, 50), None, ""]
     rows = make_docs(texts).selectExpr("*", "1 AS file", "2 AS `at`", "3 AS _metadata", "4 AS keys", "5 AS node", "6 AS `a.b`")

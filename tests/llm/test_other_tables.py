@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import DOC, words
 from weftgraph.llm import embedding_links, html_text, labelled_pages, surrogates, warc
@@ -128,6 +129,15 @@ def test_links(spark):
     assert found == expected  # at this size and seed all are found
 
 
+def test_vectors_without_or_with_repeated_ids(spark):
+    v = [1.0, 2.0, 3.0]
+    rows = [(1, v, 0), (1, v, 0), (None, v, 0), (None, [3.0, -1.0, 0.0], 0), (5, [-1.0, -2.0, -3.0], 0), (None, None, 0)]
+    found = sorted((r["id"] is None, r["id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in embedding_links.link_vectors(spark.createDataFrame(rows, VECTOR)).collect())
+    assert found[:3] == [(False, 1, 2, 1, True), (False, 1, 2, 1, True), (False, 5, 0, 5, True)]
+    assert sorted((n, c) for none, _, n, c, _ in found if none and c is not None) == [(2, 1)]
+    assert sorted(n for none, _, n, c, _ in found if none and c is None) == [0, 0]
+
+
 def test_calibration_by_simulation():
     plan = embedding_links.calibrate(2000)
     rng = np.random.default_rng(0)
@@ -441,6 +451,25 @@ def test_pipeline_stages(spark, make_docs, tmp_path):
     assert sorted(r["doc_id"] for r in c.run(spark, str(tmp_path)).select("doc_id").collect()) == sorted(left)
 
 
+def test_stages_keep_extra_columns(spark, make_docs, tmp_path):
+    import corpus_pipeline as c
+
+    spark.createDataFrame([(1, words(90, 20))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    texts = [words(i, 60) for i in range(8)] + [words(0, 60), words(97, 9) + " mail ann.lee@mail3.example.com"]
+    extra = ["lang_score_", "file", "at", "node", "token", "hit_spans", "item_ids", "n_words", "pii", "puts", "row", "found", "digest", "keys", "component", "a.b", "n"]
+    rows = make_docs(texts)
+    rows = rows.select("*", *(F.lit(k).alias(name) for k, name in enumerate(extra)))
+    rows = rows.unionByName(rows.limit(1)).selectExpr("*", "9 AS lang_pred", "9 AS pii_kinds", "9 AS piece_text")
+    rows.write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    for name, stage in c.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert {tuple(r[n] for n in extra) for r in docs.collect()} == {tuple(range(len(extra)))}, name
+    assert {r["doc_id"] for r in docs.collect()} == set(range(8)) | {9} and docs.count() == 9
+
+
 def test_pipeline_without_documents(spark, tmp_path):
     import corpus_pipeline as c
 

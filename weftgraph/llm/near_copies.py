@@ -13,8 +13,9 @@ the whole Hamming distance, and at last the shingles themselves are compared.
 Keys travel with the number of a distinct shingle set only. Fingerprints are
 joined to the keys that several sets share, and texts to the sets that are
 compared, so what is shuffled for a document without relatives is its keys. A
-key of very many sets and a component of very much text are dealt out as pairs
-of blocks. Rows are named by file and place, so texts are not written again.
+key of very many sets is dealt out as pairs of blocks, a component of very much
+text as blocks whose groups are then joined. Rows are named by file and place,
+so texts are not written again.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ BANDS, ROWS = 32, 6
 RING = Ring(384, 24, 115)
 WORDS = RING.bits // 64
 #: What one task compares exactly, of each side: shingles and texts.
-BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 22, 4096
+BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 20, 1024
 MULTIPLIERS = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -99,13 +100,11 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return common >= SIMILARITY * (len(both) - common) - 1e-9
 
 
-def exact_forest(names: list[int], prints: list[bytes], sets: list[np.ndarray], block: np.ndarray, across: bool) -> Iterator[tuple[int, int]]:
-    """Links that connect the sets which are similar; ``across``: only pairs of different blocks are compared."""
+def forest(names: list[int], prints: list[bytes], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, root: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links that connect the sets which are similar: each of ``right`` with those of ``left``, unless ``root`` has them as one already."""
     words = _words(prints, WORDS)
-    root = np.arange(len(names))
-    for i in range(1, len(names)):
-        near = np.flatnonzero(block[:i] != block[i]) if across else np.arange(i)
-        near = near[root[near] != root[i]]
+    for i in right:
+        near = left[root[left] != root[i]]
         apart = np.bitwise_count(words[near] ^ words[i]).sum(axis=1, dtype=np.int64)
         near = near[np.argsort(apart, kind="stable")[: int((apart <= RING.differing).sum())]]
         while len(near):
@@ -117,40 +116,35 @@ def exact_forest(names: list[int], prints: list[bytes], sets: list[np.ndarray],
                 yield names[i], names[j]
 
 
-def exact_links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links ``(src, dst)`` of exact similarity among the members (node, _fp, n, file, at, component) of each component.
+def links_in_cells(rows: DataFrame) -> DataFrame:
+    """Links ``(src, dst)`` of exact similarity inside each cell, as a spanning forest.
 
-    ``rows`` has text, file and at. A component of very much text is dealt out as pairs of blocks.
+    ``rows``: component, cell, part, node, root, _fp, set. Parts 0 are compared
+    with one another, parts 2 with parts 1; rows of one root are one already.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = members.groupBy("component").agg(F.sum("n").alias("all"), F.count("*").alias("count"))
-    blocks = F.greatest(F.ceil(F.col("all") / BLOCK_SHINGLES), F.ceil(F.col("count") / BLOCK_TEXTS), F.lit(1)).cast("int")
-    held = members.join(sizes.select("component", blocks.alias("blocks")), "component")
-    held = held.select("component", "node", "_fp", "file", "at", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
-    kept = ["component", "node", "_fp", "blocks", "own"]
-    texts = rows.select("text", "file", "at").join(scratch.keep(held, "stage-members"), ["file", "at"]).select(*kept, "text")
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = pa.array([shingle_set(t).tobytes() for t in text_bytes(batch["text"])], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), sets], [*kept, "set"])
-
-    found = map_batches(texts, shingled, "component long, node long, _fp binary, blocks int, own int, set binary")
-    dealt = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "_fp", "own", "set")
+    columns = ["component", "cell", "part", "node", "root", "_fp", "set"]
+
+    def of_cell(held: list[tuple]) -> list[tuple[int, int]]:
+        part, names, root, prints, sets = zip(*held)
+        part = np.array(part)
+        arrays = [np.frombuffer(x, dtype=np.uint64) for x in sets]
+        _, root = np.unique(np.array(root), return_inverse=True)
+        out: list[tuple[int, int]] = []
+        every = np.flatnonzero(part == 0)
+        for k in range(1, len(every)):
+            out += forest(names, prints, arrays, every[:k], every[k : k + 1], root)
+        out += forest(names, prints, arrays, np.flatnonzero(part == 1), np.flatnonzero(part == 2), root)
+        return out
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of_cell(held: list) -> list:
-            names, prints, own, sets = zip(*held)
-            return list(exact_forest(list(names), list(prints), [np.frombuffer(x, dtype=np.uint64) for x in sets], np.array(own), cell[1] != cell[2]))
-
         cell, held, out = None, [], []
         for batch in batches:
-            for component, low, high, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if (component, low, high) != cell:
+            for component, number, *row in zip(*(batch[c].to_pylist() for c in columns)):
+                if (component, number) != cell:
                     if len(held) > 1:
                         out += of_cell(held)
-                    cell, held = (component, low, high), []
+                    cell, held = (component, number), []
                 held.append(row)
             if out:
                 yield _links(out)
@@ -160,14 +154,74 @@ def exact_links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFr
         if out:
             yield _links(out)
 
-    order = ["component", "low", "high"]
-    return map_batches(dealt.repartition(parts, *order).sortWithinPartitions(*order, "node"), compare, "src long, dst long")
+    order = ["component", "cell"]
+    return map_batches(rows.select(columns).repartition(parts, *order).sortWithinPartitions(*order, "part", "node"), compare, "src long, dst long")
 
 
 def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*pairs)], ["src", "dst"])
 
 
+def shingled(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(component, node, _fp, blocks, block, set)`` of the members, with their shingles; ``rows`` has text, file and at."""
+    sizes = members.groupBy("component").agg(F.sum("n").alias("all"), F.count("*").alias("count"))
+    blocks = F.greatest(F.ceil(F.col("all") / BLOCK_SHINGLES), F.ceil(F.col("count") / BLOCK_TEXTS), F.lit(1)).cast("int")
+    held = members.join(sizes.select("component", blocks.alias("blocks")), "component")
+    held = held.select("component", "node", "_fp", "file", "at", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    kept = ["component", "node", "_fp", "blocks", "block"]
+    texts = rows.select("text", "file", "at").join(scratch.keep(held, "stage-members"), ["file", "at"]).select(*kept, "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([shingle_set(t).tobytes() for t in text_bytes(batch["text"])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), sets], [*kept, "set"])
+
+    return scratch.keep(map_batches(texts, run, "component long, node long, _fp binary, blocks int, block int, set binary"), "stage-shingles")
+
+
+def exact_links(sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links ``(src, dst)`` that connect what exact similarity connects in each component of ``sets`` (see ``shingled``).
+
+    A component of one block is compared whole. One of several blocks is compared
+    block by block first; then the largest group of each block with those of the
+    other blocks, which makes one group of near copies one however large it is;
+    and at last whatever is outside of the component's largest group with all the
+    rest, in cells of two blocks. So the work beyond one pass grows with what is
+    not yet settled, and no pair of different groups stays uncompared.
+    """
+    zero = F.lit(0).cast("int")
+    inside = scratch.keep(links_in_cells(sets.select("component", F.col("block").alias("cell"), zero.alias("part"), "node", F.col("node").alias("root"), "_fp", "set")), "stage-links")
+    large = sets.where("blocks > 1")
+    if large.select("node").limit(1).count() == 0:
+        return inside
+    grouped = _rooted(large, inside, scratch)
+    heads = grouped.groupBy("component", "block", "root").agg(F.count("*").alias("size")).groupBy("component", "block").agg(F.max_by("root", F.struct("size", -F.col("root"))).alias("node"))
+    heads = large.join(heads.select("node"), "node", "left_semi")
+    few = F.pmod(F.xxhash64("node", F.lit(1)), F.greatest(F.ceil(F.col("blocks") / BLOCK_TEXTS), F.lit(1)))
+    across = scratch.keep(links_in_cells(heads.select("component", few.cast("int").alias("cell"), zero.alias("part"), "node", F.col("node").alias("root"), "_fp", "set")), "stage-links")
+    both = inside.unionByName(across)
+    grouped = _rooted(large, both, scratch)
+    sizes = grouped.groupBy("component", "root").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("component").agg(F.max_by("root", F.struct("size", -F.col("root"))).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    left = scratch.keep(grouped.join(main.select("component", "main"), "component").withColumn("stray", F.col("root") != F.col("main")), "stage-unsettled")
+    if left.limit(1).count() == 0:
+        return both
+    strays = left.where("stray").groupBy("component").agg(F.ceil(F.count("*") / BLOCK_TEXTS).cast("int").alias("stray_blocks"))
+    dealt = left.join(strays, "component").join(large.select("node", "blocks", "_fp", "set"), "node")
+    stray_block = F.pmod(F.xxhash64("node", F.lit(2)), F.col("stray_blocks")).cast("int")
+    columns = ["component", "node", "root", "_fp", "set"]
+    members = dealt.select(*columns, "block", "stray_blocks", F.lit(1).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("s")).withColumn("cell", F.col("block") * F.col("stray_blocks") + F.col("s"))
+    guests = dealt.where("stray").withColumn("s", stray_block).select(*columns, "s", "stray_blocks", F.lit(2).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).withColumn("cell", F.col("block") * F.col("stray_blocks") + F.col("s"))
+    last = ["component", "cell", "part", "node", "root", "_fp", "set"]
+    return both.unionByName(links_in_cells(members.select(last).unionByName(guests.select(last))))
+
+
+def _rooted(sets: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(component, block, node, root)`` by the links so far."""
+    found = connected_components(links).select(F.col("id").alias("node"), F.col("component").alias("root"))
+    return scratch.keep(sets.select("component", "block", "node").join(found, "node", "left").select("component", "block", "node", F.coalesce("root", "node").alias("root")), "stage-roots")
+
+
 def candidate_links(distinct: DataFrame, scratch: Scratch, hot_key: int = HOT_KEY) -> DataFrame:
     """Links between sets (node, _fp, keys) that share a key and pass the ring's checks, as a spanning forest."""
     keyed = distinct.select(F.explode("keys").alias("key"), "node")
@@ -183,7 +237,7 @@ def groups(rows: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
     distinct = scratch.keep(distinct.withColumn("node", F.monotonically_increasing_id()), "stage-sets")
     candidates = connected_components(candidate_links(distinct, scratch)).withColumnRenamed("id", "node")
     members = scratch.keep(distinct.select("node", "_fp", "n", "first.file", "first.at").join(candidates, "node"), "stage-candidates")
-    found = connected_components(exact_links(rows, members, scratch)).withColumnRenamed("id", "node")
+    found = connected_components(exact_links(shingled(rows, members, scratch), scratch)).withColumnRenamed("id", "node")
     by_group = distinct.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component"))
     # Rows of one doc_id count once, so groups that share their smallest id are one.
     chosen = by_group.agg(F.min("first").alias("first"))
