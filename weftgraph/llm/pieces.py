@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from .common import extended, map_batches, table
 
 SPACE = "▁"
-KEPT = 80_000
-TEXTS_AT_ONCE = 384
+KEPT = 120_000
+TEXTS_AT_ONCE = 512
 LONGEST_KEPT = 48
 SHORT = 40
 #: Words learnt at once, words whose agendas run in step, and words in a text that the library checks.
@@ -167,7 +167,7 @@ class Codec:
         return self.runs(SPACE + text.replace(" ", SPACE)) if text else []
 
     def learn(self, runs: list[str]) -> dict[str, tuple[bytes, str]]:
-        """Encode runs that are not kept; check them against the library; keep the short ones."""
+        """Encode runs that are not kept and check them against the library."""
         found = {r: (ids := self.encode_run(r), self._spell(ids, False)) for r in runs}
         if self.check:
             # The library starts a text with a space: a run that has one of its own gives it up, any other follows a newline-like anchor.
@@ -183,9 +183,7 @@ class Codec:
             for r, text in zip(runs, self.library.decode([mark + found[r][0] for r in runs])):
                 if text != "\x01" + found[r][1]:
                     raise AssertionError(f"the library decodes {r[:80]!r} otherwise")
-        packed = {r: (_packed(ids), text) for r, (ids, text) in found.items()}
-        self.kept_runs.keep(packed)
-        return packed
+        return {r: (_packed(ids), text) for r, (ids, text) in found.items()}
 
     def learn_words(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
         """Encode words that start with a space and are not kept; check them against the library."""
@@ -209,15 +207,15 @@ class Codec:
             places = np.cumsum(self.agendas.spelled[flat])[ends - 1]
             ends, places = (4 * ends).tolist(), places.tolist()
             found.update(zip(part, zip([raw[a:b] for a, b in zip([0, *ends], ends)], [text[a:b] for a, b in zip([0, *places], places)])))
-        self.kept_words.keep(found)
         return found
 
     def encode_runs(self, texts: list[list[str]]) -> list[tuple[bytes, str]]:
         """Each list of runs as one sequence of ids and its spelling, the dummy prefix included."""
-        found = self.kept_runs.find({r for runs in texts for r in runs})
-        if missing := [r for r in dict.fromkeys(r for runs in texts for r in runs) if r not in found]:
-            found |= self.learn(missing)
-        return [(b"".join([found[r][0] for r in runs]), "".join([found[r][1] for r in runs])) for runs in texts]
+        wanted = {r for runs in texts for r in runs}
+        found = self.kept_runs.ready(wanted, self.learn)
+        out = [(b"".join([found[r][0] for r in runs]), "".join([found[r][1] for r in runs])) for runs in texts]
+        self.kept_runs.forget(wanted)
+        return out
 
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
         """Ids and decoded text of each whole text.
@@ -238,9 +236,7 @@ class Codec:
             for own in words:
                 if own:
                     wanted.update(own)
-            found = self.kept_words.find(wanted)
-            if missing := list(wanted - found.keys()):
-                found.update(self.learn_words(missing))
+            found = self.kept_words.ready(wanted, self.learn_words)
             out = []
             for text, own in zip(part, words):
                 if own:
@@ -249,6 +245,7 @@ class Codec:
                 else:
                     ((raw, decoded),) = self.encode_runs([self.split(text)])
                 out.append((np.frombuffer(raw, "<i4"), decoded[1:] if decoded.startswith(" ") else decoded))
+            self.kept_words.forget(wanted)
             return out
         finally:
             if collecting:
@@ -341,39 +338,52 @@ class Agendas:
         return flat, counts
 
     def _merge_rows(self, rows: np.ndarray) -> np.ndarray:
-        """Rows of symbols, filled up with -1, after all their merges."""
+        """Rows of symbols, filled up with -1, after all their merges.
+
+        Symbols, ranks and merged ids are held place by place (one line for each
+        place in the words), so every step is a few passes over short lines.
+        """
         out = np.full_like(rows, -1)
         name = np.arange(len(rows))
-        shape = rows[:, 1:].shape
-        ranks, merged = (x.reshape(shape) for x in self.look_up(rows[:, :-1].reshape(-1), rows[:, 1:].reshape(-1)))
-        while len(rows):
-            best = ranks.argmin(axis=1)
-            each = np.arange(len(rows))
-            going = ranks[each, best] != self.none
-            if not going.all():
-                out[name[~going], : rows.shape[1]] = rows[~going]
-                rows, ranks, merged, name, best = rows[going], ranks[going], merged[going], name[going], best[going]
-                each = each[: len(rows)]
-                if not len(rows):
-                    break
-            joined = merged[each, best]
-            # What follows the pair moves up by one.
-            width = rows.shape[1]
-            column = np.arange(width - 1)
-            shift = column + (column > best[:, None])
-            rows = np.take_along_axis(rows, shift, axis=1)
-            rows[each, best] = joined
-            shift = shift[:, : width - 2]
-            ranks, merged = np.take_along_axis(ranks, shift, axis=1), np.take_along_axis(merged, shift, axis=1)
-            width -= 1
-            if width == 1:
-                out[name, :1] = rows
-                break
-            for side in (best - 1, best):  # the pairs on both sides of the new symbol
+        symbols = np.ascontiguousarray(rows.T)
+        width, none = len(symbols), self.none
+        pairs = [self.look_up(symbols[k], symbols[k + 1]) for k in range(width - 1)]
+        ranks, merged = np.array([r for r, _ in pairs]), np.array([m for _, m in pairs])
+        while True:
+            best, least = np.zeros(len(name), dtype=np.int32), ranks[0]
+            for k in range(1, width - 1):  # the first of the least: a later place must be lower
+                lower = ranks[k] < least
+                best = np.where(lower, np.int32(k), best)
+                least = np.where(lower, ranks[k], least)
+            going = least != none
+            left = int(np.count_nonzero(going))
+            if 4 * left < 3 * len(name):
+                out[name[~going], :width] = symbols[:, ~going].T
+                if not left:
+                    return out
+                name, best = name[going], best[going]
+                symbols, ranks, merged = symbols[:, going], ranks[:, going], merged[:, going]
+                going = np.ones(left, dtype=bool)
+            if not left:
+                out[name, :width] = symbols.T
+                return out
+            at = np.flatnonzero(going)
+            place = best[at]
+            symbols[place, at] = merged[place, at]
+            # What follows the pair moves up by one, in the words that go on.
+            best = np.where(going, best, np.int32(width))
+            for k in range(1, width - 1):
+                behind = best < k
+                symbols[k] = np.where(behind, symbols[k + 1], symbols[k])
+                if k < width - 2:
+                    ranks[k] = np.where(behind, ranks[k + 1], ranks[k])
+                    merged[k] = np.where(behind, merged[k + 1], merged[k])
+            symbols[width - 1, at] = -1
+            ranks[width - 2, at] = none
+            for side in (place - 1, place):  # the pairs on both sides of the new symbol
                 there = np.flatnonzero((side >= 0) & (side < width - 1))
-                at = side[there]
-                ranks[there, at], merged[there, at] = self.look_up(rows[there, at], rows[there, at + 1])
-        return out
+                to, column = side[there], at[there]
+                ranks[to, column], merged[to, column] = self.look_up(symbols[to, column], symbols[to + 1, column])
 
 
 class Kept:
@@ -384,22 +394,23 @@ class Kept:
         self.young: dict = {}
         self.old: dict = {}
 
-    def find(self, keys: set[str]) -> dict:
-        young, old = self.young, self.old
-        met = keys & young.keys()
-        found = dict(zip(met, map(young.__getitem__, met)))
-        again = (keys - met) & old.keys()
-        again = dict(zip(again, map(old.__getitem__, again)))
-        self.keep(again)
-        found.update(again)
-        return found
-
-    def keep(self, entries: dict) -> None:
+    def ready(self, keys: set[str], learn) -> dict:
+        """The younger generation with all of ``keys`` in it; what is in neither is learnt. It serves until the next call."""
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
-        if any(len(k) > LONGEST_KEPT for k in entries):
-            entries = {k: v for k, v in entries.items() if len(k) <= LONGEST_KEPT}
-        self.young.update(entries)
+        young, old = self.young, self.old
+        wanted = keys - young.keys()
+        again = wanted & old.keys()
+        young.update(zip(again, map(old.__getitem__, again)))
+        if missing := list(wanted - again):
+            young.update(learn(missing))
+        return young
+
+    def forget(self, keys: set[str]) -> None:
+        """Drop the long ones of ``keys``, which would fill the store."""
+        for k in keys:
+            if len(k) > LONGEST_KEPT:
+                self.young.pop(k, None)
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -444,16 +455,19 @@ def encode_texts(texts: list[str | None], model_path: str, check: bool = True) -
 def encode_decode(df: DataFrame, model_path: str, text_column: str = "text", check: bool = True) -> DataFrame:
     """Add ``piece_ids`` (array of int) and ``piece_text`` (the ids decoded again) to every row.
 
-    A null or empty text gives no ids and an empty text. Columns with these
-    names are replaced.
+    A null or empty text gives no ids and an empty text. Texts are encoded whole,
+    however long and however long their words; equal texts give equal ids, and
+    of pairs with the same score the leftmost merges first, as in the library.
+    Repeated rows stay repeated. Columns with these names are replaced, all
+    others stay.
     """
     df = df.drop("piece_ids", "piece_text")
     schema = extended(df.schema, piece_ids=T.ArrayType(T.IntegerType()), piece_text=T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
+            for start in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(start, TEXTS_AT_ONCE)
                 found = list(encode_texts(batch[text_column].to_pylist(), model_path, check))
                 ids = pa.array([i for i, _ in found], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array([t for _, t in found], pa.string())], [*batch.schema.names, "piece_ids", "piece_text"])
@@ -465,7 +479,11 @@ DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def token_digests(df: DataFrame, model_path: str, check: bool = True) -> DataFrame:
-    """``doc_id`` and the digests of ids and decoded text, taken from the operator's batches where they are made."""
+    """``doc_id`` and the digests of ids and decoded text, taken from the operator's batches where they are made.
+
+    One row for each input row, whatever its doc_id (null and repeated ones too);
+    a null text counts as empty: no ids, and the digests of empty strings.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = list(map(str, range(len(codec(model_path, check).pieces))))
