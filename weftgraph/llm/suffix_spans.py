@@ -142,7 +142,7 @@ def common_prefix_boundaries(text: np.ndarray, room: np.ndarray, order: np.ndarr
     apart = np.flatnonzero(whole & ~neighbours)
     low, high = np.minimum(above[apart], nxt[apart]), np.maximum(above[apart], nxt[apart])
     fresh = np.flatnonzero(bound)
-    count = np.empty(n, dtype=np.int32)
+    ends, built = None, n
     for length in range(1, least):
         reached = back[fresh]
         reached = reached[reached >= 0]
@@ -150,11 +150,26 @@ def common_prefix_boundaries(text: np.ndarray, room: np.ndarray, order: np.ndarr
             reached = np.r_[reached, np.flatnonzero(short)]
         reached = reached[~bound[reached]]
         if len(apart):
-            np.cumsum(bound, out=count)
-            parted = count[high] != count[low]
-            reached = np.r_[reached, apart[parted]]
-            keep = ~parted
-            apart, low, high = apart[keep], low[keep], high[keep]
+            # Earlier boundaries have parted their pairs already, so only the last round's count.
+            if 4 * len(apart) < built:  # few pairs left: count between their ends only
+                ends, at = np.unique(np.r_[low, high], return_inverse=True)
+                low_at, high_at, built = at[: len(apart)], at[len(apart) :], len(apart)
+            if ends is None:
+                count = np.zeros(n, dtype=np.int32)
+                count[fresh] = 1
+                np.cumsum(count, out=count)
+                parted = count[high] != count[low]
+            else:
+                count = np.bincount(np.searchsorted(ends, fresh), minlength=len(ends) + 1)
+                np.cumsum(count, out=count)
+                parted = count[high_at] != count[low_at]
+            if parted.any():
+                found = apart[parted]
+                reached = np.r_[reached, found[~bound[found]]]
+                keep = ~parted
+                apart, low, high = apart[keep], low[keep], high[keep]
+                if ends is not None:
+                    low_at, high_at = low_at[keep], high_at[keep]
         elif not len(reached):
             break
         bound[reached] = True
@@ -272,9 +287,13 @@ def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAS
     # Copies of a text share its print, so they are one row with a count from here on.
     cuts = materialize(cuts.groupBy("anchor", "content", "print", "first", "last", "place").agg(F.count("*").alias("n")), "cuts")
     anchors = cuts.groupBy("anchor").agg(F.sum("n").alias("met"), (F.min("content") != F.max("content")).alias("mixed")).where("met > 1")
-    met = materialize(cuts.join(materialize(anchors.select("anchor", "mixed"), "anchors"), "anchor"), "met")
-    kinds = materialize(met.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "last", "place")).alias("one"), F.max("mixed").alias("mixed")), "kinds")
-    whole = met.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"]).select("print", "first", (F.col("last") + least).alias("last"))
+    # A content that very many texts share is joined in parts, by the number of times its anchor was met.
+    shares = F.ceil(F.col("met") / F.lit(most_contents)).cast("int").alias("shares")
+    met = materialize(cuts.join(materialize(anchors.select("anchor", "mixed", shares), "anchors"), "anchor").withColumn("share", F.pmod(F.xxhash64("print", "first"), F.col("shares")).cast("int")), "met")
+    kinds = met.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "last", "place")).alias("one"), F.max("mixed").alias("mixed"), F.max("shares").alias("shares"))
+    kinds = materialize(kinds, "kinds")
+    repeated = kinds.where("n > 1").select("anchor", "content", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+    whole = met.join(repeated, ["anchor", "content", "share"]).select("print", "first", (F.col("last") + least).alias("last"))
     # Anchors all of whose contents are met twice have nothing left to find.
     open_anchors = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("fewest"), F.count("*").alias("contents")).where("fewest = 1").select("anchor", "contents")
     open_anchors = materialize(open_anchors, "open-anchors")
