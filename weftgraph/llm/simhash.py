@@ -76,7 +76,13 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> bytes:
 
 
 def add_fingerprints(df: DataFrame, text_column: str = "text", shingle: int = SHINGLE, words: int = 1, keep_text: bool = True) -> DataFrame:
-    """Add ``_fp`` (binary) to every row; a null text has no words."""
+    """Add ``_fp`` (binary) to every row.
+
+    A null, empty or blank text has no words and the fingerprint zero; a text of
+    fewer words than a shingle is one shingle; texts are read whole, however
+    long; repeated shingles count as often as they occur; a bit set in exactly
+    half of them is 0. A column named ``_fp`` is replaced, all others stay.
+    """
     df = df.drop("_fp")
     kept = [f for f in df.schema.fields if keep_text or f.name != text_column]
     schema = extended(T.StructType(kept), _fp=T.BinaryType())
