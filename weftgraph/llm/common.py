@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -39,14 +40,17 @@ def unused(name: str, taken: list[str]) -> str:
     return name
 
 
+#: Modules that keep results in a worker process from task to task.
+STORES = ("weftgraph.llm.pieces",)
 #: Texts reach Python in Arrow batches of about this size, whatever their length; short rows still come by the thousand.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
-def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str, keeps: str | None = None) -> DataFrame:
     """``mapInArrow`` with bounded batches; a worker gives unused memory back at the end of each task, since it lives on idle.
 
-    Column names may hold dots, which ``mapInArrow`` itself would take for fields.
+    ``keeps``: the module whose stores in the worker process serve this function;
+    other modules' stores (their ``forget``) are emptied first. Column names may hold dots, which ``mapInArrow`` itself would take for fields.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     names = df.columns
@@ -54,6 +58,9 @@ def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], It
         df = df.toDF(*(f"column_{k}" for k in range(len(names))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for module in STORES:
+            if module != keeps and module in sys.modules:
+                sys.modules[module].forget()
         try:
             yield from function(pa.RecordBatch.from_arrays(b.columns, names) for b in batches)
         finally:

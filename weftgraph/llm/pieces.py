@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from .common import extended, map_batches, table
 
 SPACE = "▁"
-KEPT = 120_000
-TEXTS_AT_ONCE = 512
+KEPT = 80_000
+TEXTS_AT_ONCE = 384
 LONGEST_KEPT = 48
 SHORT = 40
 #: Words learnt at once, words whose agendas run in step, and words in a text that the library checks.
@@ -185,12 +185,18 @@ class Codec:
                     raise AssertionError(f"the library decodes {r[:80]!r} otherwise")
         return {r: (_packed(ids), text) for r, (ids, text) in found.items()}
 
-    def learn_words(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
-        """Encode words that start with a space and are not kept; check them against the library."""
+    def learn_words(self, words: list[str]) -> dict[str, bytes | tuple[bytes, str]]:
+        """Encode words that start with a space and are not kept; check them against the library.
+
+        Of a word whose ids decode to itself the ids alone are returned; of any
+        other, such as one with bytes that are no character, its spelling too.
+        """
         known, lengths, symbols = self.agendas.symbols(words)
         fit = [w for w, k in zip(words, known) if k]
         rest = [w for w, k in zip(words, known) if not k]
-        found = dict(zip(rest, self.encode_runs([self.runs(SPACE + w) for w in rest]))) if rest else {}
+        found: dict = {}
+        for w, (raw, spelled) in zip(rest, self.encode_runs([self.runs(SPACE + w) for w in rest]) if rest else ()):
+            found[w] = raw if spelled == " " + w else (raw, spelled)
         for start in range(0, len(fit), WORDS_AT_ONCE):
             part = fit[start : start + WORDS_AT_ONCE]
             flat, counts = self.agendas.merge(part, lengths[start : start + WORDS_AT_ONCE], symbols)
@@ -203,10 +209,10 @@ class Codec:
                 if "".join([" " + x for x in self.library.decode(ids)]) != text:
                     raise AssertionError("the library decodes one of these words otherwise: " + " ".join(part)[:2000])
             raw = flat.astype("<i4").tobytes()
-            ends = np.cumsum(counts)
-            places = np.cumsum(self.agendas.spelled[flat])[ends - 1]
-            ends, places = (4 * ends).tolist(), places.tolist()
-            found.update(zip(part, zip([raw[a:b] for a, b in zip([0, *ends], ends)], [text[a:b] for a, b in zip([0, *places], places)])))
+            if text != " " + " ".join(part):
+                raise AssertionError("pieces of single characters spell one of these words otherwise: " + " ".join(part)[:2000])
+            ends = (4 * np.cumsum(counts)).tolist()
+            found.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
         return found
 
     def encode_runs(self, texts: list[list[str]]) -> list[tuple[bytes, str]]:
@@ -241,10 +247,15 @@ class Codec:
             for text, own in zip(part, words):
                 if own:
                     got = [found[w] for w in own]
-                    raw, decoded = b"".join([g[0] for g in got]), "".join([g[1] for g in got])
+                    try:
+                        raw, decoded = b"".join(got), text  # every word decodes to itself
+                    except TypeError:
+                        both = [g if isinstance(g, tuple) else (g, " " + w) for g, w in zip(got, own)]
+                        raw, decoded = b"".join([g[0] for g in both]), "".join([g[1] for g in both])[1:]
                 else:
                     ((raw, decoded),) = self.encode_runs([self.split(text)])
-                out.append((np.frombuffer(raw, "<i4"), decoded[1:] if decoded.startswith(" ") else decoded))
+                    decoded = decoded[1:] if decoded.startswith(" ") else decoded
+                out.append((np.frombuffer(raw, "<i4"), decoded))
             self.kept_words.forget(wanted)
             return out
         finally:
@@ -269,10 +280,9 @@ class Agendas:
                 self.single[ord(piece)] = i
         # A character that no piece is, but that a longer one holds, would merge without an id of its own.
         self.start = int(self.single[ord(SPACE)])
-        self.spelled = np.array([len(x) if x else 0 for x in codec.spelling], dtype=np.int64)
         pairs = [(ids[p[:k]], ids[p[k:]], r, ids[p]) for p, r in rank.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
         a, b, ranks, merged = (np.array(x, dtype=np.int64) for x in zip(*pairs))
-        self.bits = max(4, int(4 * len(pairs)).bit_length())
+        self.bits = max(4, int(2 * len(pairs)).bit_length())
         self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
         self.ranks = np.full(1 << self.bits, self.none, dtype=np.int32)
         self.merged = np.zeros(1 << self.bits, dtype=np.int32)
@@ -448,6 +458,12 @@ def codec(model_path: str, check: bool = True) -> Codec:
     return _codecs[key]
 
 
+def forget() -> None:
+    """Drop what the codecs of this worker process have kept."""
+    for held in _codecs.values():
+        held.kept_runs, held.kept_words = Kept(), Kept()
+
+
 def encode_texts(texts: list[str | None], model_path: str, check: bool = True) -> Iterator[tuple[np.ndarray, str]]:
     return codec(model_path, check).encode_batch([t or "" for t in texts])
 
@@ -472,7 +488,7 @@ def encode_decode(df: DataFrame, model_path: str, text_column: str = "text", che
                 ids = pa.array([i for i, _ in found], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array([t for _, t in found], pa.string())], [*batch.schema.names, "piece_ids", "piece_text"])
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, keeps=__name__)
 
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -496,7 +512,7 @@ def token_digests(df: DataFrame, model_path: str, check: bool = True) -> DataFra
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(counts, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     id_type = df.schema["doc_id"].dataType.simpleString()
-    return map_batches(df.select("doc_id", "text"), run, f"doc_id {id_type}, {DIGESTS}")
+    return map_batches(df.select("doc_id", "text"), run, f"doc_id {id_type}, {DIGESTS}", keeps=__name__)
 
 
 def model_path() -> str:
