@@ -410,3 +410,19 @@ def test_dedup_stage_runs_once_for_an_input(spark):
 
 def test_materialised_paths(spark):
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_scrape(spark):
+    from weftgraph.sources.scrape import Listing, scrape
+
+    page = lambda name: f'<h1 class="entry-title">{name}</h1><div class="entry-content"><p>About {name}.</p></div>'
+    listing = lambda *links: '<ul class="lcp_catlist">' + "".join(f'<li><a href="/{x}">{x}</a></li>' for x in links) + "</ul>"
+    rows = [("https://x/l1", listing("a", "b")), ("https://x/l2", listing("b", "c", "gone")), *((f"https://x/{x}", page(x)) for x in "abcd")]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    listings = [Listing("https://x/l1", ("warmup",)), Listing("https://x/l2", ("game",))]
+    found = {r["name"]: (r["tags"], r["markdown"]) for r in scrape(pages, listings, html_pages.BLOG).collect()}
+    assert found == {"a": (["warmup"], "About a."), "b": (["warmup", "game"], "About b."), "c": (["game"], "About c.")}
+    known = spark.createDataFrame([("https://x/a", "2024-05-01"), ("https://x/b", "2024-05-01")], "url string, fetchedAt string")
+    changed = spark.createDataFrame([("https://x/b", "2024-06-01")], "loc string, lastmod string")
+    assert {r["name"] for r in scrape(pages, listings, html_pages.BLOG, known, changed).collect()} == {"b", "c"}
+    assert {r["name"] for r in scrape(pages, listings, html_pages.BLOG, per_listing=1).collect()} == {"a", "b"}
