@@ -114,6 +114,21 @@ def test_components_of_awkward_edges(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_components_of_a_long_path_take_few_rounds(spark, monkeypatch):
+    import random
+
+    from weftgraph.plans.lineage import Scratch
+
+    names = [f"v{k}" for k in range(600)]
+    random.Random(7).shuffle(names)
+    path = list(zip(names, names[1:])) + [("hub", f"leaf{k}") for k in range(100)] + [("x", None), ("x", "x")]
+    kept, keep = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, tag: kept.append(tag) or keep(self, df, tag))
+    found = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(path, "src string, dst string"), rest=20).collect()}
+    assert found == {n: min(names) for n in names} | {n: "hub" for n in ["hub", *(f"leaf{k}" for k in range(100))]}
+    assert 2 <= kept.count("parents") <= 10
+
+
 @pytest.fixture(scope="module")
 def derived(spark):
     pair = lambda i, c: {"related": [(i, c)]}

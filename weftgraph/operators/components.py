@@ -1,56 +1,83 @@
-"""Connected components by minimum-label propagation with pointer jumping."""
+"""Connected components by contraction: vertices join a neighbour, edges are renamed, and a small rest is solved in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from ..plans.lineage import Scratch, materialize
+
+#: Edges that one task takes at the end; more are contracted first.
+REST = 1 << 19
+
 
-from ..plans.lineage import discard, new_path
+def _solve(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """``(id, root)`` of the vertices of edges (a, b), by union and find."""
+    above: dict = {}
 
+    def root(x):
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
+    for batch in batches:
+        for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist()):
+            ra, rb = root(above.setdefault(a, a) and a), root(above.setdefault(b, b) and b)
+            if ra != rb:
+                above[ra] = rb
+    ids = list(above)
+    for at in range(0, len(ids), 50_000):
+        some = ids[at : at + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some, kind), pa.array([root(x) for x in some], kind)], ["id", "root"])
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", rest: int = REST) -> DataFrame:
     """Return ``(id, component)`` for every id that occurs in an edge.
 
     ``component`` is the smallest id reachable. Edges are undirected; self-edges,
     repeats and rows with a null end are ignored (a null end names no vertex).
 
-    Each round sends every vertex the smallest label of its neighbours and then
-    replaces each label by that label's own label, so the number of rounds grows
-    with the logarithm of a component's diameter in practice. Labels and edges
-    are read from files, so both sides of each join come straight from an
-    exchange and AQE can split the rows of a hub; the minima combine map-side.
+    Each round sends every vertex to whichever of itself and its neighbours has
+    the smallest hash, with new hashes each round, and renames the ends of all
+    edges so. At least half of a path's vertices are gone after a round, whatever
+    the order of its ids, so the rounds grow with the logarithm of a component's
+    diameter and each is smaller than the last. Once ``rest`` edges are left, one
+    task solves them; then the rounds' maps are followed backwards. Tables are
+    read from files, so both sides of each join come straight from an exchange
+    and AQE can split the rows of a hub; the minima combine map-side.
     """
     spark = edges.sparkSession
-    pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    # Written before both directions are taken: an input that is not the same each time it is computed would give two halves that do not match.
-    pair_path, edge_path = new_path(spark, "pairs"), new_path(spark, "edges")
-    pairs.write.parquet(pair_path)
-    pairs = spark.read.parquet(pair_path)
-    pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().write.parquet(edge_path)
-    discard(spark, pair_path)
-    adjacency = spark.read.parquet(edge_path)
-
-    label_path = new_path(spark, "labels")
-    adjacency.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component")).select("id", "component").write.parquet(label_path)
-    for _ in range(max_rounds):
-        labels = spark.read.parquet(label_path)
-        heard = (
-            adjacency.join(labels.select(F.col("id").alias("b"), F.col("component").alias("seen")), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("seen").alias("seen"))
-        )
-        step_path = new_path(spark, "labels")
-        labels.join(heard, "id").select("id", F.least("component", "seen").alias("component"), F.col("component").alias("was")).write.parquet(step_path)
-        step = spark.read.parquet(step_path)
-        roots = step.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        next_path = new_path(spark, "labels")
-        step.join(roots, "component").select("id", F.col("root").alias("component"), (F.col("root") < F.col("was")).alias("moved")).write.parquet(next_path)
-        discard(spark, step_path)
-        discard(spark, label_path)
-        label_path = next_path
-        if spark.read.parquet(label_path).where("moved").limit(1).count() == 0:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    discard(spark, edge_path)
-    return spark.read.parquet(label_path).select("id", "component")
+    scratch = Scratch(spark)
+
+    def plain(a, b, rows: DataFrame) -> DataFrame:
+        ends = rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.isnull(a).alias("x"), F.isnull(b).alias("y"))
+        return ends.where("NOT x AND NOT y AND a <> b").select("a", "b").distinct()
+
+    # Written before it is read twice: an input that is not the same each time it is computed would give halves that do not match.
+    left = scratch.keep(plain(F.col(src), F.col(dst), edges), "edges")
+    kind = left.schema["a"].dataType
+    maps: list[DataFrame] = []
+    while left.count() > rest:
+        seed = F.lit(len(maps))
+        ranked = lambda c: F.struct(F.xxhash64(c, seed).alias("h"), F.col(c).alias("v"))
+        both = left.select(F.col("a").alias("id"), ranked("b").alias("near")).union(left.select(F.col("b").alias("id"), ranked("a").alias("near")))
+        parents = both.groupBy("id").agg(F.min("near").alias("near")).select("id", F.least("near", ranked("id"))["v"].alias("parent"))
+        parents = scratch.keep(parents, "parents")
+        end = lambda c: parents.select(F.col("id").alias(c), F.col("parent").alias(f"p{c}"))
+        left = scratch.keep(plain(F.col("pa"), F.col("pb"), left.join(end("a"), "a").join(end("b"), "b")), "edges")
+        maps.append(parents)
+    arrow = to_arrow_type(kind)
+    schema = T.StructType([T.StructField("id", kind), T.StructField("root", kind)])
+    found = scratch.keep(left.repartition(1).mapInArrow(lambda it: _solve(it, arrow), schema), "roots")
+    for parents in reversed(maps):
+        known = found.select(F.col("id").alias("parent"), "root")
+        found = scratch.keep(parents.join(known, "parent", "left").select("id", F.coalesce("root", "parent").alias("root")), "roots")
+    smallest = found.groupBy("root").agg(F.min("id").alias("component"))
+    out = materialize(found.join(smallest, "root").select("id", "component"), "components")
+    scratch.close()
+    return out
