@@ -441,3 +441,20 @@ def test_scrape(spark):
     changed = spark.createDataFrame([("https://x/b", "2024-06-01")], "loc string, lastmod string")
     assert {r["name"] for r in scrape(pages, listings, html_pages.BLOG, known, changed).collect()} == {"b", "c"}
     assert {r["name"] for r in scrape(pages, listings, html_pages.BLOG, per_listing=1).collect()} == {"a", "b"}
+
+
+def test_reports_of_the_derived_graph_list_no_prerequisites(spark, monkeypatch):
+    rows = [flat(f"e{k}", f"Name {k}", mechanics=["m", "n"][: 1 + k % 2], difficulty="beginner") for k in range(1, 9)]
+    listed = graph.derive_graph(catalogue(spark, *rows), vocab(spark))
+    assert listed.edges.where("type = 'buildsOn'").select("src", "dst").distinct().count() == 16
+    assert listed.meta.first()["e_buildsOn"] == 16
+
+    def refuse(*_):
+        raise AssertionError("prerequisites were listed")
+
+    monkeypatch.setattr(graph, "builds_on", refuse)
+    g = graph.derive_graph(catalogue(spark, *rows), vocab(spark))
+    meta = g.meta.first()
+    assert (meta["e_buildsOn"], meta["edgeCount"]) == (16, listed.edges.count())
+    assert g.nodes.where("type = 'Element'").count() == 8
+    assert review.cluster_review(g.edges_of("canonicalOf", "translationOf")).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +37,6 @@ EDGE_TYPES = ("hasMechanic", "trainsSkill", "hasTag", "sourcedFrom", "translatio
 TERM_EDGES = (("mechanics", "hasMechanic", "mechanic", "Mechanic"), ("skills", "trainsSkill", "skill", "Skill"), ("tags", "hasTag", "tag", "Tag"))
 
 
-@dataclass
-class Graph:
-    nodes: DataFrame
-    elements: DataFrame
-    edges: DataFrame
-    meta: DataFrame
-
-
 def requirement_rules(spark: SparkSession, rules=REQUIREMENT_RULES) -> DataFrame:
     return spark.createDataFrame([(r, k, t.lower()) for r, k, t in rules], "requirement string, kind string, term string")
 
@@ -90,19 +82,42 @@ def set_containment(sets: DataFrame) -> DataFrame:
     return probe.join(build, ["grp", "item"]).where((F.size("ib") > F.size("ia")) & (F.size(F.array_except("ia", "ib")) == 0)).select("grp", "a", "b")
 
 
+def _prerequisites(elements: DataFrame, has_mechanic: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Prerequisites of classes, and their members ``(id, class)``.
+
+    Elements of one source with equal mechanics, label, difficulty and minutes are
+    one class; classes come in pairs ``(a, b, na, nb)`` with their sizes. Mechanics
+    are compared once for each pair of distinct sets.
+    """
+    rows = elements.select("id", F.col("source").alias("grp"), "label", difficulty_rank(F.col("difficulty")).alias("rank"), F.coalesce("minutes", F.lit(0)).alias("minutes"))
+    lists = has_mechanic.where("dst IS NOT NULL").select(F.col("src").alias("id"), "dst").distinct().groupBy("id").agg(F.array_sort(F.collect_list("dst")).alias("items"))
+    named = lambda *c: F.md5(F.to_json(F.struct(*c)))
+    each = rows.where("grp IS NOT NULL AND label IS NOT NULL").join(lists, "id").withColumn("set", named("grp", "items")).withColumn("class", named("set", "label", "rank", "minutes"))
+    each = materialize(each.select("id", "set", "class", "grp", "items", "label", "rank", "minutes"), "mechanic-sets")
+    sets = materialize(each.groupBy("set").agg(F.any_value("grp").alias("grp"), F.any_value("items").alias("items")), "sets")
+    contained = set_containment(sets.select("grp", F.col("set").alias("id"), F.explode("items").alias("item")))
+    classes = materialize(each.groupBy("class", "set", "label", "rank", "minutes").agg(F.count("*").alias("n")), "classes")
+    small = classes.select(F.col("set").alias("a"), F.col("class").alias("ca"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("rank").alias("ra"), F.col("minutes").alias("ma"))
+    large = classes.select(F.col("set").alias("b"), F.col("class").alias("cb"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("rank").alias("rb"), F.col("minutes").alias("mb"))
+    fits = (F.col("ra") <= F.col("rb")) & ((F.col("ma") <= 0) | (F.col("mb") <= 0) | (F.col("ma") <= F.col("mb"))) & (F.col("la") != F.col("lb"))
+    pairs = contained.select("a", "b").join(small, "a").join(large, "b").where(fits).select(F.col("ca").alias("a"), F.col("cb").alias("b"), "na", "nb")
+    return pairs, each.select("id", "class")
+
+
 def builds_on(elements: DataFrame, has_mechanic: DataFrame) -> DataFrame:
     """buildsOn edges (src builds on dst) among one source's elements.
 
     dst's mechanics are a proper subset of src's, its difficulty is no higher, its
     minutes are no more where both are known, and the labels differ.
     """
-    rows = elements.select("id", "source", "label", difficulty_rank(F.col("difficulty")).alias("rank"), F.coalesce("minutes", F.lit(0)).alias("minutes"))
-    sets = has_mechanic.select(F.col("src").alias("id"), F.col("dst").alias("item")).distinct().join(rows.select("id", F.col("source").alias("grp")), "id")
-    pairs = set_containment(sets)
-    small = rows.select(F.col("id").alias("a"), F.col("label").alias("la"), F.col("rank").alias("ra"), F.col("minutes").alias("ma"))
-    large = rows.select(F.col("id").alias("b"), F.col("label").alias("lb"), F.col("rank").alias("rb"), F.col("minutes").alias("mb"))
-    fits = (F.col("ra") <= F.col("rb")) & ((F.col("ma") <= 0) | (F.col("mb") <= 0) | (F.col("ma") <= F.col("mb"))) & (F.col("la") != F.col("lb"))
-    return pairs.join(small, "a").join(large, "b").where(fits).select(F.lit("buildsOn").alias("type"), F.col("b").alias("src"), F.col("a").alias("dst"))
+    pairs, members = _prerequisites(elements, has_mechanic)
+    of = lambda end, name: members.select(F.col("class").alias(end), F.col("id").alias(name))
+    return materialize(pairs, "prerequisites").join(of("a", "dst"), "a").join(of("b", "src"), "b").select(F.lit("buildsOn").alias("type"), "src", "dst")
+
+
+def builds_on_count(elements: DataFrame, has_mechanic: DataFrame) -> DataFrame:
+    """One row with the number of buildsOn edges, ``n``, without listing them."""
+    return _prerequisites(elements, has_mechanic)[0].agg(F.coalesce(F.sum(F.col("na") * F.col("nb")), F.lit(0)).alias("n"))
 
 
 def derived_variations(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -155,57 +170,113 @@ def flatten_normalized(elements: DataFrame) -> DataFrame:
     )
 
 
+class Graph:
+    """The whole derivation over flat elements (see ``flatten_normalized``). What is not asked for is not derived."""
+
+    def __init__(self, elements: DataFrame, vocabulary: DataFrame, overrides: DataFrame | None = None):
+        self.spark, self._vocabulary, self._overrides = elements.sparkSession, vocabulary, overrides
+        self._rows = elements = materialize(elements, "elements")
+        matches = elements.select(F.col("id").alias("a"), F.explode("related").alias("r")).select("a", F.col("r.identifier").alias("b"), F.col("r.confidence").alias("confidence"))
+        self._hashes = elements.select("id", "content_hash")
+        if overrides is not None:
+            matches = symmetric(apply_match_overrides(matches, overrides, self._hashes))
+        self._links = materialize(clusters.cluster_links(elements, matches), "links")
+        self._member = materialize(clusters.one_per_source(elements, clusters.members(elements, self._links), self._links), "members")
+        self._canonicals = materialize(clusters.merge_canonicals(elements, self._member), "canonicals")
+
+    @cached_property
+    def _wide(self) -> DataFrame:
+        """Elements and canonicals."""
+        shown = ["id", "label", "lang", "difficulty", "minutes", "energy", "pmin", "pmax", "gmin", "gmax", "summary", "description", "steps", "mechanics", "skills", "tags"]
+        later = F.lit(1 << 48) + F.col("ord")
+        return self._rows.select(*shown, "source", F.lit(False).alias("canonical"), "ord").unionByName(self._canonicals.select(*shown, F.lit(None).cast("string").alias("source"), "canonical", later.alias("ord")))
+
+    @cached_property
+    def elements(self) -> DataFrame:
+        variations, _ = derived_variations(self._rows)
+        return self._wide.unionByName(variations.select("id", "label", "lang", "description", F.lit(False).alias("canonical"), "ord"), allowMissingColumns=True)
+
+    @cached_property
+    def _terms(self) -> DataFrame:
+        parts = [self._wide.select("id", "ord", F.lit(column).alias("kind"), F.posexplode(column).alias("i", "term")) for column, *_ in TERM_EDGES]
+        return materialize(resolve_terms(parts[0].unionByName(parts[1]).unionByName(parts[2]), term_map(self._vocabulary)).withColumn("ord", F.col("ord") * 1024 + F.col("i")), "terms")
+
+    @cached_property
+    def _needed(self) -> DataFrame:
+        kinds = F.when(F.col("kind") == "mechanics", "mechanic").when(F.col("kind") == "tags", "tag")
+        return requirements(self._terms.where("kind <> 'skills'").select("id", kinds.alias("kind"), "term"), requirement_rules(self.spark)).join(self._wide.select("id", "ord"), "id")
+
+    @cached_property
+    def _has_mechanic(self) -> DataFrame:
+        """Of elements alone, not of canonicals."""
+        found = self._terms.where("kind = 'mechanics'").select(F.col("id").alias("src"), node_id("mechanic", F.col("term")).alias("dst"))
+        return found.join(self._rows.select(F.col("id").alias("src")), "src", "left_semi")
+
+    @cached_property
+    def _ids_differ(self) -> bool:
+        return self._rows.groupBy("id").count().where("count > 1").limit(1).count() == 0
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        elements, terms = self._rows, self._terms
+        found = self.elements.select("id", F.lit("Element").alias("type"), "label", "ord")
+        found = found.unionByName(elements.where("source IS NOT NULL").select(node_id("source", F.col("source")).alias("id"), F.lit("Source").alias("type"), F.col("source").alias("label"), "ord"))
+        for column, _, prefix, node_type in TERM_EDGES:
+            found = found.unionByName(terms.where(F.col("kind") == column).select(node_id(prefix, F.col("term")).alias("id"), F.lit(node_type).alias("type"), F.col("term").alias("label"), "ord"))
+        found = found.unionByName(self._needed.select(node_id("requirement", F.col("requirement")).alias("id"), F.lit("Requirement").alias("type"), F.col("requirement").alias("label"), "ord"))
+        return materialize(first_of_each(found, ["id"]), "nodes")
+
+    def _listed(self, types: tuple[str, ...]) -> DataFrame:
+        """Edges of some types but buildsOn, the first of each key."""
+        elements, none = self._rows, F.lit(None).cast("double").alias("confidence")
+        links = elements.select("id", "ord", F.explode(F.array("link_en", "link_de")).alias("dst")).where("dst IS NOT NULL")
+        makers = [
+            ("sourcedFrom", lambda: elements.select(F.lit("sourcedFrom").alias("type"), F.col("id").alias("src"), node_id("source", F.col("source")).alias("dst"), none, "ord")),
+            ("variationOf", lambda: derived_variations(elements)[1]),
+            ("canonicalOf", lambda: clusters.canonical_edges(elements, self._member, self._links, self._canonicals)),
+            ("translationOf", lambda: clusters.canonical_translations(self._canonicals)),
+            ("translationOf", lambda: links.select(F.lit("translationOf").alias("type"), F.col("id").alias("src"), "dst", F.lit(1.0).alias("confidence"), "ord")),
+            ("requires", lambda: self._needed.select(F.lit("requires").alias("type"), F.col("id").alias("src"), node_id("requirement", F.col("requirement")).alias("dst"), none, "ord")),
+        ]
+        for column, edge_type, prefix, _ in TERM_EDGES:
+            makers.append((edge_type, lambda column=column, edge_type=edge_type, prefix=prefix: self._terms.where(F.col("kind") == column).select(F.lit(edge_type).alias("type"), F.col("id").alias("src"), node_id(prefix, F.col("term")).alias("dst"), none, "ord")))
+        parts = [make() for edge_type, make in makers if edge_type in types]
+        found = parts[0]
+        for more in parts[1:]:
+            found = found.unionByName(more)
+        return first_of_each(found, ["type", "src", "dst"])
+
+    @cached_property
+    def _plain(self) -> DataFrame:
+        return materialize(self._listed(EDGE_TYPES), "edges")
+
+    @cached_property
+    def _derived(self) -> DataFrame:
+        """All edges before overrides. Pairs of elements with different ids are listed once, so buildsOn needs no aggregate."""
+        found = builds_on(self._rows, self._has_mechanic)
+        found = (found if self._ids_differ else found.distinct()).select("type", "src", "dst", F.lit(None).cast("double").alias("confidence"), F.lit(1 << 49).alias("ord"))
+        return self._plain.unionByName(found)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        return self._derived if self._overrides is None else materialize(override_edges(self._derived, self._overrides, self._hashes), "edges")
+
+    def edges_of(self, *types: str) -> DataFrame:
+        """Edges of some types, of which buildsOn is none; without overrides the others are not derived."""
+        return self.edges.where(F.col("type").isin(*types)) if self._overrides is not None else self._listed(types)
+
+    @cached_property
+    def meta(self) -> DataFrame:
+        if self._overrides is None and self._ids_differ:
+            counted = builds_on_count(self._rows, self._has_mechanic).select(F.col("n").alias("more"))
+            found = graph_meta(self.nodes, self._plain).join(F.broadcast(counted))
+            return found.withColumns({"edgeCount": F.col("edgeCount") + F.col("more"), "e_buildsOn": F.col("e_buildsOn") + F.col("more")}).drop("more")
+        found = graph_meta(self.nodes, self._derived)
+        if self._overrides is None:
+            return found
+        return found.drop("edgeCount").join(F.broadcast(self.edges.agg(F.count("*").alias("edgeCount"))))
+
+
 def derive_graph(elements: DataFrame, vocabulary: DataFrame, overrides: DataFrame | None = None) -> Graph:
     """The whole derivation over flat elements (see ``flatten_normalized``)."""
-    spark = elements.sparkSession
-    elements = materialize(elements, "elements")
-    matches = elements.select(F.col("id").alias("a"), F.explode("related").alias("r")).select("a", F.col("r.identifier").alias("b"), F.col("r.confidence").alias("confidence"))
-    hashes = elements.select("id", "content_hash")
-    if overrides is not None:
-        matches = symmetric(apply_match_overrides(matches, overrides, hashes))
-    links = materialize(clusters.cluster_links(elements, matches), "links")
-    member = materialize(clusters.one_per_source(elements, clusters.members(elements, links), links), "members")
-    canonicals = materialize(clusters.merge_canonicals(elements, member), "canonicals")
-    variation_nodes, variation_edges = derived_variations(elements)
-
-    shown = ["id", "label", "lang", "difficulty", "minutes", "energy", "pmin", "pmax", "gmin", "gmax", "summary", "description", "steps", "mechanics", "skills", "tags"]
-    later = F.lit(1 << 48) + F.col("ord")
-    wide = elements.select(*shown, "source", F.lit(False).alias("canonical"), "ord").unionByName(canonicals.select(*shown, F.lit(None).cast("string").alias("source"), "canonical", later.alias("ord")))
-    element_nodes = wide.unionByName(variation_nodes.select("id", "label", "lang", "description", F.lit(False).alias("canonical"), "ord"), allowMissingColumns=True)
-
-    mapping = term_map(vocabulary)
-    parts = [wide.select("id", "ord", F.lit(column).alias("kind"), F.posexplode(column).alias("i", "term")) for column, *_ in TERM_EDGES]
-    terms = materialize(resolve_terms(parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("kind", F.col("kind")), mapping).withColumn("ord", F.col("ord") * 1024 + F.col("i")), "terms")
-    nodes = [element_nodes.select("id", F.lit("Element").alias("type"), "label", "ord")]
-    edges = [
-        elements.select(F.lit("sourcedFrom").alias("type"), F.col("id").alias("src"), node_id("source", F.col("source")).alias("dst"), F.lit(None).cast("double").alias("confidence"), "ord"),
-        variation_edges,
-        clusters.canonical_edges(elements, member, links, canonicals),
-        clusters.canonical_translations(canonicals),
-        elements.select("id", "ord", F.explode(F.array("link_en", "link_de")).alias("dst")).where("dst IS NOT NULL").select(F.lit("translationOf").alias("type"), F.col("id").alias("src"), "dst", F.lit(1.0).alias("confidence"), "ord"),
-    ]
-    nodes.append(elements.where("source IS NOT NULL").select(node_id("source", F.col("source")).alias("id"), F.lit("Source").alias("type"), F.col("source").alias("label"), "ord"))
-    for column, edge_type, prefix, node_type in TERM_EDGES:
-        own = terms.where(F.col("kind") == column)
-        nodes.append(own.select(node_id(prefix, F.col("term")).alias("id"), F.lit(node_type).alias("type"), F.col("term").alias("label"), "ord"))
-        edges.append(own.select(F.lit(edge_type).alias("type"), F.col("id").alias("src"), node_id(prefix, F.col("term")).alias("dst"), F.lit(None).cast("double").alias("confidence"), "ord"))
-    kinds = F.when(F.col("kind") == "mechanics", "mechanic").when(F.col("kind") == "tags", "tag")
-    needed = requirements(terms.where("kind <> 'skills'").select("id", kinds.alias("kind"), "term"), requirement_rules(spark)).join(wide.select("id", "ord"), "id")
-    nodes.append(needed.select(node_id("requirement", F.col("requirement")).alias("id"), F.lit("Requirement").alias("type"), F.col("requirement").alias("label"), "ord"))
-    edges.append(needed.select(F.lit("requires").alias("type"), F.col("id").alias("src"), node_id("requirement", F.col("requirement")).alias("dst"), F.lit(None).cast("double").alias("confidence"), "ord"))
-    has_mechanic = terms.where("kind = 'mechanics'").select(F.col("id").alias("src"), node_id("mechanic", F.col("term")).alias("dst"))
-    prerequisites = builds_on(elements, has_mechanic.join(elements.select(F.col("id").alias("src")), "src", "left_semi"))
-    edges.append(prerequisites.select("type", "src", "dst", F.lit(None).cast("double").alias("confidence"), F.lit(1 << 49).alias("ord")))
-
-    all_nodes, all_edges = nodes[0], edges[0]
-    for more in nodes[1:]:
-        all_nodes = all_nodes.unionByName(more)
-    for more in edges[1:]:
-        all_edges = all_edges.unionByName(more)
-    all_nodes = materialize(first_of_each(all_nodes, ["id"]), "nodes")
-    all_edges = materialize(first_of_each(all_edges, ["type", "src", "dst"]), "edges")
-    meta = graph_meta(all_nodes, all_edges)
-    if overrides is not None:
-        all_edges = materialize(override_edges(all_edges, overrides, hashes), "edges")
-        meta = meta.drop("edgeCount").join(F.broadcast(all_edges.agg(F.count("*").alias("edgeCount"))))
-    return Graph(all_nodes, element_nodes, all_edges, meta)
+    return Graph(elements, vocabulary, overrides)
