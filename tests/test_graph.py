@@ -458,3 +458,10 @@ def test_reports_of_the_derived_graph_list_no_prerequisites(spark, monkeypatch):
     assert (meta["e_buildsOn"], meta["edgeCount"]) == (16, listed.edges.count())
     assert g.nodes.where("type = 'Element'").count() == 8
     assert review.cluster_review(g.edges_of("canonicalOf", "translationOf")).count() == 0
+
+
+def test_batches_are_dealt_out(spark):
+    rows = catalogue(spark, *(flat(f"e{i}", f"Name {i}", "abc"[i % 3]) for i in range(24)))
+    found = match.match_batches(rows, 2)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, found.collect())) == sorted((s, i, t, j) for s, t in ("ab", "ac", "bc") for i in range(4) for j in range(4))
