@@ -465,3 +465,21 @@ def test_batches_are_dealt_out(spark):
     found = match.match_batches(rows, 2)
     assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert sorted(map(tuple, found.collect())) == sorted((s, i, t, j) for s, t in ("ab", "ac", "bc") for i in range(4) for j in range(4))
+
+
+def test_blocks_meet_in_cells_and_come_in_small_batches(spark, monkeypatch):
+    import pandas as pd
+
+    rows = catalogue(spark, *(flat(f"e{i}", "Long name " * 50 + str(i // 2), "ab"[i % 2]) for i in range(4000)))
+    monkeypatch.setattr(match, "CELL", 7)
+    monkeypatch.setattr(match, "BATCH_BYTES", "200k")
+
+    def matcher(batches):
+        for pdf in batches:
+            pairs = [(x["id"], y["id"], 0.9) for a, b in zip(pdf["names_a"], pdf["names_b"]) for x in a for y in b if x["label"] == y["label"]]
+            yield pd.DataFrame([*pairs, ("shown", str(len(pdf)), 0.9)], columns=["a", "b", "confidence"])
+
+    found = [(r["a"], r["b"]) for r in match.block_matches(rows, matcher, size=100).collect()]
+    shown = [int(b) for a, b in found if a == "shown"]
+    assert sorted(x for x in found if x[0] != "shown") == sorted((f"e{i}", f"e{i + 1}") for i in range(0, 4000, 2))
+    assert sum(shown) == 400 and max(shown) <= 4
