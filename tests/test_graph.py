@@ -483,3 +483,22 @@ def test_blocks_meet_in_cells_and_come_in_small_batches(spark, monkeypatch):
     shown = [int(b) for a, b in found if a == "shown"]
     assert sorted(x for x in found if x[0] != "shown") == sorted((f"e{i}", f"e{i + 1}") for i in range(0, 4000, 2))
     assert sum(shown) == 400 and max(shown) <= 4
+
+
+def test_matches_compare_lists_once_a_pair(spark):
+    import random
+
+    rng = random.Random(5)
+    lists = [None, [], ["m"], ["M", "m"], ["m", "n"], ["m", None], ["m", "n", "o"], ["N", "o"], ["m", "n", "o", "p", "q"]]
+    labels = ["Story Circle", "Story Circle Game", "story circel", "Circle", "Story Time", "The Story Circle", "Circle Dance " * 4]
+    rows = catalogue(spark, *(flat(f"e{k}", rng.choice(labels), rng.choice("abc"), mechanics=rng.choice(lists), skills=rng.choice(lists)) for k in range(150)))
+    e = rows.select("id", "label", "source", "mechanics", "skills")
+    side = lambda s: e.select(*(F.col(c).alias(f"{c}_{s}") for c in e.columns))
+    score = match.match_score(*(F.col(f"{c}_{s}") for c in ("label", "mechanics", "skills") for s in "ab"))
+    shares = F.arrays_overlap(X.name_tokens(F.col("label_a")), X.name_tokens(F.col("label_b")))
+    every = side("a").join(side("b"), (F.col("source_a") < F.col("source_b")) & shares).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), score.alias("c"))
+    for least in (0.65, 0.85):
+        found = match.deterministic_matches(rows, least=least)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, every.where(F.col("c") >= least).collect()))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("array_intersect") == 2 and "Generate" in plan
