@@ -499,3 +499,14 @@ def test_fisher_yates():
 
 def test_shards_empty(empty):
     assert shuffle_shards.external_shuffle(empty).count() == 0
+
+
+def test_repeats_leave_only_their_spans_on_disk(spark):
+    from weftgraph.llm.suffix_spans import remove_repeats
+    from weftgraph.plans import lineage
+
+    shared, before = "abcdefghij" * 30, set(lineage._written)
+    docs = spark.createDataFrame([(1, "one " + shared), (2, "two " + shared), (3, "short")], "doc_id long, text string")
+    found = remove_repeats(docs)
+    assert [p.rsplit("/", 1)[1].split("-")[1] for p in lineage._written if p not in before] == ["spans"]
+    assert {r["doc_id"]: len(r["removed_spans"]) for r in found.collect()} == {1: 1, 2: 1, 3: 0}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.lineage import materialize
+from ..plans.lineage import Scratch
 from .common import extended, map_batches, table, text_bytes, unused
 
 LEAST = 200
@@ -223,7 +223,7 @@ def _index(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
         yield solve(held)
 
 
-def _refined(parts: DataFrame, least: int, step: int = 16) -> tuple[DataFrame, DataFrame]:
+def _refined(parts: DataFrame, least: int, scratch: Scratch, step: int = 16) -> tuple[DataFrame, DataFrame]:
     """Finer groups for anchors with very many contents: (rows for the index, spans already decided).
 
     Strings of one anchor are dealt by their distance to it, in steps; those of a
@@ -237,32 +237,36 @@ def _refined(parts: DataFrame, least: int, step: int = 16) -> tuple[DataFrame, D
     rows = parts.withColumn("k", k).withColumn("far", F.least(far, F.col("k") * step + (step - 1))).withColumn("near", F.greatest(near, F.col("k") * step))
     core = F.substring("content", (F.col("place") - F.col("k") * step + 1).cast("int"), F.lit(least - step + 1))
     cut = F.substring("content", (F.col("place") - F.col("far") + 1).cast("int"), (F.col("far") - F.col("near") + least).cast("int"))
-    rows = materialize(rows.select(F.xxhash64("anchor", "k", core).alias("anchor"), "n", "print", (F.col("first") + F.col("place") - F.col("far")).alias("first"), F.col("far").alias("place"), cut.alias("content")), "refined")
-    kinds = materialize(rows.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "place")).alias("one")), "refined-kinds")
+    rows = scratch.keep(rows.select(F.xxhash64("anchor", "k", core).alias("anchor"), "n", "print", (F.col("first") + F.col("place") - F.col("far")).alias("first"), F.col("far").alias("place"), cut.alias("content")), "refined")
+    kinds = scratch.keep(rows.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "place")).alias("one")), "refined-kinds")
     again = rows.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"]).select("print", "first", (F.col("first") + F.octet_length("content")).alias("last"))
     return kinds.select("anchor", F.least("n", F.lit(2)).alias("n"), "one.print", "one.first", "one.place", "content"), again
 
 
-def _split_hot(parts: DataFrame, least: int, most_contents: int) -> tuple[DataFrame, DataFrame]:
+def _split_hot(parts: DataFrame, least: int, most_contents: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Rows of hot anchors dealt out until no group has very many contents: (rows for the index, spans already decided).
 
     First in steps, which share the index's work; groups that are still hot, such
     as the edges of a passage that very many texts share, string by string: then
     equal strings are one row with a count, and nothing is left to index.
     """
-    finer, again = _refined(parts, least)
+    finer, again = _refined(parts, least, scratch)
     sizes = finer.groupBy("anchor").agg(F.count("*").alias("contents")).where(F.col("contents") > most_contents).select("anchor")
-    hot = materialize(sizes, "hot-groups")
+    hot = scratch.keep(sizes, "hot-groups")
     if hot.limit(1).count():
-        _, more = _refined(finer.join(hot, "anchor", "left_semi"), least, 1)
+        _, more = _refined(finer.join(hot, "anchor", "left_semi"), least, scratch, 1)
         again = again.unionByName(more)
         finer = finer.join(hot, "anchor", "left_anti")
     return finer.select("anchor", "n", "print", "first", "content"), again
 
 
-def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAST, most_contents: int = MOST_CONTENTS) -> DataFrame:
-    """``(print, spans)``: for the MD5 of each text with repeats, byte ranges [first, last), sorted but not merged."""
+def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAST, most_contents: int = MOST_CONTENTS, scratch: Scratch | None = None) -> DataFrame:
+    """``(print, spans)``: for the MD5 of each text with repeats, byte ranges [first, last), sorted but not merged.
+
+    What is written on the way is in ``scratch``, for the caller to delete once the result is read.
+    """
     spark = docs.sparkSession
+    scratch = scratch or Scratch(spark)
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(text.alias("text")).where(F.octet_length("text") >= least)
 
@@ -285,28 +289,30 @@ def repeated_spans(docs: DataFrame, text_column: str = "text", least: int = LEAS
 
     cuts = map_batches(rows, cut, "anchor long, content long, first long, last long, place long, print binary")
     # Copies of a text share its print, so they are one row with a count from here on.
-    cuts = materialize(cuts.groupBy("anchor", "content", "print", "first", "last", "place").agg(F.count("*").alias("n")), "cuts")
+    early = Scratch(spark)
+    cuts = early.keep(cuts.groupBy("anchor", "content", "print", "first", "last", "place").agg(F.count("*").alias("n")), "cuts")
     anchors = cuts.groupBy("anchor").agg(F.sum("n").alias("met"), (F.min("content") != F.max("content")).alias("mixed")).where("met > 1")
     # A content that very many texts share is joined in parts, by the number of times its anchor was met.
     shares = F.ceil(F.col("met") / F.lit(most_contents)).cast("int").alias("shares")
-    met = materialize(cuts.join(materialize(anchors.select("anchor", "mixed", shares), "anchors"), "anchor").withColumn("share", F.pmod(F.xxhash64("print", "first"), F.col("shares")).cast("int")), "met")
+    met = scratch.keep(cuts.join(early.keep(anchors.select("anchor", "mixed", shares), "anchors"), "anchor").withColumn("share", F.pmod(F.xxhash64("print", "first"), F.col("shares")).cast("int")), "met")
+    early.close()  # most segments are met once
     kinds = met.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("print", "first", "last", "place")).alias("one"), F.max("mixed").alias("mixed"), F.max("shares").alias("shares"))
-    kinds = materialize(kinds, "kinds")
+    kinds = scratch.keep(kinds, "kinds")
     repeated = kinds.where("n > 1").select("anchor", "content", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
     whole = met.join(repeated, ["anchor", "content", "share"]).select("print", "first", (F.col("last") + least).alias("last"))
     # Anchors all of whose contents are met twice have nothing left to find.
     open_anchors = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("fewest"), F.count("*").alias("contents")).where("fewest = 1").select("anchor", "contents")
-    open_anchors = materialize(open_anchors, "open-anchors")
+    open_anchors = scratch.keep(open_anchors, "open-anchors")
     asked = kinds.join(open_anchors, "anchor").select(F.col("one.print").alias("print"), F.struct("anchor", F.least("n", F.lit(2)).alias("n"), F.col("one.first").alias("first"), F.col("one.last").alias("last"), F.col("one.place").alias("place"), (F.col("contents") > most_contents).alias("hot")).alias("want"))
-    wants = materialize(asked.groupBy("print").agg(F.collect_list("want").alias("wants")), "wants")
+    wants = scratch.keep(asked.groupBy("print").agg(F.collect_list("want").alias("wants")), "wants")
     prints = rows.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("print"), F.col("text").cast("binary").alias("raw"))
     # One text for each print: copies would only repeat its segments.
     texts = prints.join(wants, "print").dropDuplicates(["print"])
     content = F.transform("wants", lambda w: F.struct(w["anchor"].alias("anchor"), w["n"].alias("n"), w["first"].alias("first"), w["place"].alias("place"), w["hot"].alias("hot"), F.substring(F.col("raw"), (w["first"] + 1).cast("int"), (w["last"] - w["first"] + least).cast("int")).alias("content")))
     parts = texts.select("print", F.explode(content).alias("w")).select("w.anchor", "w.n", "print", "w.first", "w.content", "w.place", "w.hot")
     if open_anchors.where(F.col("contents") > most_contents).limit(1).count():
-        parts = materialize(parts, "parts")
-        finer, again = _split_hot(parts.where("hot"), least, most_contents)
+        parts = scratch.keep(parts, "parts")
+        finer, again = _split_hot(parts.where("hot"), least, most_contents, scratch)
         whole = whole.unionByName(again)
         parts = parts.where("NOT hot").select(finer.columns).unionByName(finer)
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -326,7 +332,9 @@ def remove_repeats(docs: DataFrame, text_column: str = "text", least: int = LEAS
     these names are replaced, all others stay.
     """
     docs = docs.drop("removed_spans", "kept")
-    spans = materialize(repeated_spans(docs, text_column, least, most_contents), "spans")
+    scratch, found = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    spans = found.keep(repeated_spans(docs, text_column, least, most_contents, scratch), "spans")
+    scratch.close()  # before texts are shuffled to their spans
     raw = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
     mark, own = unused("print", docs.columns), unused("spans", docs.columns)
     spans = spans.select(F.col("print").alias(mark), F.col("spans").alias(own))
