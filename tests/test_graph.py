@@ -502,3 +502,14 @@ def test_matches_compare_lists_once_a_pair(spark):
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, every.where(F.col("c") >= least).collect()))
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("array_intersect") == 2 and "Generate" in plan
+
+
+def test_members_are_chosen_from_components_as_they_are(spark):
+    rows = catalogue(spark, flat("e1", "A", "a"), flat("e2", "A", "a"), flat("e3", "A", "b"), flat("e4", "B", "a"), flat("e5", "C", "a"), flat("e6", "C", "a"))
+    links = spark.createDataFrame([("e1", "e3", 0.7), ("e2", "e3", 0.9), ("e3", "x", 1.0), ("e4", "y", 1.0), ("e5", "e6", 1.0)], "src string, dst string, confidence double")
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda x: seen.add(1) or x, "string").asNondeterministic()
+    member = connected_components(links).withColumn("id", counted("id"))
+    kept = clusters.one_per_source(rows, member, links)
+    assert {(r["component"], r["id"]) for r in kept.collect()} == {("e1", "e2"), ("e1", "e3")}
+    assert seen.value == 8  # each of the ids once

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import TYPE_SUFFIX, canonical_id, cluster_id, round_half_up
+from ..plans.lineage import materialize
 from .components import connected_components
 
 
@@ -24,8 +25,12 @@ def members(elements: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def one_per_source(elements: DataFrame, member: DataFrame, links: DataFrame) -> DataFrame:
-    """Of each cluster's members of one source and language, that with the highest mean confidence to other groups; the first of equals."""
-    placed = member.join(elements.select("id", "source", "lang", "ord"), "id")
+    """Of each cluster's members of one source and language, that with the highest mean confidence to other groups; the first of equals.
+
+    ``member`` may be the components themselves: ids that are no elements and
+    clusters that keep fewer than two members are left out here.
+    """
+    placed = materialize(member.join(elements.select("id", "source", "lang", "ord"), "id"), "placed")  # read three times
     other = placed.select(F.col("id").alias("dst"), F.col("component").alias("c2"), F.col("source").alias("s2"), F.col("lang").alias("l2"))
     across = placed.join(links, placed["id"] == links["src"]).join(other, "dst").where((F.col("component") == F.col("c2")) & ((F.col("source") != F.col("s2")) | (F.col("lang") != F.col("l2"))))
     score = across.groupBy("id").agg(F.avg("confidence").alias("score"))
