@@ -513,3 +513,13 @@ def test_members_are_chosen_from_components_as_they_are(spark):
     kept = clusters.one_per_source(rows, member, links)
     assert {(r["component"], r["id"]) for r in kept.collect()} == {("e1", "e2"), ("e1", "e3")}
     assert seen.value == 8  # each of the ids once
+
+
+def test_merge_reads_elements_once_for_all_modes(spark, tmp_path):
+    rows = [flat("e1", "A", difficulty="x", energy="high"), flat("e2", "B", difficulty="y", energy=""), flat("e3", "C", difficulty="y"), flat("e4", "D", difficulty="x", energy="low"), flat("e5", "E", lang="de", difficulty="")]
+    catalogue(spark, *rows).write.parquet(str(tmp_path / "elements"))
+    member = spark.createDataFrame([("e1", f"e{k}") for k in range(1, 6)], "component string, id string")
+    merged = clusters.merge_canonicals(spark.read.parquet(str(tmp_path / "elements")), member)
+    assert {r["lang"]: (r["difficulty"], r["energy"]) for r in merged.collect()} == {"en": ("x", "high"), "de": (None, None)}
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.endswith(" parquet") for line in plan.split("\n")) == 2

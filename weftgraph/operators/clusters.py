@@ -49,10 +49,12 @@ def _longest(value: Column) -> Column:
     return F.max_by(value, F.struct(F.length(value), -F.col("ord")))
 
 
-def mode_first_seen(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """The most frequent non-empty value of each group, the first seen of equals."""
-    counted = rows.where(F.nullif(column, F.lit("")).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("n"), F.min("ord").alias("first"))
-    return counted.groupBy(*keys).agg(F.max_by(column, F.struct("n", -F.col("first"))).alias(column))
+def modes_first_seen(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """The most frequent non-empty value of each group in each of some columns of strings, the first seen of equals; ``rows`` is read once."""
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.nullif(c, F.lit("")).alias("value")) for c in columns)))
+    values = rows.select(*keys, "ord", each.alias("x")).select(*keys, "ord", "x.column", "x.value").where("value IS NOT NULL")
+    counted = values.groupBy(*keys, "column", "value").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
+    return counted.groupBy(*keys).agg(*(F.max_by("value", F.when(F.col("column") == c, F.struct("n", -F.col("first")))).alias(c) for c in columns))
 
 
 def merge_canonicals(elements: DataFrame, member: DataFrame) -> DataFrame:
@@ -79,8 +81,7 @@ def merge_canonicals(elements: DataFrame, member: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("ord", "source", "url", "id"))), lambda x: F.struct(x["source"].alias("sourceName"), x["url"].alias("url"), x["id"].alias("identifier"))).alias("sources"),
         F.min("ord").alias("ord"),
     )
-    for column in ("difficulty", "energy"):
-        merged = merged.join(mode_first_seen(rows, keys, column), keys, "left")
+    merged = merged.join(modes_first_seen(rows, keys, ["difficulty", "energy"]), keys, "left")
     return merged.join(ids, "component").withColumn("id", canonical_id(F.col("lang"), F.col("cluster"))).withColumn("canonical", F.lit(True))
 
 
