@@ -85,6 +85,13 @@ def merge_canonicals(elements: DataFrame, member: DataFrame) -> DataFrame:
     return merged.join(ids, "component").withColumn("id", canonical_id(F.col("lang"), F.col("cluster"))).withColumn("canonical", F.lit(True))
 
 
+def canonical_ids(elements: DataFrame, member: DataFrame) -> DataFrame:
+    """``(component, lang, id, ord)`` of the elements that ``merge_canonicals`` makes, for those who need no merged fields."""
+    ids = member.groupBy("component").agg(cluster_id(F.collect_list("id")).alias("cluster"))
+    rows = member.join(elements.select("id", "lang", "ord"), "id").groupBy("component", "lang").agg(F.min("ord").alias("ord"))
+    return rows.join(ids, "component").select("component", "lang", canonical_id(F.col("lang"), F.col("cluster")).alias("id"), "ord")
+
+
 def canonical_edges(elements: DataFrame, member: DataFrame, links: DataFrame, canonicals: DataFrame) -> DataFrame:
     """canonicalOf edges: to the canonical of the member's language, else to the only one there is; with mean confidence inside the cluster."""
     inside = member.join(links, member["id"] == links["src"]).join(member.select(F.col("id").alias("dst"), F.col("component").alias("c2")), "dst").where("component = c2")
