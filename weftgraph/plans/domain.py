@@ -86,6 +86,26 @@ comps AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
 """
 
 
+def equal_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(src, dst)``: links among all elements of one label and length and of different sources, enough to connect whom all of them connect.
+
+    Of a class of one label and length each element is linked to the class's least
+    (source, id), and those of that source to its greatest; with two sources or more
+    that reaches the whole class, as do all its pairs, whose number is its square.
+    """
+    rows = elements(spark, sf_dir).where("label IS NOT NULL AND minutes IS NOT NULL AND source IS NOT NULL").select("id", "label", "minutes", F.struct("source", "id").alias("x"))
+    ends = rows.groupBy("label", "minutes").agg(F.min("x").alias("first"), F.max("x").alias("last")).where("first.source <> last.source")
+    return rows.join(ends, ["label", "minutes"]).select(F.col("id").alias("src"), F.when(F.col("x.source") == F.col("first.source"), F.col("last.id")).otherwise(F.col("first.id")).alias("dst"))
+
+
+#: The components of all pairs of one label and length and of different sources, in both directions.
+EQUAL_SQL = """
+links AS (SELECT x.id AS src, y.id AS dst FROM elements x JOIN elements y ON x.label = y.label AND x.minutes = y.minutes AND x.source <> y.source),
+reach AS (SELECT src AS id, src AS other FROM links UNION SELECT reach.id, l.dst FROM reach JOIN links l ON l.src = reach.other),
+comps AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
+"""
+
+
 #: The rule terms that two mechanics stand for, so that requirements follow from them.
 NAMED_MECHANICS = {"m1": "Audience Voting", "m2": "human props"}
 
