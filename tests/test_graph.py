@@ -523,3 +523,20 @@ def test_merge_reads_elements_once_for_all_modes(spark, tmp_path):
     assert {r["lang"]: (r["difficulty"], r["energy"]) for r in merged.collect()} == {"en": ("x", "high"), "de": (None, None)}
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     assert sum(line.endswith(" parquet") for line in plan.split("\n")) == 2
+
+
+def test_prerequisites_are_written_no_pair_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(graph, "CHUNK", 3)
+    written, keep, put = [], graph.Scratch.keep, graph.materialize
+    monkeypatch.setattr(graph.Scratch, "keep", lambda self, df, tag: written.append(keep(self, df, tag).persist()) or written[-1])
+    monkeypatch.setattr(graph, "materialize", lambda df, tag: written.append(put(df, tag)) or written[-1])
+    rows = [(f"e{k}", f"n{k % 7}", "s" if k % 9 else "t", ("beginner", "advanced", None)[k % 3], (None, 0, 5, 9)[k % 4]) for k in range(60)]
+    sets = {f"e{k}": {f"m{j}" for j in range(5) if (k % 29) >> j & 1} for k in range(60)}
+    elements = spark.createDataFrame(rows, "id string, label string, source string, difficulty string, minutes int")
+    links = spark.createDataFrame([(i, m) for i, s in sets.items() for m in s], "src string, dst string")
+    rank = {"beginner": 0, "advanced": 2, None: 0}
+    fits = lambda a, b: a[2] == b[2] and a[1] != b[1] and rank[a[3]] <= rank[b[3]] and (not a[4] or not b[4] or a[4] <= b[4])
+    expected = sorted((b[0], a[0]) for a in rows for b in rows if sets[a[0]] and sets[a[0]] < sets[b[0]] and fits(a, b))
+    found = sorted((r.src, r.dst) for r in graph.builds_on(elements, links).collect())
+    assert found == expected and len(expected) > 2 * len(rows)
+    assert sum(len(r.members) for r in written[-1].collect()) == sum(map(bool, sets.values())) and all(t.count() <= len(rows) for t in written)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import derived_id, difficulty_rank, node_id
-from ..plans.lineage import materialize
+from ..plans.lineage import Scratch, materialize
 from . import clusters
 from .match import apply_match_overrides, symmetric
 
@@ -34,6 +34,8 @@ REQUIREMENT_RULES = (
     ("audience_on_stage", "tag", "Zuschauer auf der Bühne"),
 )
 EDGE_TYPES = ("hasMechanic", "trainsSkill", "hasTag", "sourcedFrom", "translationOf", "derivedFrom", "canonicalOf", "requires", "buildsOn", "variationOf")
+#: Elements of one set of mechanics that a row holds, about.
+CHUNK = 512
 TERM_EDGES = (("mechanics", "hasMechanic", "mechanic", "Mechanic"), ("skills", "trainsSkill", "skill", "Skill"), ("tags", "hasTag", "tag", "Tag"))
 
 
@@ -82,42 +84,77 @@ def set_containment(sets: DataFrame) -> DataFrame:
     return probe.join(build, ["grp", "item"]).where((F.size("ib") > F.size("ia")) & (F.size(F.array_except("ia", "ib")) == 0)).select("grp", "a", "b")
 
 
-def _prerequisites(elements: DataFrame, has_mechanic: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Prerequisites of classes, and their members ``(id, class)``.
+def _mechanic_sets(elements: DataFrame, has_mechanic: DataFrame) -> DataFrame:
+    """``(id, grp, label, rank, minutes, items, set)`` of elements with a source, a label and mechanics."""
+    rows = elements.select("id", F.col("source").alias("grp"), "label", difficulty_rank(F.col("difficulty")).alias("rank"), F.coalesce("minutes", F.lit(0)).alias("minutes"))
+    lists = has_mechanic.where("dst IS NOT NULL").select(F.col("src").alias("id"), "dst").distinct().groupBy("id").agg(F.array_sort(F.collect_list("dst")).alias("items"))
+    return rows.where("grp IS NOT NULL AND label IS NOT NULL").join(lists, "id").withColumn("set", _named("grp", "items"))
+
+
+def _named(*columns: str) -> Column:
+    return F.md5(F.to_json(F.struct(*columns)))
+
+
+def _fits(ra: Column, rb: Column, ma: Column, mb: Column, la: Column, lb: Column) -> Column:
+    return (ra <= rb) & ((ma <= 0) | (mb <= 0) | (ma <= mb)) & (la != lb)
+
+
+def _prerequisites(elements: DataFrame, has_mechanic: DataFrame) -> DataFrame:
+    """Prerequisites of classes.
 
     Elements of one source with equal mechanics, label, difficulty and minutes are
-    one class; classes come in pairs ``(a, b, na, nb)`` with their sizes. Mechanics
+    one class; classes come in pairs with their sizes, ``(na, nb)``. Mechanics
     are compared once for each pair of distinct sets.
     """
-    rows = elements.select("id", F.col("source").alias("grp"), "label", difficulty_rank(F.col("difficulty")).alias("rank"), F.coalesce("minutes", F.lit(0)).alias("minutes"))
-    lists = has_mechanic.where("dst IS NOT NULL").select(F.col("src").alias("id"), "dst").distinct().groupBy("id").agg(F.array_sort(F.collect_list("dst")).alias("items"))
-    named = lambda *c: F.md5(F.to_json(F.struct(*c)))
-    each = rows.where("grp IS NOT NULL AND label IS NOT NULL").join(lists, "id").withColumn("set", named("grp", "items")).withColumn("class", named("set", "label", "rank", "minutes"))
+    each = _mechanic_sets(elements, has_mechanic).withColumn("class", _named("set", "label", "rank", "minutes"))
     each = materialize(each.select("id", "set", "class", "grp", "items", "label", "rank", "minutes"), "mechanic-sets")
     sets = materialize(each.groupBy("set").agg(F.any_value("grp").alias("grp"), F.any_value("items").alias("items")), "sets")
     contained = set_containment(sets.select("grp", F.col("set").alias("id"), F.explode("items").alias("item")))
     classes = materialize(each.groupBy("class", "set", "label", "rank", "minutes").agg(F.count("*").alias("n")), "classes")
-    small = classes.select(F.col("set").alias("a"), F.col("class").alias("ca"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("rank").alias("ra"), F.col("minutes").alias("ma"))
-    large = classes.select(F.col("set").alias("b"), F.col("class").alias("cb"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("rank").alias("rb"), F.col("minutes").alias("mb"))
-    fits = (F.col("ra") <= F.col("rb")) & ((F.col("ma") <= 0) | (F.col("mb") <= 0) | (F.col("ma") <= F.col("mb"))) & (F.col("la") != F.col("lb"))
-    pairs = contained.select("a", "b").join(small, "a").join(large, "b").where(fits).select(F.col("ca").alias("a"), F.col("cb").alias("b"), "na", "nb")
-    return pairs, each.select("id", "class")
+    small, large = (classes.select(F.col("set").alias(s), *(F.col(c).alias(f"{c[0]}{s}") for c in ("n", "label", "rank", "minutes"))) for s in "ab")
+    fits = _fits(*(F.col(f"{c}{s}") for c in "rml" for s in "ab"))
+    return contained.select("a", "b").join(small, "a").join(large, "b").where(fits).select("na", "nb")
 
 
-def builds_on(elements: DataFrame, has_mechanic: DataFrame) -> DataFrame:
+def builds_on(elements: DataFrame, has_mechanic: DataFrame, salts: int = 4) -> DataFrame:
     """buildsOn edges (src builds on dst) among one source's elements.
 
     dst's mechanics are a proper subset of src's, its difficulty is no higher, its
     minutes are no more where both are known, and the labels differ.
+
+    Sets of mechanics are compared where they meet, at the rarest item of the
+    smaller, and carry their elements in lists of about ``CHUNK``, so edges are made
+    in the last step and never shuffled or written: each element moves once for
+    each of its mechanics and salt. A bit mask drops most pairs before their items are compared.
     """
-    pairs, members = _prerequisites(elements, has_mechanic)
-    of = lambda end, name: members.select(F.col("class").alias(end), F.col("id").alias(name))
-    return materialize(pairs, "prerequisites").join(of("a", "dst"), "a").join(of("b", "src"), "b").select(F.lit("buildsOn").alias("type"), "src", "dst")
+    scratch = Scratch(elements.sparkSession)
+    each = scratch.keep(_mechanic_sets(elements, has_mechanic), "mechanic-sets")
+    sets = scratch.keep(each.groupBy("set").agg(F.any_value("grp").alias("grp"), F.any_value("items").alias("items"), F.count("*").alias("n")), "sets")
+    item = sets.select("set", "grp", F.explode("items").alias("item"))
+    rarity = item.groupBy("grp", "item").agg(F.count("*").alias("df"))
+    rarest = item.join(rarity, ["grp", "item"]).groupBy("set").agg(F.min(F.struct("df", "item"))["item"].alias("rarest"))
+    known = sets.join(rarest, "set").select("set", "rarest", F.ceil(F.col("n") / CHUNK).alias("chunks"))
+    mask = F.aggregate("items", F.lit(0).cast("long"), lambda x, i: x.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(i), F.lit(64)).cast("int"))))
+    member = F.struct("id", "label", "rank", "minutes")
+    chunks = each.join(known, "set").groupBy("set", F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk")).agg(*(F.any_value(c).alias(c) for c in ("grp", "items", "rarest")), F.collect_list(member).alias("members"))
+    chunks = materialize(chunks.withColumns({"mask": mask, "salt": F.pmod(F.xxhash64("set", "chunk"), F.lit(salts)).cast("int")}).drop("set", "chunk"), "set-members")
+    scratch.close()
+    shuffles = int(elements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A given number of partitions, as AQE would join keys by their size, not by their pairs.
+    dealt = lambda rows: rows.repartition(shuffles, "grp", "item", "salt")
+    small = chunks.select("grp", F.col("rarest").alias("item"), "salt", *(F.col(c).alias(f"{c}_a") for c in ("items", "mask", "members")))
+    large = chunks.select("grp", F.explode("items").alias("item"), *(F.col(c).alias(f"{c}_b") for c in ("items", "mask", "members")))
+    large = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    inside = (F.col("mask_a").bitwiseAND(F.col("mask_b")) == F.col("mask_a")) & (F.size("items_b") > F.size("items_a")) & (F.size(F.array_except("items_a", "items_b")) == 0)
+    pairs = dealt(small).hint("merge").join(dealt(large), ["grp", "item", "salt"]).where(inside)
+    found = pairs.select(F.explode("members_a").alias("a"), "members_b").select("a", F.explode("members_b").alias("b"))
+    fits = _fits(*(F.col(f"{s}.{c}") for c in ("rank", "minutes", "label") for s in "ab"))
+    return found.where(fits).select(F.lit("buildsOn").alias("type"), F.col("b.id").alias("src"), F.col("a.id").alias("dst"))
 
 
 def builds_on_count(elements: DataFrame, has_mechanic: DataFrame) -> DataFrame:
     """One row with the number of buildsOn edges, ``n``, without listing them."""
-    return _prerequisites(elements, has_mechanic)[0].agg(F.coalesce(F.sum(F.col("na") * F.col("nb")), F.lit(0)).alias("n"))
+    return _prerequisites(elements, has_mechanic).agg(F.coalesce(F.sum(F.col("na") * F.col("nb")), F.lit(0)).alias("n"))
 
 
 def derived_variations(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
